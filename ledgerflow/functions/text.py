@@ -47,10 +47,9 @@ def _first_match(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def without_thinking(text: Column) -> Column:
-    """Strip the text and drop its closed think blocks; an open one stays."""
-    whole = strip(text)
-    tagged = whole.contains("<think>") | whole.contains("</think>")
-    return F.when(tagged, strip(F.regexp_replace(whole, THINK_PATTERN, ""))).otherwise(whole)
+    """Drop the closed think blocks of a stripped text; an open one stays."""
+    tagged = text.contains("<think>") | text.contains("</think>")
+    return F.when(tagged, strip(F.regexp_replace(text, THINK_PATTERN, ""))).otherwise(text)
 
 
 def json_part(text: Column) -> Column:
@@ -69,11 +68,6 @@ def json_part(text: Column) -> Column:
     )
 
 
-def clean_response(text: Column) -> Column:
-    """From a raw model answer to the text that should be one JSON object."""
-    return json_part(without_thinking(text))
-
-
 def repair_brace(text: Column) -> Column:
     """Append the closing brace a cut-off classification answer lacks."""
     return F.when(text.endswith("}"), text).otherwise(F.concat(text, F.lit("}")))

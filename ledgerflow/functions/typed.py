@@ -1,6 +1,6 @@
 """Typed reading of model answers through VARIANT.
 
-Each ``*_field`` helper returns ``(valid, value)`` columns: ``valid`` says whether
+Each ``*_field`` helper takes a value with its kind and returns ``(valid, value)`` columns: ``valid`` says whether
 the JSON value may stand in that field, ``value`` is its typed form.
 """
 
@@ -24,6 +24,7 @@ EPOCH_MIN = -11_676_096_000
 EPOCH_MAX = 253_402_300_799
 # ----------------------------------------------------------------------------
 
+ABSENT = "ABSENT"
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 EPOCH_PATTERN = r"^[+-]?\d+(\.\d+)?$"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
@@ -53,29 +54,33 @@ def get(doc: Column, name: str) -> Column:
 
 
 def kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+    """``STRING``, ``BIGINT``, ``OBJECT<...>`` and so on; an absent key has no kind.
+
+    The ``*_field`` helpers take it as their second argument, so that it can be
+    computed once per value.
+    """
+    return F.coalesce(F.schema_of_variant(value), F.lit(ABSENT))
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
+def is_object(k: Column) -> Column:
+    return k.startswith("OBJECT")
 
 
-def is_text(value: Column) -> Column:
-    return F.coalesce(kind(value) == "STRING", F.lit(False))
+def is_text(k: Column) -> Column:
+    return k == "STRING"
 
 
-def is_number(value: Column) -> Column:
-    k = kind(value)
-    return F.coalesce((k == "BIGINT") | (k == "DOUBLE") | k.startswith("DECIMAL"), F.lit(False))
+def is_number(k: Column) -> Column:
+    return (k == "BIGINT") | (k == "DOUBLE") | k.startswith("DECIMAL")
 
 
-def is_bool(value: Column) -> Column:
-    return F.coalesce(kind(value) == "BOOLEAN", F.lit(False))
+def is_bool(k: Column) -> Column:
+    return k == "BOOLEAN"
 
 
-def is_absent(value: Column) -> Column:
+def is_absent(k: Column) -> Column:
     """The key is missing or holds JSON null."""
-    return value.isNull() | F.is_variant_null(value)
+    return k.isin(ABSENT, "VOID")
 
 
 def as_text(value: Column) -> Column:
@@ -86,48 +91,48 @@ def as_double(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-def text_field(value: Column) -> tuple[Column, Column]:
+def text_field(value: Column, k: Column) -> tuple[Column, Column]:
     """Optional text: a number or a boolean is not turned into text."""
-    return is_absent(value) | is_text(value), F.when(is_text(value), as_text(value))
+    return is_absent(k) | is_text(k), F.when(is_text(k), as_text(value))
 
 
-def bool_field(value: Column) -> tuple[Column, Column]:
+def bool_field(value: Column, k: Column) -> tuple[Column, Column]:
     """Required truth value: JSON booleans, 0 and 1, and the listed words."""
     word = F.lower(as_text(value))
     number = as_double(value)
     result = (
-        F.when(is_bool(value), F.try_variant_get(value, "$", "boolean"))
-        .when(is_number(value) & number.isin(0.0, 1.0), number == 1.0)
-        .when(is_text(value) & word.isin(TRUE_WORDS), F.lit(True))
-        .when(is_text(value) & word.isin(FALSE_WORDS), F.lit(False))
+        F.when(is_bool(k), F.try_variant_get(value, "$", "boolean"))
+        .when(is_number(k) & number.isin(0.0, 1.0), number == 1.0)
+        .when(is_text(k) & word.isin(TRUE_WORDS), F.lit(True))
+        .when(is_text(k) & word.isin(FALSE_WORDS), F.lit(False))
     )
     return result.isNotNull(), result
 
 
-def number_text(value: Column) -> Column:
+def number_text(value: Column, k: Column) -> Column:
     """Number or numeric string as plain number text, NULL for everything else.
 
     A JSON number goes through its shortest double form, a string keeps all its
     digits; blanks around and underscores within a string do not count.
     """
     written = F.translate(strip(as_text(value)), "_", "")
-    return F.when(is_number(value), as_double(value).cast("string")).when(
-        is_text(value) & written.rlike(NUMBER_PATTERN), written
+    return F.when(is_number(k), as_double(value).cast("string")).when(
+        is_text(k), F.nullif(F.regexp_extract(written, NUMBER_PATTERN, 0), F.lit(""))
     )
 
 
-def amount_field(value: Column, decimal_type: str) -> tuple[Column, Column]:
+def amount_field(value: Column, k: Column, decimal_type: str) -> tuple[Column, Column]:
     """Optional decimal; a valid number too large for the type gives a NULL value."""
-    text = number_text(value)
-    return is_absent(value) | text.isNotNull(), text.try_cast(decimal_type)
+    text = number_text(value, k)
+    return is_absent(k) | text.isNotNull(), text.try_cast(decimal_type)
 
 
-def double_field(value: Column) -> tuple[Column, Column]:
+def double_field(value: Column, k: Column) -> tuple[Column, Column]:
     """Optional double; booleans count as 0 and 1."""
-    number = F.when(is_bool(value), as_double(value)).otherwise(
-        number_text(value).try_cast("double")
+    number = F.when(is_number(k) | is_bool(k), as_double(value)).otherwise(
+        number_text(value, k).try_cast("double")
     )
-    return is_absent(value) | number.isNotNull(), number
+    return is_absent(k) | number.isNotNull(), number
 
 
 def _from_epoch(number: Column) -> Column:
@@ -159,12 +164,12 @@ def parse_time(text: Column) -> Column:
     )
 
 
-def time_field(value: Column) -> tuple[Column, Column]:
+def time_field(value: Column, k: Column) -> tuple[Column, Column]:
     """Optional moment from text or epoch number."""
-    result = F.when(is_text(value), parse_time(as_text(value))).when(
-        is_number(value), _from_epoch(as_double(value))
+    result = F.when(is_text(k), parse_time(as_text(value))).when(
+        is_number(k), _from_epoch(as_double(value))
     )
-    return is_absent(value) | result.isNotNull(), result
+    return is_absent(k) | result.isNotNull(), result
 
 
 def all_valid(flags: list[Column]) -> Column:

@@ -7,30 +7,44 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import text as tx
 from ledgerflow.functions import typed as ty
+from ledgerflow.operators.staging import staged
 
 NO_EXTRACTION = "Invoice extraction returned None"
+TOO_LARGE = "total_amount does not fit numeric(10,2)"
 DEFAULT_CURRENCY = "USD"
+UNIT_PRICE = "decimal(38,18)"
 
 
 def with_clean_response(answers: DataFrame, repair: bool = False) -> DataFrame:
     """Add ``cleaned`` to rows with a ``response``; ``repair`` closes a cut-off object."""
-    staged = answers.withColumn("_whole", tx.without_thinking(F.col("response"))).withColumn(
-        "cleaned", tx.json_part(F.col("_whole"))
-    )
+    rows = staged(answers, _text=tx.strip(F.col("response")))
+    rows = staged(rows, _text=tx.without_thinking(F.col("_text")))
+    rows = staged(rows, cleaned=tx.json_part(F.col("_text"))).drop("_text")
     if repair:
-        staged = staged.withColumn("cleaned", tx.repair_brace(F.col("cleaned")))
-    return staged.drop("_whole")
+        rows = staged(rows, cleaned=tx.repair_brace(F.col("cleaned")))
+    return rows
 
 
 def with_document(answers: DataFrame) -> DataFrame:
     """Add ``doc``: the VARIANT of ``cleaned``, NULL unless that is one JSON object."""
     cleaned = F.col("cleaned")
-    return (
-        answers.withColumn("_wrapped", ty.wrap_whole(cleaned))
-        .withColumn("_value", ty.whole_value(F.col("_wrapped"), cleaned))
-        .withColumn("doc", F.when(ty.is_object(F.col("_value")), F.col("_value")))
-        .drop("_wrapped", "_value")
-    )
+    rows = staged(answers, doc=ty.wrap_whole(cleaned))
+    rows = staged(rows, doc=ty.whole_value(F.col("doc"), cleaned))
+    return staged(rows, doc=F.when(ty.is_object(ty.kind(F.col("doc"))), F.col("doc")))
+
+
+def with_fields(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Add the named members of ``doc`` as ``_name`` and their kinds as ``_name_kind``."""
+    rows = staged(rows, **{f"_{name}": ty.get(F.col("doc"), name) for name in names})
+    return staged(rows, **{f"_{name}_kind": ty.kind(F.col(f"_{name}")) for name in names})
+
+
+def _field(name: str) -> tuple[Column, Column]:
+    return F.col(f"_{name}"), F.col(f"_{name}_kind")
+
+
+def _field_columns(names: list[str]) -> list[str]:
+    return [f"_{name}{end}" for name in names for end in ("", "_kind")]
 
 
 def keyword_fallback(subject: Column) -> Column:
@@ -46,14 +60,11 @@ def decode_classification(answers: DataFrame) -> DataFrame:
     """
     if "error" not in answers.columns:
         answers = answers.withColumn("error", F.lit(None).cast("string"))
-    staged = with_document(with_clean_response(answers, repair=True)).withColumns({
-        "_flag": ty.get(F.col("doc"), "is_invoice"),
-        "_confidence": ty.get(F.col("doc"), "confidence"),
-        "_reasoning": ty.get(F.col("doc"), "reasoning"),
-    })
-    flag_ok, flag = ty.bool_field(F.col("_flag"))
-    confidence_ok, confidence = ty.text_field(F.col("_confidence"))
-    reasoning_ok, reasoning = ty.text_field(F.col("_reasoning"))
+    names = ["is_invoice", "confidence", "reasoning"]
+    rows = with_fields(with_document(with_clean_response(answers, repair=True)), names)
+    flag_ok, flag = ty.bool_field(*_field("is_invoice"))
+    confidence_ok, confidence = ty.text_field(*_field("confidence"))
+    reasoning_ok, reasoning = ty.text_field(*_field("reasoning"))
     usable = (
         F.col("error").isNull() & F.col("doc").isNotNull() & flag_ok & confidence_ok & reasoning_ok
     )
@@ -63,20 +74,15 @@ def decode_classification(answers: DataFrame) -> DataFrame:
         .when(F.col("doc").isNull(), F.lit("not a JSON object"))
         .otherwise(F.lit("invalid fields"))
     )
-    return (
-        staged.withColumn("fallback", ~F.coalesce(usable, F.lit(False)))
-        .withColumns({
-            "is_invoice": F.when(
-                F.col("fallback"), keyword_fallback(F.col("subject"))
-            ).otherwise(flag),
-            "confidence": F.when(F.col("fallback"), F.lit("low")).otherwise(confidence),
-            "reasoning": F.when(
-                F.col("fallback"),
-                F.concat(F.lit("Fallback classification (error: "), reason, F.lit(")")),
-            ).otherwise(reasoning),
-        })
-        .drop("_flag", "_confidence", "_reasoning", "doc", "cleaned", "response", "error")
-    )
+    rows = staged(rows, fallback=~F.coalesce(usable, F.lit(False)))
+    fallback = F.col("fallback")
+    said = F.concat(F.lit("Fallback classification (error: "), reason, F.lit(")"))
+    return staged(
+        rows,
+        is_invoice=F.when(fallback, keyword_fallback(F.col("subject"))).otherwise(flag),
+        confidence=F.when(fallback, F.lit("low")).otherwise(confidence),
+        reasoning=F.when(fallback, said).otherwise(reasoning),
+    ).drop(*_field_columns(names), "doc", "cleaned", "response", "error")
 
 
 def decode_line_items(doc: Column) -> Column:
@@ -86,34 +92,37 @@ def decode_line_items(doc: Column) -> Column:
     quantity and unit price are optional numbers.  ``unit_price`` counts before
     ``unitPrice`` where both occur.  An item that breaks a rule is left out.
     """
-    items = F.coalesce(
-        F.try_variant_get(doc, "$.line_items", "array<variant>"),
-        F.array().cast("array<variant>"),
+    items = F.try_variant_get(
+        doc,
+        "$.line_items",
+        "array<struct<description variant, quantity variant, unitPrice variant, unit_price variant>>",
     )
-    opened = F.transform(items, lambda item: F.struct(
-        ty.is_object(item).alias("is_object"),
-        ty.get(item, "description").alias("description"),
-        ty.get(item, "quantity").alias("quantity"),
-        ty.get(item, "unitPrice").alias("named"),
-        ty.get(item, "unit_price").alias("alias"),
+    described = F.filter(
+        F.coalesce(items, F.array()),
+        lambda item: item.isNotNull() & ty.is_text(ty.kind(item["description"])),
+    )
+    opened = F.transform(described, lambda item: F.struct(
+        ty.as_text(item["description"]).alias("description"),
+        item["quantity"].alias("quantity"),
+        ty.kind(item["quantity"]).alias("quantity_kind"),
+        F.coalesce(item["unit_price"], item["unitPrice"]).alias("price"),
+        ty.kind(F.coalesce(item["unit_price"], item["unitPrice"])).alias("price_kind"),
+        # the value that does not count must still be a number
+        F.when(item["unit_price"].isNotNull(), item["unitPrice"]).alias("shadowed"),
     ))
 
     def typed(item: Column) -> Column:
-        quantity_ok, quantity = ty.double_field(item["quantity"])
-        named_ok, _ = ty.amount_field(item["named"], "decimal(38,18)")
-        price = F.coalesce(item["alias"], item["named"])
-        price_ok, price_value = ty.amount_field(price, "decimal(38,18)")
-        fits = ty.is_absent(price) | price_value.isNotNull()
-        valid = (
-            item["is_object"]
-            & ty.is_text(item["description"])
-            & quantity_ok & named_ok & price_ok & fits
+        quantity_ok, quantity = ty.double_field(item["quantity"], item["quantity_kind"])
+        price_ok, price = ty.amount_field(item["price"], item["price_kind"], UNIT_PRICE)
+        shadowed_ok, _ = ty.amount_field(
+            item["shadowed"], ty.kind(item["shadowed"]), UNIT_PRICE
         )
+        fits = ty.is_absent(item["price_kind"]) | price.isNotNull()
         return F.struct(
-            F.coalesce(valid, F.lit(False)).alias("valid"),
-            ty.as_text(item["description"]).alias("description"),
+            (quantity_ok & fits & price_ok & shadowed_ok).alias("valid"),
+            item["description"].alias("description"),
             quantity.alias("quantity"),
-            price_value.alias("unit_price"),
+            price.alias("unit_price"),
         )
 
     kept = F.filter(F.transform(opened, typed), lambda item: item["valid"])
@@ -137,48 +146,40 @@ def decode_invoice(answers: DataFrame) -> DataFrame:
     names = [
         "vendor_name", "invoice_number", "due_date", "total_amount", "currency", "payment_status",
     ]
-    staged = with_document(with_clean_response(answers)).withColumns(
-        {f"_{name}": ty.get(doc, name) for name in names}
-    )
-    vendor_ok, vendor = ty.text_field(F.col("_vendor_name"))
-    number_ok, number = ty.text_field(F.col("_invoice_number"))
-    due_ok, due = ty.time_field(F.col("_due_date"))
-    amount_ok, amount = ty.amount_field(F.col("_total_amount"), "decimal(10,2)")
-    currency_ok, currency = ty.text_field(F.col("_currency"))
-    status_ok, status = ty.text_field(F.col("_payment_status"))
+    rows = with_fields(with_document(with_clean_response(answers)), names)
+    vendor_ok, vendor = ty.text_field(*_field("vendor_name"))
+    number_ok, number = ty.text_field(*_field("invoice_number"))
+    due_ok, due = ty.time_field(*_field("due_date"))
+    amount_ok, amount = ty.amount_field(*_field("total_amount"), "decimal(10,2)")
+    currency_ok, currency = ty.text_field(*_field("currency"))
+    status_ok, status = ty.text_field(*_field("payment_status"))
     valid = ty.all_valid([
         F.col("error").isNull(), doc.isNotNull(),
         vendor_ok, number_ok, due_ok, amount_ok, currency_ok, status_ok,
     ])
-    too_large = ~ty.is_absent(F.col("_total_amount")) & F.col("_amount").isNull()
-    return (
-        staged.withColumn("_valid", F.coalesce(valid, F.lit(False)))
-        .withColumn("_amount", amount)
-        .withColumn(
-            "extract_error",
-            F.when(~F.col("_valid"), F.lit(NO_EXTRACTION)).when(
-                too_large, F.lit("total_amount does not fit numeric(10,2)")
-            ),
-        )
-        .withColumn(
-            "invoice",
-            F.when(
-                F.col("extract_error").isNull(),
-                F.struct(
-                    vendor.alias("vendor_name"),
-                    number.alias("invoice_number"),
-                    due.alias("due_date"),
-                    F.col("_amount").alias("total_amount"),
-                    F.when(F.col("_currency").isNull(), F.lit(DEFAULT_CURRENCY))
-                    .otherwise(currency)
-                    .alias("currency"),
-                    status.alias("payment_status"),
-                    decode_line_items(doc).alias("line_items"),
-                ),
-            ),
-        )
-        .drop(*[f"_{name}" for name in names], "_valid", "_amount")
-        .drop("doc", "cleaned", "response", "error")
+    rows = staged(
+        rows, _valid=F.coalesce(valid, F.lit(False)), _due=due, _amount=amount
+    )
+    too_large = ~ty.is_absent(F.col("_total_amount_kind")) & F.col("_amount").isNull()
+    rows = staged(
+        rows,
+        extract_error=F.when(~F.col("_valid"), F.lit(NO_EXTRACTION)).when(too_large, F.lit(TOO_LARGE)),
+    )
+    currency_or_default = F.when(
+        F.col("_currency_kind") == ty.ABSENT, F.lit(DEFAULT_CURRENCY)
+    ).otherwise(currency)
+    invoice = F.struct(
+        vendor.alias("vendor_name"),
+        number.alias("invoice_number"),
+        F.col("_due").alias("due_date"),
+        F.col("_amount").alias("total_amount"),
+        currency_or_default.alias("currency"),
+        status.alias("payment_status"),
+        decode_line_items(doc).alias("line_items"),
+    )
+    return staged(rows, invoice=F.when(F.col("extract_error").isNull(), invoice)).drop(
+        *_field_columns(names),
+        "_valid", "_due", "_amount", "doc", "cleaned", "response", "error",
     )
 
 

@@ -248,7 +248,7 @@ def amount_cast(i):
         .when(case == 2, F.concat(F.floor(cents / 100).cast("string"), F.lit(".5e0")))
         .otherwise(F.concat(F.lit('"'), cents.cast("string"), F.lit(' USD"')))
     )
-    valid, amount = ty.amount_field(F.col("v"), "decimal(10,2)")
+    valid, amount = ty.amount_field(F.col("v"), ty.kind(F.col("v")), "decimal(10,2)")
     return i.table("orders").withColumn("v", F.try_parse_json(text)).select(
         "o_orderkey", amount.cast("double").alias("amount"), valid.alias("valid")
     )
@@ -310,18 +310,21 @@ def parse_attachments(i):
 
 
 @query("parse_errors", """
-SELECT doc_id % 50 AS source_folder_id, doc_id + 1 AS uid FROM documents
-WHERE doc_id % 5 = 4 AND doc_id % 2 = 0""")
+SELECT doc_id % 50 AS source_folder_id, doc_id + 1 AS uid FROM documents WHERE doc_id % 4 = 0""")
 def parse_errors(i):
-    """Messages with a file name whose encoding cannot be read, in every second mixed message."""
-    broken = F.regexp_replace(
-        F.decode("rfc822_data", "UTF-8"), r"filename=\"d(\d+)\.csv\"", "filename*0*=%f;filename=x"
+    """Every fourth document's message says a text that is no valid Unicode."""
+    broken = F.concat(
+        F.lit("Subject: x\r\nContent-Type: text/plain; charset=unicode_escape\r\n\r\n\\ud800"),
+        "text",
     )
-    hurt = (F.col("uid") % 2 == 1) & (F.col("uid") % 5 == 0)
-    raw = i.raw_documents().withColumn(
-        "rfc822_data", F.when(hurt, F.encode(broken, "UTF-8")).otherwise(F.col("rfc822_data"))
+    raw = i.raw_documents().join(
+        i.table("documents").select((F.col("doc_id") + 1).alias("uid"), "text"), "uid"
     )
-    return parsing.parse_errors(parsing.parse_messages(raw)).select("source_folder_id", "uid")
+    hurt = raw.withColumn(
+        "rfc822_data",
+        F.when(F.col("uid") % 4 == 1, F.encode(broken, "UTF-8")).otherwise(F.col("rfc822_data")),
+    ).drop("text")
+    return parsing.parse_errors(parsing.parse_messages(hurt)).select("source_folder_id", "uid")
 
 
 @query("readable_messages", """
