@@ -93,6 +93,20 @@ def merge_watermarks(state: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
+def next_state(state: DataFrame, marks: DataFrame) -> DataFrame:
+    """State of all folders after a run: new marks where there are some."""
+    new = marks.select(
+        "source_folder_id",
+        F.col("high_water_mark").alias("_high"),
+        F.col("low_water_mark").alias("_low"),
+    )
+    return state.join(new, "source_folder_id", "left").select(
+        "source_folder_id",
+        F.coalesce("_high", "high_water_mark").alias("high_water_mark"),
+        F.coalesce("_low", "low_water_mark").alias("low_water_mark"),
+    )
+
+
 def advance_empty_spans(state: DataFrame, messages: DataFrame, batch_size: int) -> DataFrame:
     """Marks for folders whose next backfill span holds no message.
 
