@@ -1,7 +1,7 @@
 """Typed reading of model answers through VARIANT.
 
-Each ``*_field`` helper takes a value with its kind and returns ``(valid, value)`` columns: ``valid`` says whether
-the JSON value may stand in that field, ``value`` is its typed form.
+Each ``to_*`` helper takes a JSON value with its kind and gives the typed form, or NULL
+where the value may not stand in such a field.
 """
 
 from __future__ import annotations
@@ -39,12 +39,13 @@ def wrap_whole(text: Column) -> Column:
     The VARIANT parser stops after the first value and ignores what follows.  In
     the wrapped form anything after the value breaks the array or hides the digest.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
+    digest = F.xxhash64(text).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), digest, F.lit("]")))
 
 
 def whole_value(wrapped: Column, text: Column) -> Column:
     """The value of a ``wrap_whole`` column, NULL unless the text was exactly one value."""
-    complete = F.try_variant_get(wrapped, "$[1]", "string") == F.md5(text)
+    complete = F.try_variant_get(wrapped, "$[1]", "bigint") == F.xxhash64(text)
     return F.when(complete, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
@@ -56,8 +57,8 @@ def get(doc: Column, name: str) -> Column:
 def kind(value: Column) -> Column:
     """``STRING``, ``BIGINT``, ``OBJECT<...>`` and so on; an absent key has no kind.
 
-    The ``*_field`` helpers take it as their second argument, so that it can be
-    computed once per value.
+    The ``to_*`` helpers take it as their second argument, so that it is computed
+    once per value.
     """
     return F.coalesce(F.schema_of_variant(value), F.lit(ABSENT))
 
@@ -91,26 +92,30 @@ def as_double(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-def text_field(value: Column, k: Column) -> tuple[Column, Column]:
-    """Optional text: a number or a boolean is not turned into text."""
-    return is_absent(k) | is_text(k), F.when(is_text(k), as_text(value))
+def optional(k: Column, value: Column) -> Column:
+    """An optional field is in order when it is absent or has a typed value."""
+    return is_absent(k) | value.isNotNull()
 
 
-def bool_field(value: Column, k: Column) -> tuple[Column, Column]:
-    """Required truth value: JSON booleans, 0 and 1, and the listed words."""
+def to_text(value: Column, k: Column) -> Column:
+    """Text only: a number or a boolean is not turned into text."""
+    return F.when(is_text(k), as_text(value))
+
+
+def to_bool(value: Column, k: Column) -> Column:
+    """Truth value: JSON booleans, 0 and 1, and the listed words."""
     word = F.lower(as_text(value))
     number = as_double(value)
-    result = (
+    return (
         F.when(is_bool(k), F.try_variant_get(value, "$", "boolean"))
         .when(is_number(k) & number.isin(0.0, 1.0), number == 1.0)
         .when(is_text(k) & word.isin(TRUE_WORDS), F.lit(True))
         .when(is_text(k) & word.isin(FALSE_WORDS), F.lit(False))
     )
-    return result.isNotNull(), result
 
 
-def number_text(value: Column, k: Column) -> Column:
-    """Number or numeric string as plain number text, NULL for everything else.
+def to_number_text(value: Column, k: Column) -> Column:
+    """Number or numeric string as plain number text.
 
     A JSON number goes through its shortest double form, a string keeps all its
     digits; blanks around and underscores within a string do not count.
@@ -121,18 +126,11 @@ def number_text(value: Column, k: Column) -> Column:
     )
 
 
-def amount_field(value: Column, k: Column, decimal_type: str) -> tuple[Column, Column]:
-    """Optional decimal; a valid number too large for the type gives a NULL value."""
-    text = number_text(value, k)
-    return is_absent(k) | text.isNotNull(), text.try_cast(decimal_type)
-
-
-def double_field(value: Column, k: Column) -> tuple[Column, Column]:
-    """Optional double; booleans count as 0 and 1."""
-    number = F.when(is_number(k) | is_bool(k), as_double(value)).otherwise(
-        number_text(value, k).try_cast("double")
+def to_double(value: Column, k: Column) -> Column:
+    """Number or numeric string; booleans count as 0 and 1."""
+    return F.when(is_number(k) | is_bool(k), as_double(value)).otherwise(
+        to_number_text(value, k).try_cast("double")
     )
-    return is_absent(k) | number.isNotNull(), number
 
 
 def _from_epoch(number: Column) -> Column:
@@ -143,8 +141,6 @@ def _from_epoch(number: Column) -> Column:
 
 def parse_time(text: Column) -> Column:
     """ISO date, ISO date and time, or epoch number in text form; no zone means UTC."""
-    day = text.rlike(DATE_PATTERN)
-    moment = text.rlike(DATETIME_PATTERN)
     clock = F.regexp_extract(text, DATETIME_PATTERN, 3)
     zone = F.regexp_extract(text, DATETIME_PATTERN, 4)
     normal = F.concat(
@@ -158,18 +154,17 @@ def parse_time(text: Column) -> Column:
     )
     return (
         F.when(text.startswith("0000"), F.lit(None).cast("timestamp"))
-        .when(day, F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp"))
-        .when(moment, normal.try_cast("timestamp"))
+        .when(text.rlike(DATE_PATTERN), F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp"))
+        .when(text.rlike(DATETIME_PATTERN), normal.try_cast("timestamp"))
         .when(text.rlike(EPOCH_PATTERN), _from_epoch(text.try_cast("double")))
     )
 
 
-def time_field(value: Column, k: Column) -> tuple[Column, Column]:
-    """Optional moment from text or epoch number."""
-    result = F.when(is_text(k), parse_time(as_text(value))).when(
+def to_time(value: Column, k: Column) -> Column:
+    """Moment from text or epoch number."""
+    return F.when(is_text(k), parse_time(as_text(value))).when(
         is_number(k), _from_epoch(as_double(value))
     )
-    return is_absent(k) | result.isNotNull(), result
 
 
 def all_valid(flags: list[Column]) -> Column:

@@ -62,12 +62,19 @@ def decode_classification(answers: DataFrame) -> DataFrame:
         answers = answers.withColumn("error", F.lit(None).cast("string"))
     names = ["is_invoice", "confidence", "reasoning"]
     rows = with_fields(with_document(with_clean_response(answers, repair=True)), names)
-    flag_ok, flag = ty.bool_field(*_field("is_invoice"))
-    confidence_ok, confidence = ty.text_field(*_field("confidence"))
-    reasoning_ok, reasoning = ty.text_field(*_field("reasoning"))
-    usable = (
-        F.col("error").isNull() & F.col("doc").isNotNull() & flag_ok & confidence_ok & reasoning_ok
+    rows = staged(
+        rows,
+        _flag=ty.to_bool(*_field("is_invoice")),
+        _said_confidence=ty.to_text(*_field("confidence")),
+        _said_reasoning=ty.to_text(*_field("reasoning")),
     )
+    usable = ty.all_valid([
+        F.col("error").isNull(),
+        F.col("doc").isNotNull(),
+        F.col("_flag").isNotNull(),
+        ty.optional(F.col("_confidence_kind"), F.col("_said_confidence")),
+        ty.optional(F.col("_reasoning_kind"), F.col("_said_reasoning")),
+    ])
     reason = (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("response").isNull(), F.lit("no response"))
@@ -79,10 +86,15 @@ def decode_classification(answers: DataFrame) -> DataFrame:
     said = F.concat(F.lit("Fallback classification (error: "), reason, F.lit(")"))
     return staged(
         rows,
-        is_invoice=F.when(fallback, keyword_fallback(F.col("subject"))).otherwise(flag),
-        confidence=F.when(fallback, F.lit("low")).otherwise(confidence),
-        reasoning=F.when(fallback, said).otherwise(reasoning),
-    ).drop(*_field_columns(names), "doc", "cleaned", "response", "error")
+        is_invoice=F.when(fallback, keyword_fallback(F.col("subject"))).otherwise(
+            F.col("_flag")
+        ),
+        confidence=F.when(fallback, F.lit("low")).otherwise(F.col("_said_confidence")),
+        reasoning=F.when(fallback, said).otherwise(F.col("_said_reasoning")),
+    ).drop(
+        *_field_columns(names), "_flag", "_said_confidence", "_said_reasoning",
+        "doc", "cleaned", "response", "error",
+    )
 
 
 def decode_line_items(doc: Column) -> Column:
@@ -112,20 +124,28 @@ def decode_line_items(doc: Column) -> Column:
     ))
 
     def typed(item: Column) -> Column:
-        quantity_ok, quantity = ty.double_field(item["quantity"], item["quantity_kind"])
-        price_ok, price = ty.amount_field(item["price"], item["price_kind"], UNIT_PRICE)
-        shadowed_ok, _ = ty.amount_field(
-            item["shadowed"], ty.kind(item["shadowed"]), UNIT_PRICE
-        )
-        fits = ty.is_absent(item["price_kind"]) | price.isNotNull()
         return F.struct(
-            (quantity_ok & fits & price_ok & shadowed_ok).alias("valid"),
             item["description"].alias("description"),
-            quantity.alias("quantity"),
-            price.alias("unit_price"),
+            item["quantity_kind"].alias("quantity_kind"),
+            ty.to_double(item["quantity"], item["quantity_kind"]).alias("quantity"),
+            item["price_kind"].alias("price_kind"),
+            ty.to_number_text(item["price"], item["price_kind"])
+            .try_cast(UNIT_PRICE).alias("unit_price"),
+            (
+                item["shadowed"].isNull()
+                | ty.is_absent(ty.kind(item["shadowed"]))
+                | ty.to_number_text(item["shadowed"], ty.kind(item["shadowed"])).isNotNull()
+            ).alias("shadowed_ok"),
         )
 
-    kept = F.filter(F.transform(opened, typed), lambda item: item["valid"])
+    def valid(item: Column) -> Column:
+        return (
+            ty.optional(item["quantity_kind"], item["quantity"])
+            & ty.optional(item["price_kind"], item["unit_price"])
+            & item["shadowed_ok"]
+        )
+
+    kept = F.filter(F.transform(opened, typed), valid)
     return F.transform(kept, lambda item: F.struct(
         item["description"].alias("description"),
         item["quantity"].alias("quantity"),
@@ -147,39 +167,45 @@ def decode_invoice(answers: DataFrame) -> DataFrame:
         "vendor_name", "invoice_number", "due_date", "total_amount", "currency", "payment_status",
     ]
     rows = with_fields(with_document(with_clean_response(answers)), names)
-    vendor_ok, vendor = ty.text_field(*_field("vendor_name"))
-    number_ok, number = ty.text_field(*_field("invoice_number"))
-    due_ok, due = ty.time_field(*_field("due_date"))
-    amount_ok, amount = ty.amount_field(*_field("total_amount"), "decimal(10,2)")
-    currency_ok, currency = ty.text_field(*_field("currency"))
-    status_ok, status = ty.text_field(*_field("payment_status"))
+    texts = ["vendor_name", "invoice_number", "currency", "payment_status"]
+    rows = staged(
+        rows,
+        _due=ty.to_time(*_field("due_date")),
+        _amount_text=ty.to_number_text(*_field("total_amount")),
+        **{f"_said_{name}": ty.to_text(*_field(name)) for name in texts},
+    )
     valid = ty.all_valid([
-        F.col("error").isNull(), doc.isNotNull(),
-        vendor_ok, number_ok, due_ok, amount_ok, currency_ok, status_ok,
+        F.col("error").isNull(),
+        doc.isNotNull(),
+        ty.optional(F.col("_due_date_kind"), F.col("_due")),
+        ty.optional(F.col("_total_amount_kind"), F.col("_amount_text")),
+        *[ty.optional(F.col(f"_{name}_kind"), F.col(f"_said_{name}")) for name in texts],
     ])
     rows = staged(
-        rows, _valid=F.coalesce(valid, F.lit(False)), _due=due, _amount=amount
+        rows,
+        _valid=F.coalesce(valid, F.lit(False)),
+        _amount=F.col("_amount_text").try_cast("decimal(10,2)"),
     )
-    too_large = ~ty.is_absent(F.col("_total_amount_kind")) & F.col("_amount").isNull()
+    too_large = F.col("_amount_text").isNotNull() & F.col("_amount").isNull()
     rows = staged(
         rows,
         extract_error=F.when(~F.col("_valid"), F.lit(NO_EXTRACTION)).when(too_large, F.lit(TOO_LARGE)),
     )
-    currency_or_default = F.when(
+    currency = F.when(
         F.col("_currency_kind") == ty.ABSENT, F.lit(DEFAULT_CURRENCY)
-    ).otherwise(currency)
+    ).otherwise(F.col("_said_currency"))
     invoice = F.struct(
-        vendor.alias("vendor_name"),
-        number.alias("invoice_number"),
+        F.col("_said_vendor_name").alias("vendor_name"),
+        F.col("_said_invoice_number").alias("invoice_number"),
         F.col("_due").alias("due_date"),
         F.col("_amount").alias("total_amount"),
-        currency_or_default.alias("currency"),
-        status.alias("payment_status"),
+        currency.alias("currency"),
+        F.col("_said_payment_status").alias("payment_status"),
         decode_line_items(doc).alias("line_items"),
     )
     return staged(rows, invoice=F.when(F.col("extract_error").isNull(), invoice)).drop(
-        *_field_columns(names),
-        "_valid", "_due", "_amount", "doc", "cleaned", "response", "error",
+        *_field_columns(names), *[f"_said_{name}" for name in texts],
+        "_due", "_amount_text", "_amount", "_valid", "doc", "cleaned", "response", "error",
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerflow import schemas
 from ledgerflow.operators.attachments import with_file_key
 from ledgerflow.operators.joins import lookup_join
+from ledgerflow.sources.tables import deal_out
 
 NOW_TEXT = "2024-07-01 00:00:00"
 START_TEXT = "2024-01-01 00:00:00"
@@ -49,6 +50,10 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def dealt(self, name: str) -> DataFrame:
+        """A table whose rows go into costly steps."""
+        return deal_out(self.table(name))
+
     # -- messages and marks --------------------------------------------------
     def messages(self) -> DataFrame:
         """One message per event: folder = user, uid = event number from 1."""
@@ -269,7 +274,7 @@ class Inputs:
         key = F.col("doc_id")
         pages = self.table("pages").select(F.col("page_id").alias("doc_id"), "html")
         suffix = choose(key % 3, [F.lit(" Invoice"), F.lit(" unpaid bill"), F.lit("")])
-        return self.table("documents").join(pages, "doc_id", "left").select(
+        return self.dealt("documents").join(pages, "doc_id", "left").select(
             "doc_id",
             text_of(F.col("source"), " ", F.col("lang"), suffix).alias("subject"),
             text_of(F.col("source"), "@example.com").alias("from_address"),
@@ -302,7 +307,7 @@ class Inputs:
         ]
         labels = self.table("labels").select("doc_id", "quality")
         suffix = choose(key % 3, [F.lit(" Invoice"), F.lit(" unpaid bill"), F.lit("")])
-        return self.table("documents").join(labels, "doc_id", "left").select(
+        return self.dealt("documents").join(labels, "doc_id", "left").select(
             "doc_id",
             text_of(F.col("source"), " ", F.col("lang"), suffix).alias("subject"),
             choose(key % 10, shapes).alias("response"),
@@ -352,7 +357,7 @@ class Inputs:
         ]
         parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
         lines = lookup_join(
-            self.table("lineitem"), parts, ["l_partkey"], ["l_orderkey", "l_linenumber"]
+            self.dealt("lineitem"), parts, ["l_partkey"], ["l_orderkey", "l_linenumber"]
         )
         return lines.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -425,7 +430,7 @@ class Inputs:
             open_part, named, open_part, html, open_part, plain, open_part, wide, close,
         )
         body = choose(key % 5, [plain, wide, html, alternative, mixed])
-        return self.table("documents").select(
+        return self.dealt("documents").select(
             (key % 50).alias("source_folder_id"),
             (key + 1).alias("uid"),
             F.encode(text_of(head, "MIME-Version: 1.0\r\n", body), "UTF-8").alias("rfc822_data"),

@@ -71,7 +71,8 @@ def event_stream(i: Inputs) -> DataFrame:
         .option("pathGlobFilter", "events.parquet")
         .parquet(i.sf_dir)
     )
-    return i.raw_events(events)
+    # the table is one file, hence one task
+    return i.raw_events(events.repartition(i.spark.sparkContext.defaultParallelism))
 
 
 def streamed(i: Inputs, name: str) -> Ledger:
@@ -142,7 +143,7 @@ def idempotent_replay(i):
     """
     ledger = empty_ledger(i, "replay", i.event_folders())
     answer = rn.answers_from_table(i.event_responses())
-    arrivals = i.raw_events(i.table("events"))
+    arrivals = i.raw_events(i.dealt("events"))
     stamp = now().cast("timestamp")
     for batch_id in (0, 0):
         ingest_arrivals(ledger, batch_id, arrivals, i.event_context(), answer, stamp)
@@ -196,6 +197,6 @@ def run_summary(i):
     ledger = empty_ledger(i, "run", i.event_folders())
     return rn.run(
         ledger, 0, i.sources(), i.refreshes(), customer_listing(i),
-        i.raw_events(i.table("events")), rn.answers_from_table(i.event_responses()), now(),
+        i.raw_events(i.dealt("events")), rn.answers_from_table(i.event_responses()), now(),
         rn.RunSizes(batch_size=50, chunk_size=7),
     )

@@ -248,9 +248,11 @@ def amount_cast(i):
         .when(case == 2, F.concat(F.floor(cents / 100).cast("string"), F.lit(".5e0")))
         .otherwise(F.concat(F.lit('"'), cents.cast("string"), F.lit(' USD"')))
     )
-    valid, amount = ty.amount_field(F.col("v"), ty.kind(F.col("v")), "decimal(10,2)")
+    number = ty.to_number_text(F.col("v"), ty.kind(F.col("v")))
     return i.table("orders").withColumn("v", F.try_parse_json(text)).select(
-        "o_orderkey", amount.cast("double").alias("amount"), valid.alias("valid")
+        "o_orderkey",
+        number.try_cast("decimal(10,2)").cast("double").alias("amount"),
+        number.isNotNull().alias("valid"),
     )
 
 

@@ -17,6 +17,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def deal_out(rows: DataFrame) -> DataFrame:
+    """Spread a table that has fewer files than the session has cores.
+
+    Costly steps per row, such as parsing and decoding, then use every core.  A table
+    of many files is left as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def scan_sources(sources: DataFrame) -> DataFrame:
     """All sources, named columns only, by id."""
     return sources.select(*SOURCE_COLUMNS).orderBy("id")
