@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Settings the results depend on, or that decide whether a plan scales.
@@ -21,7 +23,12 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings on an existing session and return it."""
+    """Set the runtime settings on an existing session and return it.
+
+    Functions that run in tasks are sent along by value, so executors need no copy of
+    this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
