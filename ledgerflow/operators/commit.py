@@ -14,14 +14,35 @@ from ledgerflow.operators.selection import backfill_only, backfill_start
 CONFLICT_KEYS = ("invoice_number",)
 
 
-def _alone(keys: Sequence[str], position: Sequence[str]) -> Column:
-    """Zero for rows with a full key, else a digest of the row's place.
+def keyed(batch: DataFrame, position: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Add ``_alone``: a digest of the key, or of the row's place where the key has a NULL.
 
-    A row with a NULL key conflicts with nothing.  The digest makes it a group of its
-    own, so the many rows without a number do not meet in one task.
+    A row with a NULL key conflicts with nothing.  Its place makes it a group of its
+    own, so the many rows without a number do not meet in one task.  Both conflict
+    steps group and join by key and ``_alone``, hence one shuffle serves both.
     """
+    if "_alone" in batch.columns:
+        return batch
     no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-    return F.when(no_key, F.xxhash64(*position)).otherwise(F.lit(0).cast("bigint"))
+    alone = F.when(no_key, F.xxhash64(*position)).otherwise(F.xxhash64(*keys))
+    return batch.withColumn("_alone", alone)
+
+
+def _first_wins(batch: DataFrame, position: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    order = Window.partitionBy(*keys, "_alone").orderBy(*position)
+    return (
+        keyed(batch, position, keys)
+        .withColumn("_rank", F.row_number().over(order))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )
+
+
+def _drop_conflicts(
+    batch: DataFrame, existing: DataFrame, position: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    taken = existing.select(*keys).dropna().withColumn("_alone", F.xxhash64(*keys))
+    return keyed(batch, position, keys).join(taken, [*keys, "_alone"], "left_anti")
 
 
 def first_wins(
@@ -32,13 +53,7 @@ def first_wins(
     ``position`` must be unique.  Spark cuts each key to one row per map task before
     the shuffle, so a number that a third of the rows carry costs no more than others.
     """
-    order = Window.partitionBy(*keys, "_alone").orderBy(*position)
-    return (
-        batch.withColumn("_alone", _alone(keys, position))
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank", "_alone")
-    )
+    return _first_wins(batch, position, keys).drop("_alone")
 
 
 def drop_conflicts(
@@ -48,12 +63,19 @@ def drop_conflicts(
     keys: Sequence[str] = CONFLICT_KEYS,
 ) -> DataFrame:
     """Rows whose key is not in the ledger yet; NULL keys never conflict."""
-    taken = existing.select(*keys).dropna().withColumn("_alone", F.lit(0).cast("bigint"))
-    return (
-        batch.withColumn("_alone", _alone(keys, position))
-        .join(taken, [*keys, "_alone"], "left_anti")
-        .drop("_alone")
-    )
+    return _drop_conflicts(batch, existing, position, keys).drop("_alone")
+
+
+def new_rows(
+    batch: DataFrame,
+    existing: DataFrame,
+    position: Sequence[str],
+    keys: Sequence[str] = CONFLICT_KEYS,
+) -> DataFrame:
+    """The first row of each key that is not in the ledger yet, and all rows without a key."""
+    return _drop_conflicts(
+        _first_wins(batch, position, keys), existing, position, keys
+    ).drop("_alone")
 
 
 def insert_invoices(
@@ -68,9 +90,8 @@ def insert_invoices(
     skipped.  Keys are global: they conflict across users and vendors.  Pass other
     ``keys`` to narrow that.
     """
-    fresh = drop_conflicts(first_wins(batch, position, keys), existing, position, keys)
     highest = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    return assign_ids(fresh, list(position), highest)
+    return assign_ids(new_rows(batch, existing, position, keys), list(position), highest)
 
 
 def uid_bounds(messages: DataFrame, by: Sequence[str] = ("source_folder_id", "chunk_num")) -> DataFrame:

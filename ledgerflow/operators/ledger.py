@@ -1,13 +1,16 @@
 """The stored ledger: Parquet tables whose rows become visible batch by batch.
 
-Every table is a folder of ``batch_id=...`` parts.  A batch first writes its parts
-and last of all one marker row under ``commits``; readers only see marked batches, so
-rows and progress marks appear together or not at all.  Writing a part replaces what
-an earlier, unfinished attempt at the same batch left there.  One writer at a time.
+Every table is a folder of ``batch_id=.../attempt=...`` parts.  A batch first writes its
+parts and last of all one marker row under ``commits`` that names the attempt; readers
+only see marked attempts, so rows and progress marks appear together or not at all.
+Parts are never changed: a batch that starts over writes a new attempt, and what the
+old one left behind stays unseen.  One writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -38,7 +41,7 @@ TABLES = {
     "chunk_metrics": schemas.CHUNK_METRICS,
     "outcome": OUTCOME,
 }
-COMMITS = StructType([StructField("rows_from", StringType())])
+COMMITS = StructType([StructField("attempt", StringType())])
 # The batch that creates the empty tables.
 GENESIS = -1
 
@@ -53,6 +56,7 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._attempts: dict[int, str] = {}
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, folders: DataFrame | None = None) -> Ledger:
@@ -66,8 +70,14 @@ class Ledger:
         ledger.commit(GENESIS)
         return ledger
 
+    def begin(self, batch_id: int) -> None:
+        """Start a batch, or start it over."""
+        self._attempts[batch_id] = uuid.uuid4().hex
+
     def _part(self, table: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/batch_id={batch_id}"
+        if batch_id not in self._attempts:
+            self.begin(batch_id)
+        return f"{self.root}/{table}/batch_id={batch_id}/attempt={self._attempts[batch_id]}"
 
     def stage(self, table: str, rows: DataFrame, batch_id: int) -> None:
         """Write a batch's rows of a table; nobody sees them before the commit."""
@@ -86,37 +96,37 @@ class Ledger:
         What a model answered or a parser produced is then computed once, also when
         executors are lost later on.
         """
-        path = f"{self.root}/work/{name}/batch_id={batch_id}"
+        path = self._part(f"work/{name}", batch_id)
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(_nullable(rows.schema)).parquet(path)
 
     def commit(self, batch_id: int) -> None:
         """Make a batch visible: the marker is its last write."""
-        marker = self.spark.createDataFrame([(f"batch {batch_id}",)], COMMITS)
-        marker.coalesce(1).write.mode("overwrite").parquet(self._part("commits", batch_id))
+        marker = self.spark.createDataFrame([(self._attempts[batch_id],)], COMMITS)
+        marker.coalesce(1).write.mode("overwrite").parquet(
+            f"{self.root}/commits/batch_id={batch_id}"
+        )
 
     def committed(self) -> DataFrame:
-        """Visible batch ids."""
+        """Visible batches, ``(batch_id, attempt)``."""
         schema = StructType([*COMMITS.fields, StructField("batch_id", LongType())])
-        return (
-            self.spark.read.schema(schema)
-            .parquet(f"{self.root}/commits")
-            .select("batch_id")
-            .distinct()
-        )
+        return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
 
     def is_committed(self, batch_id: int) -> bool:
         return not self.committed().filter(F.col("batch_id") == batch_id).isEmpty()
 
     def read(self, table: str, with_batch: bool = False) -> DataFrame:
         """Rows of all visible batches."""
-        schema = StructType(
-            _nullable(TABLES[table]).fields + [StructField("batch_id", LongType())]
-        )
+        schema = StructType([
+            *_nullable(TABLES[table]).fields,
+            StructField("batch_id", LongType()),
+            StructField("attempt", StringType()),
+        ])
         rows = (
             self.spark.read.schema(schema)
             .parquet(f"{self.root}/{table}")
-            .join(self.committed(), "batch_id", "left_semi")
+            .join(self.committed(), ["batch_id", "attempt"], "left_semi")
+            .drop("attempt")
         )
         return rows if with_batch else rows.drop("batch_id")
 

@@ -92,10 +92,8 @@ def process_messages(
 
     ``selected`` has the raw bytes and ``chunk_num``; ``state`` the marks and ``context``
     the user, source and folder fields per ``source_folder_id``.  ``failures`` names
-    chunks to leave out.  A batch that is already committed is not processed again.
+    chunks to leave out.  The caller has begun the batch.
     """
-    if ledger.is_committed(batch_id):
-        return
     readable = readable_messages(selected).select(*KEY, "chunk_num", "rfc822_data")
     parsed = ledger.hand_over("parsed", parsing.parse_messages(readable), batch_id)
 
@@ -168,6 +166,23 @@ def run_folders(
     """Select what the folders in ``state`` read next, and process it."""
     if ledger.is_committed(batch_id):
         return
+    ledger.begin(batch_id)
+    _run_folders(
+        ledger, batch_id, messages, state, context, answer, now, sizes, failures
+    )
+
+
+def _run_folders(
+    ledger: Ledger,
+    batch_id: int,
+    messages: DataFrame,
+    state: DataFrame,
+    context: DataFrame,
+    answer: Answerer,
+    now: Column,
+    sizes: RunSizes,
+    failures: DataFrame | None,
+) -> None:
     keys = message_keys(messages)
     chosen = ledger.hand_over(
         "selected",
@@ -205,6 +220,7 @@ def run(
     listed = listing.join(usable, "source_id", "left_semi")
     stamp = now.cast("timestamp")
     if not ledger.is_committed(batch_id):
+        ledger.begin(batch_id)
         known = ledger.folders()
         missing = reconcile.reconcile_missing(listed, known)
         ledger.stage("source_folder", reconcile.create_folders(missing, known, stamp), batch_id)
@@ -214,7 +230,7 @@ def run(
         state = folders.select(
             F.col("id").alias("source_folder_id"), "high_water_mark", "low_water_mark"
         ).join(context.select("source_folder_id"), "source_folder_id", "left_semi")
-        run_folders(
+        _run_folders(
             ledger, batch_id, messages, state, context, answer, stamp, sizes, failures
         )
     reconciled = run_context(listed, ledger.read("source_folder"), sources)

@@ -36,6 +36,7 @@ def ingest_arrivals(
     """
     if ledger.is_committed(batch_id):
         return
+    ledger.begin(batch_id)
     state = ledger.state()
     chosen = ledger.hand_over(
         "selected",
