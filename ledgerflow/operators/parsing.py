@@ -177,8 +177,9 @@ def parse_errors(parsed: DataFrame) -> DataFrame:
     )
 
 
-def explode_attachments(parsed: DataFrame) -> DataFrame:
-    """One row per attachment, numbered in message order."""
+def explode_attachments(parsed: DataFrame, *context: str) -> DataFrame:
+    """One row per attachment, numbered in message order, with the named context columns."""
+    key = ["source_folder_id", "uid", *context]
     return parsed.select(
-        "source_folder_id", "uid", F.posexplode("attachments").alias("position", "file")
-    ).select("source_folder_id", "uid", "position", "file.*")
+        *key, F.posexplode("attachments").alias("position", "file")
+    ).select(*key, "position", "file.*")

@@ -118,7 +118,10 @@ def process_messages(
     located = lookup_join(found, fields, ["source_folder_id"], ["uid"])
 
     # files of a failed chunk are stored as well: they go up before the commit
-    files = parsing.explode_attachments(parsed).join(located.drop("chunk_num"), KEY)
+    with_files = parsed.select(*KEY, "attachments").filter(F.size("attachments") > 0)
+    files = parsing.explode_attachments(
+        with_files.join(located.drop("chunk_num"), KEY), *reconcile.NATURAL_KEY, "user_id"
+    )
     ledger.stage(
         "attachment",
         att.upload_missing(att.with_file_key(files), ledger.read("attachment")),
