@@ -57,6 +57,7 @@ class Ledger:
         self.spark = spark
         self.root = root.rstrip("/")
         self._attempts: dict[int, str] = {}
+        self._handed_over: dict[int, dict[str, StructType]] = {}
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, folders: DataFrame | None = None) -> Ledger:
@@ -97,8 +98,15 @@ class Ledger:
         executors are lost later on.
         """
         path = self._part(f"work/{name}", batch_id)
+        schema = _nullable(rows.schema)
         rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(_nullable(rows.schema)).parquet(path)
+        self._handed_over.setdefault(batch_id, {})[path] = schema
+        return self.spark.read.schema(schema).parquet(path)
+
+    def release(self, batch_id: int) -> None:
+        """Empty the intermediate results of a committed batch; nothing reads them any more."""
+        for path, schema in self._handed_over.pop(batch_id, {}).items():
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
     def commit(self, batch_id: int) -> None:
         """Make a batch visible: the marker is its last write."""

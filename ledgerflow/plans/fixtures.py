@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerflow import schemas
 from ledgerflow.operators.attachments import with_file_key
 from ledgerflow.operators.joins import lookup_join
+from ledgerflow.operators.staging import staged
 from ledgerflow.sources.tables import deal_out
 
 NOW_TEXT = "2024-07-01 00:00:00"
@@ -316,8 +317,15 @@ class Inputs:
     def extract_answers(self) -> DataFrame:
         """Model answers around a line item; each invalid field occurs."""
         order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-        money = text_of(F.floor(cents / 100), ".", F.lpad((cents % 100).cast("string"), 2, "0"))
+        parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+        lines = lookup_join(
+            self.dealt("lineitem"), parts, ["l_partkey"], ["l_orderkey", "l_linenumber"]
+        )
+        lines = staged(lines, cents=F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+        cents, money = F.col("cents"), F.col("money")
+        lines = staged(lines, money=text_of(
+            F.floor(cents / 100), ".", F.lpad((cents % 100).cast("string"), 2, "0")
+        ))
         amount = choose(order % 7, [
             money, text_of('"', money, '"'), F.lit("null"), F.lit('"$12"'),
             text_of(cents * 100_000), F.lit("true"), text_of(money, "5"),
@@ -325,7 +333,7 @@ class Inputs:
         number = F.when(order % 13 == 0, "").when(
             order % 11 == 0, text_of('"invoice_number": ', order, ", ")
         ).otherwise(text_of('"invoice_number": "INV-', order, "-", line, '", '))
-        day = F.date_format("l_shipdate", "yyyy-MM-dd")
+        day = F.substring(F.col("l_shipdate").cast("string"), 1, 10)
         due = choose(line % 7, [
             text_of('"', day, '"'), F.lit('"null"'), F.lit("null"),
             text_of(F.unix_seconds(F.col("l_shipdate").cast("timestamp"))),
@@ -350,15 +358,13 @@ class Inputs:
             ', "total_amount": ', amount, ", ", currency, '"payment_status": ', status,
             ', "line_items": ', items, "}",
         )
+        lines = staged(lines, answer=answer)
+        answer = F.col("answer")
         shapes = [
             answer,
             text_of("```json\n", answer, "\n```"),
             text_of("<think>{not yet}</think> Here: ", answer, "\nAnything else?"),
         ]
-        parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-        lines = lookup_join(
-            self.dealt("lineitem"), parts, ["l_partkey"], ["l_orderkey", "l_linenumber"]
-        )
         return lines.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
             choose(order % 3, shapes).alias("response"),

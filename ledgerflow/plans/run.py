@@ -153,6 +153,7 @@ def process_messages(
     ledger.stage("watermark", marks.withColumn("processed_at", now), batch_id)
     ledger.stage("chunk_metrics", chunks, batch_id)
     ledger.commit(batch_id)
+    ledger.release(batch_id)
 
 
 def run_folders(

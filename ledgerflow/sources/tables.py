@@ -17,14 +17,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def deal_out(rows: DataFrame) -> DataFrame:
-    """Spread a table that has fewer files than the session has cores.
+def deal_out(table: DataFrame) -> DataFrame:
+    """Spread a table that is read in fewer splits than the session has cores.
 
     Costly steps per row, such as parsing and decoding, then use every core.  A table
-    of many files is left as it is, without a shuffle.
+    of many splits is left as it is, without a shuffle.  Meant for plain scans.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def scan_sources(sources: DataFrame) -> DataFrame:

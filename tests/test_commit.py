@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow import new_run_dir, schemas
+from ledgerflow import new_run_dir, schemas, shared_dir
 from ledgerflow.operators import commit as cm
 from ledgerflow.operators import quality as ql
 from ledgerflow.operators import reconcile as rc
 from ledgerflow.operators.ledger import Ledger
+from ledgerflow.plans.fixtures import Inputs, now
+from ledgerflow.plans.run import run_context
 
 BATCH = "pos long, invoice_number string, user_id string"
 
@@ -144,6 +146,43 @@ def test_marks_come_from_committed_batches_in_any_order(spark, ledger):
     assert [tuple(r)[:3] for r in ledger.marks().collect()] == [(1, 20, 8)]
 
 
+def test_intermediate_results_go_when_the_batch_is_done(spark, ledger):
+    handed = ledger.hand_over("step", invoice(spark, "A"), 1)
+    assert handed.count() == 1
+    ledger.commit(1)
+    ledger.release(1)
+    path = f"{ledger.root}/work/step"
+    assert spark.read.schema(schemas.INVOICE).parquet(path).isEmpty()
+
+
+def test_scratch_space_is_what_the_cluster_names(spark):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            named = None
+
+            @classmethod
+            def get(cls, key, default=None):
+                return cls.named
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session)
+    Session.conf.named = "hdfs://shared/checkpoints/"
+    assert shared_dir(Session) == "hdfs://shared/checkpoints"
+
+
+def test_tokens_stay_out_of_derived_tables(spark, sf_dir):
+    inputs = Inputs(spark, sf_dir)
+    tokens = rc.source_tokens(inputs.sources(), inputs.refreshes(), now())
+    names = rc.eligible_sources(inputs.sources(), tokens).columns
+    names += run_context(inputs.listing(), inputs.folders(), inputs.sources()).columns
+    assert not [n for n in names if "token" in n]
+
+
 # -- deletes and gaps -------------------------------------------------------------
 
 
