@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from ledgerflow.llm.decontamination import OP3_SQL, op3_winnowing
+from ledgerflow.llm.substring_dedup import OP7_SQL, op7_doubling
 
 QUERIES = {
     "op3_winnowing": op3_winnowing,
+    "op7_doubling": op7_doubling,
+}
+ORACLES = {
+    "op3_winnowing": OP3_SQL,
+    "op7_doubling": OP7_SQL,
 }
-ORACLES = {"op3_winnowing": OP3_SQL}
