@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from ledgerflow.llm.decontamination import OP3_SQL, op3_winnowing
+from ledgerflow.llm.near_dedup import OP8_SQL, op8_hyperminhash
 from ledgerflow.llm.substring_dedup import OP7_SQL, op7_doubling
 
 QUERIES = {
     "op3_winnowing": op3_winnowing,
     "op7_doubling": op7_doubling,
+    "op8_hyperminhash": op8_hyperminhash,
 }
 ORACLES = {
     "op3_winnowing": OP3_SQL,
     "op7_doubling": OP7_SQL,
+    "op8_hyperminhash": OP8_SQL,
 }
