@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerflow.llm.decontamination import OP3_SQL, op3_winnowing
+from ledgerflow.llm.maxent_lm import op4_maxent
 from ledgerflow.llm.near_dedup import OP8_SQL, op8_hyperminhash
 from ledgerflow.llm.packing import op5_differencing
 from ledgerflow.llm.repair_tokens import op1_repair
@@ -11,6 +12,7 @@ from ledgerflow.llm.substring_dedup import OP7_SQL, op7_doubling
 QUERIES = {
     "op1_repair": op1_repair,
     "op3_winnowing": op3_winnowing,
+    "op4_maxent": op4_maxent,
     "op5_differencing": op5_differencing,
     "op7_doubling": op7_doubling,
     "op8_hyperminhash": op8_hyperminhash,
