@@ -110,9 +110,14 @@ def level(documents: DataFrame, window: int, length: int, before: int | None) ->
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """Values that two documents have, with the least of them."""
-    return rows.groupBy("gram").agg(
+    """Values that two documents have, with the least of them.
+
+    Written before it is joined, so that both sides of the join are shuffled for it alone
+    and Spark can split a value that very many rows have.
+    """
+    found = rows.groupBy("gram").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    return staged(found.drop("last"), "substring-repeated")
 
 
 def earlier_windows(documents: DataFrame, window: int = WINDOW, first_length: int | None = None) -> DataFrame:
