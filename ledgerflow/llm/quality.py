@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerflow.llm import words as W
 from ledgerflow.llm.common import remainder, table
@@ -152,7 +152,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, carry: Sequence[str]
     model = trained(documents, labels)
     extra = [c for c in carry if c not in ("doc_id", "held_out", "score", "predicted")]
     rows = documents.select(
-        F.col("doc_id").cast("long"), F.col("text").alias("_text"), *[F.col(f"`{c}`") for c in extra])
+        F.col("doc_id").cast("long"), "text", *[F.col(f"`{c}`") for c in extra if c != "text"])
 
     def score(batches):
         for batch in batches:
@@ -165,10 +165,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame, carry: Sequence[str]
                     mean, scale, weights = model
                     x = np.clip((features(data, offsets).astype(np.float32) - mean) / scale, -8, 8)
                     out[low:high] = sigmoid(x @ weights[:-1] + weights[-1])
-            columns = [batch.column(0), *batch.columns[2:], pa.array(out)]
+            columns = [batch.column("doc_id"), *[batch.column(c) for c in extra], pa.array(out)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *extra, "score"])
 
-    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType)] + [documents.schema[c] for c in extra])
+    schema = StructType([StructField("doc_id", LongType())] + [documents.schema[c] for c in extra])
     found = rows.mapInArrow(score, schema.add("score", "double"))
     held = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
     return found.withColumns({

@@ -140,8 +140,8 @@ def op6_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
   FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
