@@ -21,12 +21,14 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written, so that a join on a node of very many links can be split
+        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "components")
         # large star: greater neighbours move to the least of the node's neighbourhood
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = order(large)
         # small star: lesser neighbours, and the node itself, move to the least of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = staged(large, "components")
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m")), "components")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = staged(order(small.unionByName(least.select("a", F.col("m").alias("b")))), "components")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()

@@ -9,9 +9,11 @@ threshold are confirmed on their full sets.
 
 Within a group that shares a band, everyone is compared with one member, the one that
 shares most bands with others; in small groups everyone with everyone.  What is linked
-already needs no more comparing.  As long as a group spans several components, more of
-its members are compared with all others, up to the last; so no link is lost, and no
-group is paired off as a whole.
+already needs no more comparing.  The members of large groups that are not one component
+by then are grouped anew, exactly, by their rarest shingles, of which similar sets must
+share one; as long as such a group spans several components, more of its members are
+compared with all others, those outside its largest component first and then no more.  So
+no link between components is lost, and no group is paired off as a whole.
 
 Defined results: null texts and texts without words have an empty set and are linked with
 nothing; rows that repeat are one class; a null ``doc_id`` is linked as any other but never
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import words as W
@@ -32,7 +34,8 @@ from ledgerflow.llm.graph import components
 BUCKET_BITS = 7
 MANTISSA_BITS = 24
 BAND = 4
-SMALL = 16  # groups of up to so many are compared throughout at once; also lanes of a round
+SMALL = 16  # groups of up to so many are compared throughout at once
+LANES = 64  # members of a larger group that are compared with all others in one round
 MARGIN = 6.0  # standard deviations that an estimate may fall short before it is dropped
 
 
@@ -198,52 +201,93 @@ def possible(left: str, right: str, percent: int):
     return F.least(left, right) * 100 >= F.greatest(left, right) * percent
 
 
-def links(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes that connect all classes that any links connect."""
-    rows = bands(nodes)
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n_shingles): the rarest shingles of each set, as many as must hold one
+    that any set of the wanted similarity shares."""
+
+    def spread(batches):
+        for batch in batches:
+            for node, shingles in zip(batch.column(0), batch.column(1)):
+                values = np.frombuffer(shingles.as_buffer(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values), pa.array(np.full(len(values), node.as_py())), pa.array(np.full(len(values), len(values)))],
+                    names=["key", "node", "n_shingles"])
+
+    rows = staged(sets.select("node", "shingles").mapInArrow(
+        spread, "key long, node long, n_shingles long"), "near-shingles")
+    often = staged(rows.groupBy("key").agg(F.count("*").alias("sets")), "near-often")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("sets", "key"))
+    n = F.col("n_shingles")
+    kept = rows.join(often, "key").withColumn("rank", rank).filter(
+        F.col("rank") <= n - F.ceil(n * percent / 100) + 1)
+    return kept.filter("sets > 1").select("key", "node", "n_shingles")
+
+
+def connected(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, component) of the classes that links connect with another one."""
+    rows = staged(bands(nodes), "near-bands")
     groups = rows.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    members = staged(rows.join(groups, "band"), "near-members")
-    weight = members.groupBy("node").agg(F.sum(F.least("members", F.lit(10000))).alias("weight"))
-    wanted = nodes.join(weight, "node").select("doc_id", "node")
-    sets = staged(full_sets(documents, wanted, size), "near-sets")
+    members = staged(rows.join(staged(groups, "near-groups"), "band"), "near-members")
+    weight = staged(
+        members.groupBy("node").agg(F.sum(F.least("members", F.lit(10000))).alias("weight")), "near-weight")
+    sets = staged(full_sets(documents, nodes.join(weight, "node").select("doc_id", "node"), size), "near-sets")
     members = members.join(weight, "node")
-    hub = members.groupBy("band").agg(F.max(F.struct("weight", "node", "n_shingles")).alias("hub"))
-    star = members.join(hub, "band").filter(
-        (F.col("node") != F.col("hub.node")) & possible("n_shingles", "hub.n_shingles", percent)
-    ).select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
+    hub = staged(members.groupBy("band").agg(
+        F.max(F.struct("weight", "node", "n_shingles")).alias("hub")).select("band", "hub.*"), "near-hubs")
+    hub = hub.select("band", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"))
+    star = members.join(hub, "band").filter((F.col("node") != F.col("b")) & possible("n_shingles", "n_b", percent))
     few = members.filter(F.col("members") <= SMALL).select("band", "node", "n_shingles")
     other = few.select("band", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"))
-    throughout = few.join(other, "band").filter(
-        (F.col("node") < F.col("b")) & possible("n_shingles", "n_b", percent)
-    ).select(F.col("node").alias("a"), "b")
-    ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = ordered(star.unionByName(throughout))
+    throughout = few.join(other, "band").filter((F.col("node") < F.col("b")) & possible("n_shingles", "n_b", percent))
+    pair = [F.col("node").alias("a"), "b"]
+    pairs = ordered(star.select(*pair).unionByName(throughout.select(*pair)))
     found = staged(confirmed(alike(pairs, nodes, percent), sets, percent), "near-links")
-
-    # groups too large to compare throughout: on, until each lies in one component
-    open_rows = members.filter(F.col("members") > SMALL).select("band", "node", "n_shingles", "weight")
-    open_rows = staged(open_rows.join(hub.select("band", F.col("hub.node").alias("done")), "band").filter(
-        "node <> done").drop("done"), "near-open")
+    label = components(found)
+    # classes in large groups that are not one component yet: exact candidates among them
+    large = members.filter(F.col("members") > SMALL).join(label, "node", "left")
+    split = large.groupBy("band").agg(
+        F.min(F.coalesce("component", "node")).alias("least"), F.max(F.coalesce("component", "node")).alias("most")
+    ).filter("least <> most")
+    risky = staged(large.join(staged(split, "near-split"), "band").select("node").distinct(), "near-risky")
+    if risky.isEmpty():
+        return label
+    return compared(prefixes(sets.join(risky, "node"), percent), label, nodes, sets, percent)
+
+
+def compared(rows: DataFrame, label: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``label`` with further links, until no pair of a group (key, node) could add any.
+
+    Per round, LANES members of each group that are not in the group's largest component
+    are compared with all its members of other components.  They are done then; a group
+    is done when the members that are left are in one component.
+    """
+    rows = staged(rows, "near-open")
     while True:
-        label = components(found)
-        open_rows = open_rows.join(label, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        split = open_rows.groupBy("band").agg(
-            F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-        open_rows = staged(open_rows.join(split.select("band"), "band"), "near-open")
-        if open_rows.isEmpty():
-            return found
-        lane = F.pmod(F.xxhash64("node"), F.lit(SMALL))
-        hubs = open_rows.groupBy("band", lane.alias("lane")).agg(
-            F.max(F.struct("weight", "node", "n_shingles", "component")).alias("hub")).select("band", "hub.*")
-        hubs = staged(hubs, "near-hubs")
-        named = hubs.select("band", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("other"))
-        more = open_rows.join(named, "band").filter(
-            (F.col("component") != F.col("other")) & possible("n_shingles", "n_b", percent)
-        ).select(F.col("node").alias("a"), "b")
-        fresh = confirmed(alike(ordered(more), nodes, percent), sets, percent)
-        found = staged(found.unionByName(fresh), "near-links")
-        open_rows = open_rows.join(hubs.select("band", "node"), ["band", "node"], "left_anti").drop("component")
+        rows = rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        largest = rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("most")).filter("parts > 1")
+        largest = staged(largest.select("key", F.col("most.component").alias("largest")), "near-largest")
+        rows = staged(rows.join(largest, "key"), "near-open")
+        if rows.isEmpty():
+            return label
+        lane = F.pmod(F.xxhash64("node"), F.lit(LANES))
+        hubs = rows.filter("component <> largest").groupBy("key", lane.alias("lane")).agg(
+            F.max(F.struct("node", "n_shingles", "component")).alias("hub"))
+        hubs = staged(hubs.select("key", F.col("hub.node").alias("b"), F.col("hub.n_shingles").alias("n_b"),
+                                  F.col("hub.component").alias("other")), "near-hubs")
+        more = rows.join(hubs, "key").filter(
+            (F.col("component") != F.col("other")) & possible("n_shingles", "n_b", percent))
+        pairs = ordered(more.select(F.col("node").alias("a"), "b"))
+        fresh = staged(confirmed(alike(pairs, nodes, percent), sets, percent), "near-fresh")
+        if not fresh.isEmpty():
+            known = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            label = components(known.unionByName(fresh))
+        rows = rows.join(hubs.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti").select(
+            "key", "node", "n_shingles")
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -252,7 +296,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     nodes = staged(
         rows.filter("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(
             F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")), "near-nodes")
-    label = components(links(documents, nodes, size, percent))
+    label = connected(documents, nodes, size, percent)
     named = nodes.select("node", "doc_id").join(label, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
