@@ -6,11 +6,11 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from ledgerflow.operators import attachments as att
 from ledgerflow.operators import commit as cm
 from ledgerflow.operators import selection as sel
 from ledgerflow.operators.joins import lookup_join
+from ledgerflow.plans import registry
 from ledgerflow.plans.fixtures import Inputs
 from ledgerflow.sources import objects as ob
 
@@ -41,9 +41,9 @@ def no_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", [n for n in entry_module.queries() if n not in EAGER])
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n not in EAGER])
 def test_no_pairwise_joins(spark, sf_dir, name):
-    text = plan(entry_module.queries()[name](spark, sf_dir))
+    text = plan(registry.QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 

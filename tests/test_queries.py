@@ -5,8 +5,9 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check import compare, oracle
+from ledgerflow.plans import registry
 
-NAMES = list(entry_module.queries())
+NAMES = list(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def test_query_matches_sql(spark, sf_dir, connection, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.oracle_sql()) == set(NAMES)
+    assert set(registry.ORACLES) == set(NAMES)
 
 
 def test_entry_has_a_stable_schema(spark):
