@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm import words as W
 from ledgerflow.llm.common import staged, table
-from ledgerflow.llm.graph import components
+from ledgerflow.llm.graph import components, merged
 
 BUCKET_BITS = 7
 MANTISSA_BITS = 24
 BAND = 4
 SMALL = 16  # groups of up to so many are compared throughout at once
-LANES = 64  # members of a larger group that are compared with all others in one round
+LANES = 256  # members of a larger group that are compared with all others in one round
 MARGIN = 6.0  # standard deviations that an estimate may fall short before it is dropped
 
 
@@ -206,8 +206,8 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n_shingles): the rarest shingles of each set, as many as must hold one
-    that any set of the wanted similarity shares."""
+    """(key, node, n_shingles, rank): the rarest shingles of each set, as many as must hold
+    one that any set of the wanted similarity shares; ``rank`` counts from the rarest."""
 
     def spread(batches):
         for batch in batches:
@@ -224,7 +224,16 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     n = F.col("n_shingles")
     kept = rows.join(often, "key").withColumn("rank", rank).filter(
         F.col("rank") <= n - F.ceil(n * percent / 100) + 1)
-    return kept.filter("sets > 1").select("key", "node", "n_shingles")
+    return kept.filter("sets > 1").select("key", "node", "n_shingles", "rank")
+
+
+def enough_left(percent: int):
+    """Whether two sets can still be alike if this is the rarest shingle they share.
+
+    What they share from there on is bounded by what each has left after it.
+    """
+    most = F.least(F.col("n_shingles") - F.col("rank"), F.col("n_b") - F.col("rank_b")) + 1
+    return most * (100 + percent) >= (F.col("n_shingles") + F.col("n_b")) * percent
 
 
 def connected(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -276,18 +285,17 @@ def compared(rows: DataFrame, label: DataFrame, nodes: DataFrame, sets: DataFram
             return label
         lane = F.pmod(F.xxhash64("node"), F.lit(LANES))
         hubs = rows.filter("component <> largest").groupBy("key", lane.alias("lane")).agg(
-            F.max(F.struct("node", "n_shingles", "component")).alias("hub"))
+            F.max(F.struct("node", "n_shingles", "component", "rank")).alias("hub"))
         hubs = staged(hubs.select("key", F.col("hub.node").alias("b"), F.col("hub.n_shingles").alias("n_b"),
-                                  F.col("hub.component").alias("other")), "near-hubs")
+                                  F.col("hub.component").alias("other"), F.col("hub.rank").alias("rank_b")), "near-hubs")
         more = rows.join(hubs, "key").filter(
-            (F.col("component") != F.col("other")) & possible("n_shingles", "n_b", percent))
+            (F.col("component") != F.col("other")) & possible("n_shingles", "n_b", percent) & enough_left(percent))
         pairs = ordered(more.select(F.col("node").alias("a"), "b"))
         fresh = staged(confirmed(alike(pairs, nodes, percent), sets, percent), "near-fresh")
         if not fresh.isEmpty():
-            known = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            label = components(known.unionByName(fresh))
+            label = merged(label, fresh)
         rows = rows.join(hubs.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti").select(
-            "key", "node", "n_shingles")
+            "key", "node", "n_shingles", "rank")
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

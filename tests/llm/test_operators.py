@@ -112,6 +112,11 @@ def test_components_of_chain_and_star(spark):
     found = graph.components(spark.createDataFrame(edges, "a long, b long"))
     label = {r.node: r.component for r in found.collect()}
     assert label == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 130)}
+    more = spark.createDataFrame([(129, 500), (500, 600), (3, 700)], "a long, b long")
+    label = {r.node: r.component for r in graph.merged(found, more).collect()}
+    assert label == {k: 0 for k in [*range(41), 700]} | {k: 100 for k in [*range(100, 130), 500, 600]}
+    none = graph.components(spark.createDataFrame([], "a long, b long"))
+    assert none.collect() == []
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
