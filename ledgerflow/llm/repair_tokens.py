@@ -91,18 +91,23 @@ def expansions(rules: np.ndarray, first_symbol: int) -> np.ndarray:
 
 def decode_range(symbols, rules, sizes, first_symbol: int, begin: int, end: int) -> np.ndarray:
     """Ids ``begin`` to ``end`` of a block; only the symbols over that range are expanded."""
-    width = np.where(symbols < first_symbol, 1, np.append(sizes, 0)[np.maximum(symbols.astype(np.int64) - first_symbol, -1)])
-    until = np.cumsum(width)
+    # all symbols' expansions one after the other: ids stand for themselves
+    widths = np.concatenate([np.ones(first_symbol, np.int64), sizes.astype(np.int64)])
+    starts = np.cumsum(widths) - widths
+    flat = np.empty(first_symbol + int(sizes.sum()), dtype=np.uint32)
+    flat[:first_symbol] = np.arange(first_symbol)
+    for k, (left, right) in enumerate(rules.tolist()):
+        at, middle = starts[first_symbol + k], widths[left]
+        flat[at : at + middle] = flat[starts[left] : starts[left] + middle]
+        flat[at + middle : at + middle + widths[right]] = flat[starts[right] : starts[right] + widths[right]]
+    until = np.cumsum(widths[symbols])
     one, two = np.searchsorted(until, begin, side="right"), np.searchsorted(until, end, side="left") + 1
-    before = int(until[one - 1]) if one else 0
     part = symbols[one:two]
-    while (large := part >= first_symbol).any():
-        # each pass opens every symbol that is a rule, at its place
-        wide = np.repeat(part, np.where(large, 2, 1))
-        at = np.flatnonzero(np.repeat(large, np.where(large, 2, 1)))
-        wide[at] = rules[part[large].astype(np.int64) - first_symbol].reshape(-1)
-        part = wide
-    return part[begin - before : end - before]
+    before = int(until[one - 1]) if one else 0
+    width = widths[part]
+    place = np.repeat(starts[part] - (np.cumsum(width) - width), width)
+    place += np.arange(len(place))
+    return flat[place[begin - before : end - before]]
 
 
 def grammar_blocks(

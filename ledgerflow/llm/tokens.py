@@ -2,7 +2,8 @@
 
 The same words come up again and again, so a text is cut at single blanks, where no token
 of the tokenizers used here can reach across.  Pieces met for the first time are encoded
-together; their ids are kept, up to a fixed number of pieces per Python worker.
+together, without the signs that end them, for letters and these never share a token
+either; their ids are kept, up to a fixed number of pieces per Python worker.
 """
 
 from __future__ import annotations
@@ -14,11 +15,23 @@ from collections.abc import Sequence
 
 from ledgerflow.llm.common import worker_cache
 
-KEPT_PIECES = 500_000  # per generation; there are two
+KEPT_PIECES = 600_000  # per generation; there are two
 LONG_PIECE = 64  # longer pieces are not kept
 SLICE_CHARS = 2 << 20
 SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-OTHER_BLANK = re.compile(r" (?=\s|\Z)|(?<=\s) |\A ")
+# all white space but the blank and the line feed
+RARE_BLANKS = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B)))
+# signs that a word's letters and digits share no token with
+TAIL = ".,;:!?#$%&*|"
+
+
+def blanks_stand_alone(text: str) -> bool:
+    """Whether no blank of a text touches other white space or an end of the text."""
+    return not (
+        "  " in text or " \n" in text or "\n " in text or text.startswith(" ") or text.endswith(" ")
+        or any(map(text.__contains__, RARE_BLANKS))
+    )
 
 
 def id_bytes(ids: Sequence[int]) -> bytes:
@@ -43,6 +56,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        normalizer = self.tokenizer.normalizer
+        # capitals of ASCII words make no difference to this tokenizer
+        self.lowers = normalizer is not None and normalizer.normalize_str("AZ") == "az"
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as they are, without any piece."""
@@ -59,11 +76,39 @@ class Encoder:
                 young[piece] = old[piece]
             else:
                 fresh.append(piece)
-        made = dict(zip(fresh, self.whole([" " + p for p in fresh]))) if fresh else {}
+        made = self.encode_pieces(fresh) if fresh else {}
         young.update((p, ids) for p, ids in made.items() if len(p) <= LONG_PIECE)
         long = {p: ids for p, ids in made.items() if len(p) > LONG_PIECE}
         return Both(young, long) if long else young
 
+    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that follow a blank, by way of their stems."""
+        cut, stems, tails = [], {}, set()
+        for piece in pieces:
+            stem = piece.rstrip(TAIL)
+            if stem and stem[-1].isalnum():
+                tail = piece[len(stem):]
+            else:
+                stem, tail = piece, ""
+            if self.lowers and stem.isascii():
+                stem = stem.lower()
+            if tail not in self.tails:
+                tails.add(tail)
+            if stem not in stems:
+                stems[stem] = self.young.get(stem) or self.old.get(stem)
+            cut.append((stem, tail))
+        fresh = [stem for stem, known in stems.items() if known is None]
+        stems.update(zip(fresh, self.whole([" " + stem for stem in fresh])))
+        # a stem is a piece like any other
+        self.young.update((stem, ids) for stem, ids in stems.items() if len(stem) <= LONG_PIECE)
+        if tails:
+            if len(self.tails) > LONG_PIECE * 100:
+                self.tails = {"": b""}
+                tails.update(tail for _, tail in cut)
+            ends = sorted(tails - {""})
+            self.tails.update(zip(ends, self.whole(ends)))
+        return {piece: stems[stem] + self.tails[tail] for piece, (stem, tail) in zip(pieces, cut)}
+
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of whole texts; a null counts as empty."""
         out: list[bytes] = []
@@ -81,7 +126,7 @@ class Encoder:
         cut: list[list[str] | None] = []
         for text in texts:
             if text and "<|" not in text:
-                cut.append(SINGLE_BLANK.split(text) if OTHER_BLANK.search(text) else text.split(" "))
+                cut.append(text.split(" ") if blanks_stand_alone(text) else SINGLE_BLANK.split(text))
             else:  # empty, or with what may be a special token, which is looked for before all else
                 cut.append(None)
         wanted = set().union(*[parts[1:] for parts in cut if parts])
