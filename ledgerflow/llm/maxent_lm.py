@@ -6,11 +6,12 @@ to one by the hash of their last bytes.  Slots are grouped into classes, and
     P(token | history) = P(class | history) * P(slot | class, history) * P(token | slot).
 
 The first two factors are softmaxes over hashed features of the history: the words before
-(as a unigram and a bigram) and the slots one, two and three places back (skip features).
-They start from the slot frequencies and are trained by distributed gradient updates:
-every task runs minibatches over its documents from common weights; the weights of all
-tasks are averaged by how often each row was updated, and the next part of the documents
-goes on from there.  Every training document is used once.  The last factor is the
+(as a unigram and a bigram) and the slots one and two places back (a skip feature).  They
+start from the slot frequencies and are trained by distributed gradient updates: every
+trainer runs minibatches over its documents from common weights; what the trainers changed
+is averaged by how often each row was updated, and the next part of the documents goes on
+from there.  Every training document is used once.  There are about as many trainers as
+the cluster has cores, whatever the number of input splits.  The last factor is the
 token's add-one share of its slot, where all unseen tokens count as one.
 
 Token counts are exact, over all training documents.  A fixed number of the most frequent
@@ -32,18 +33,18 @@ from pyspark.sql import functions as F
 from ledgerflow.llm import words as W
 from ledgerflow.llm.common import remainder, staged, table
 
-CLASSES = 32
-MEMBERS = 32  # slots of a class
+CLASSES = 24
+MEMBERS = 24  # slots of a class
 SLOTS = CLASSES * MEMBERS
-OWN = 256  # tokens with a slot of their own
+OWN = 160  # tokens with a slot of their own
 HEAD = 1 << 16  # tokens whose counts travel with the tasks
 CLASS_ROWS, MEMBER_ROWS = 1 << 14, 1 << 15
 ROW_CHUNK = 1 << 10
-BATCH = 8192
+BATCH = 4096
 RATE = 0.25
 ROUNDS = 2
 END = np.uint64(0x1D)  # the end token's value
-FEATURES = 5
+FEATURES = 4
 
 
 class Tokens:
@@ -78,7 +79,7 @@ class Tokens:
     def features(self) -> np.ndarray:
         """(tokens, FEATURES) 64-bit values of the history's features."""
         one, two = (self.back(self.value, k, np.uint64(0)) for k in (1, 2))
-        slots = [self.back(self.slot, k, SLOTS).astype(np.uint64) for k in (1, 2, 3)]
+        slots = [self.back(self.slot, k, SLOTS).astype(np.uint64) for k in (1, 2)]
         kinds = [*slots, one, W.mix(one * np.uint64(W.BASE) + two)]
         return np.stack([W.mix(v + np.uint64(k * W.MIX[0] % (1 << 64))) for k, v in enumerate(kinds)], axis=1)
 
@@ -130,14 +131,15 @@ class Model:
             for rows, outcome, start in self.parts(features[some], slots[some]):
                 slope = self.softmax(rows, start)
                 slope[np.arange(len(outcome)), outcome] -= 1
-                flat = rows.reshape(-1)
+                flat = rows.reshape(-1).astype(np.uint16)  # short keys are sorted by counting
                 order = np.argsort(flat, kind="stable")
                 ranked = flat[order]
                 heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-                touched = ranked[heads]
+                touched = ranked[heads].astype(np.int64)
                 times = np.diff(np.append(heads, len(ranked)))
-                total = np.add.reduceat(slope[order // rows.shape[1]], heads, axis=0)
-                step = total / times[:, None]
+                run = np.cumsum(slope[order // rows.shape[1]], axis=0)
+                total = np.diff(run[heads + times - 1], axis=0, prepend=0)
+                step = (total / times[:, None]).astype(np.float32)
                 squares[touched] += (step * step).mean(axis=1) * times
                 # an AdaGrad step per row
                 rate = RATE * times / np.sqrt(times * (squares[touched] + 1e-6) * 20 + 1.0)
@@ -200,13 +202,13 @@ class Head:
         return known, place
 
 
-def summed(parts: DataFrame, schema: str, levels: int = 3, fan_in: int = 64) -> DataFrame:
-    """Sums of the tasks' weights per chunk, by a tree of bounded fan-in."""
+def summed(parts: DataFrame, schema: str, levels: int = 3, fan_in: int = 32) -> DataFrame:
+    """Sums of the trainers' changes per chunk, by a tree of bounded fan-in."""
 
     def add(rows: pa.Table) -> pa.Table:
         total = {}
         for name in ("weights", "updates"):
-            arrays = [np.frombuffer(v.as_buffer(), dtype=np.float64) for v in rows.column(name)]
+            arrays = [np.frombuffer(v.as_buffer(), dtype=np.float32) for v in rows.column(name)]
             total[name] = sum(arrays[1:], arrays[0].copy()).tobytes()
         return pa.table({"chunk": rows.column("chunk")[:1], "part": rows.column("part")[:1],
                          **{k: pa.array([v], pa.binary()) for k, v in total.items()}})
@@ -222,12 +224,13 @@ def trained(documents: DataFrame, model: Model, head: Head) -> Model:
     schema = "chunk int, part int, weights binary, updates binary"
     context = documents.sparkSession.sparkContext
     rows = documents.select("text", F.pmod(F.xxhash64("text", F.lit("round")), F.lit(ROUNDS)).alias("turn"))
+    trainers = 2 * context.defaultParallelism
     for turn in range(ROUNDS):
         shared = context.broadcast((vars(model), vars(head)))
 
         def learn(batches, shared=shared):
             own, known = restored(Model, shared.value[0]), restored(Head, shared.value[1])
-            own.weights = own.weights.copy()
+            start, own.weights = own.weights, own.weights.copy()
             squares, updates = np.zeros(len(own.weights)), np.zeros(len(own.weights))
             for batch in batches:
                 for _, _, data, offsets in W.text_slices(batch.column(0)):
@@ -238,20 +241,22 @@ def trained(documents: DataFrame, model: Model, head: Head) -> Model:
             for chunk, low in enumerate(range(0, len(own.weights), ROW_CHUNK)):
                 some = slice(low, low + ROW_CHUNK)
                 if updates[some].any():
-                    sums = own.weights[some].astype(np.float64) * updates[some, None]
+                    times = updates[some].astype(np.float32)
+                    sums = (own.weights[some] - start[some]) * times[:, None]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([chunk], pa.int32()), pa.array([part], pa.int32()),
-                         pa.array([sums.tobytes()]), pa.array([updates[some].tobytes()])],
+                         pa.array([sums.tobytes()]), pa.array([times.tobytes()])],
                         names=["chunk", "part", "weights", "updates"])
 
-        parts = rows.filter(F.col("turn") == turn).select("text").mapInArrow(learn, schema)
+        own_part = rows.filter(F.col("turn") == turn).select("text").coalesce(trainers)
+        parts = own_part.mapInArrow(learn, schema)
         # as many rows come to the driver as the model has chunks
         for row in summed(parts, schema).toLocalIterator():
             some = slice(row.chunk * ROW_CHUNK, (row.chunk + 1) * ROW_CHUNK)
-            sums = np.frombuffer(row.weights).reshape(-1, CLASSES)
-            times = np.frombuffer(row.updates)
+            sums = np.frombuffer(row.weights, dtype=np.float32).reshape(-1, CLASSES)
+            times = np.frombuffer(row.updates, dtype=np.float32)
             hit = times > 0
-            model.weights[some][hit] = (sums[hit] / times[hit, None]).astype(np.float32)
+            model.weights[some][hit] += sums[hit] / times[hit, None]
     return model
 
 
