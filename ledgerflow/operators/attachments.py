@@ -35,20 +35,36 @@ def with_file_key(files: DataFrame) -> DataFrame:
     return files.withColumn("file_key", message_key(F.col("filename")))
 
 
+def first_files(attachments: Column) -> Column:
+    """Of a message's files that share a key only the first.
+
+    A key holds folder and uid, so equal keys occur within one message only and nothing
+    has to be shuffled to find them.
+    """
+    keys = F.transform(attachments, lambda file: message_key(file["filename"]))
+    return F.filter(attachments, lambda file, i: F.coalesce(
+        F.array_position(keys, F.element_at(keys, i + 1)) == i + 1, F.lit(True)))
+
+
+def missing_objects(files: DataFrame, stored: DataFrame) -> DataFrame:
+    """Objects to append to the store: files whose key, unique here, is not stored yet."""
+    return files.join(stored.select("file_key"), "file_key", "left_anti").select(
+        "file_key", "content_type", "data", F.octet_length("data").cast("bigint").alias("size_bytes"))
+
+
 def upload_missing(
     files: DataFrame, stored: DataFrame, order: list[str] | None = None
 ) -> DataFrame:
     """Objects to append to the store: keys not stored yet, the first file of each.
 
-    The first one is picked on narrow rows before the shuffle as well as after it,
-    and both steps use one partitioning by key.
+    For files of any origin, whose keys may be equal across rows; the files of parsed
+    messages are told apart by ``first_files``, without a sort of the bytes.
     """
     first = Window.partitionBy("file_key").orderBy(*(order or FILE_ORDER))
     return (
         files.withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") == 1)
-        .join(stored.select("file_key"), "file_key", "left_anti")
-        .select("file_key", "content_type", "data", F.octet_length("data").cast("bigint").alias("size_bytes"))
+        .transform(missing_objects, stored)
     )
 
 

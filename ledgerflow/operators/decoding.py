@@ -12,7 +12,6 @@ from ledgerflow.operators.staging import staged
 NO_EXTRACTION = "Invoice extraction returned None"
 TOO_LARGE = "total_amount does not fit numeric(10,2)"
 DEFAULT_CURRENCY = "USD"
-UNIT_PRICE = "decimal(38,18)"
 
 
 def with_clean_response(answers: DataFrame, repair: bool = False) -> DataFrame:
@@ -101,8 +100,9 @@ def decode_line_items(doc: Column) -> Column:
     """Valid line items of a document as an array of structs.
 
     Anything but a list gives an empty array.  An item needs a text description;
-    quantity and unit price are optional numbers.  ``unit_price`` counts before
-    ``unitPrice`` where both occur.  An item that breaks a rule is left out.
+    quantity and unit price are optional finite numbers of any size; the price keeps all
+    its digits, as text.  ``unit_price`` counts before ``unitPrice`` where both occur.  An
+    item that breaks a rule, a number beyond all doubles among them, is left out.
     """
     items = F.try_variant_get(
         doc,
@@ -123,14 +123,18 @@ def decode_line_items(doc: Column) -> Column:
         F.when(item["unit_price"].isNotNull(), item["unitPrice"]).alias("shadowed"),
     ))
 
+    def finite(number: Column) -> Column:
+        return F.abs(number) < float("inf")
+
     def typed(item: Column) -> Column:
+        quantity = ty.to_double(item["quantity"], item["quantity_kind"])
+        price = ty.to_number_text(item["price"], item["price_kind"])
         return F.struct(
             item["description"].alias("description"),
             item["quantity_kind"].alias("quantity_kind"),
-            ty.to_double(item["quantity"], item["quantity_kind"]).alias("quantity"),
+            F.when(finite(quantity), quantity).alias("quantity"),
             item["price_kind"].alias("price_kind"),
-            ty.to_number_text(item["price"], item["price_kind"])
-            .try_cast(UNIT_PRICE).alias("unit_price"),
+            F.when(finite(price.try_cast("double")), price).alias("unit_price"),
             (
                 item["shadowed"].isNull()
                 | ty.is_absent(ty.kind(item["shadowed"]))
@@ -228,7 +232,7 @@ def read_line_items_json(text: Column) -> Column:
     opened = F.from_json(
         text,
         "array<struct<description string, quantity double, "
-        "unit_price decimal(38,18), unitPrice decimal(38,18)>>",
+        "unit_price string, unitPrice string>>",
     )
     return F.transform(opened, lambda item: F.struct(
         item["description"].alias("description"),

@@ -1,29 +1,15 @@
-"""Lookup joins that stand a hot key."""
+"""Lookup joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-SALTS = 16
 
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    spread_by: list[str | Column],
-    how: str = "inner",
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join many facts to a lookup table whose keys are unique.
 
-    One key may hold a third of the facts, so each key is dealt out over ``salts``
-    partitions by a digest of ``spread_by`` and every lookup row exists once per
-    salt.  The digest is a function of the row, so a re-run task deals alike.  Spark
-    drops the shuffle altogether when its size check finds the lookup side small
-    enough to broadcast; no hint forces that.
+    One key may hold a third of the facts.  Both sides are shuffled for this join alone,
+    so Spark's adaptive skew join splits such a key; where its size check finds the
+    lookup side small enough it is broadcast instead.  Nothing is copied for it.
     """
-    dealt = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
+    return facts.join(lookup, on, how)

@@ -4,16 +4,26 @@ Every table is a folder of ``batch_id=.../attempt=...`` parts.  A batch first wr
 parts and last of all one marker row under ``commits`` that names the attempt; readers
 only see marked attempts, so rows and progress marks appear together or not at all.
 Parts are never changed: a batch that starts over writes a new attempt, and what the
-old one left behind stays unseen.  One writer at a time.
+old one left behind stays unseen.  A batch may replace a table: readers then see its part
+and those of later batches only.  Batches are told apart by text, so that writers with
+names of their own never share one.  One writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from ledgerflow import schemas
 from ledgerflow.operators.commit import update_watermarks
@@ -24,6 +34,8 @@ OUTCOME = StructType([
     StructField("chunk_num", schemas.CHUNK_METRICS["chunk_num"].dataType),
     StructField("status", StringType()),
     StructField("error", StringType()),
+    # whether the message counts as processed
+    StructField("committed", BooleanType()),
     *[
         StructField(name, schemas.CHUNK_METRICS[name].dataType)
         for name in (
@@ -41,9 +53,17 @@ TABLES = {
     "chunk_metrics": schemas.CHUNK_METRICS,
     "outcome": OUTCOME,
 }
-COMMITS = StructType([StructField("attempt", StringType())])
+COMMITS = StructType([
+    StructField("attempt", StringType()),
+    StructField("seq", LongType()),
+    StructField("replaces", ArrayType(StringType())),
+])
 # The batch that creates the empty tables.
-GENESIS = -1
+GENESIS = "genesis"
+# Tables that every batch writes in full, so that reading them does not grow with history.
+WHOLE = ("watermark",)
+
+BatchId = int | str
 
 
 def _nullable(schema: StructType) -> StructType:
@@ -56,8 +76,8 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._attempts: dict[int, str] = {}
-        self._handed_over: dict[int, dict[str, StructType]] = {}
+        self._attempts: dict[str, str] = {}
+        self._handed_over: dict[str, dict[str, StructType]] = {}
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, folders: DataFrame | None = None) -> Ledger:
@@ -71,27 +91,27 @@ class Ledger:
         ledger.commit(GENESIS)
         return ledger
 
-    def begin(self, batch_id: int) -> None:
+    def begin(self, batch_id: BatchId) -> None:
         """Start a batch, or start it over."""
-        self._attempts[batch_id] = uuid.uuid4().hex
+        self._attempts[str(batch_id)] = uuid.uuid4().hex
 
-    def _part(self, table: str, batch_id: int) -> str:
-        if batch_id not in self._attempts:
+    def _part(self, table: str, batch_id: BatchId) -> str:
+        if str(batch_id) not in self._attempts:
             self.begin(batch_id)
-        return f"{self.root}/{table}/batch_id={batch_id}/attempt={self._attempts[batch_id]}"
+        return f"{self.root}/{table}/batch_id={batch_id}/attempt={self._attempts[str(batch_id)]}"
 
-    def stage(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def stage(self, table: str, rows: DataFrame, batch_id: BatchId) -> None:
         """Write a batch's rows of a table; nobody sees them before the commit."""
         columns = TABLES[table].fieldNames()
         rows.select(*columns).write.mode("overwrite").parquet(self._part(table, batch_id))
 
-    def staged(self, table: str, batch_id: int) -> DataFrame:
+    def staged(self, table: str, batch_id: BatchId) -> DataFrame:
         """A batch's own staged rows, read back."""
         return self.spark.read.schema(_nullable(TABLES[table])).parquet(
             self._part(table, batch_id)
         )
 
-    def hand_over(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+    def hand_over(self, name: str, rows: DataFrame, batch_id: BatchId) -> DataFrame:
         """Write an intermediate result of a batch and return it read back.
 
         What a model answered or a parser produced is then computed once, also when
@@ -100,40 +120,72 @@ class Ledger:
         path = self._part(f"work/{name}", batch_id)
         schema = _nullable(rows.schema)
         rows.write.mode("overwrite").parquet(path)
-        self._handed_over.setdefault(batch_id, {})[path] = schema
+        self._handed_over.setdefault(str(batch_id), {})[path] = schema
         return self.spark.read.schema(schema).parquet(path)
 
-    def release(self, batch_id: int) -> None:
+    def release(self, batch_id: BatchId) -> None:
         """Empty the intermediate results of a committed batch; nothing reads them any more."""
-        for path, schema in self._handed_over.pop(batch_id, {}).items():
+        for path, schema in self._handed_over.pop(str(batch_id), {}).items():
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
-    def commit(self, batch_id: int) -> None:
-        """Make a batch visible: the marker is its last write."""
-        marker = self.spark.createDataFrame([(self._attempts[batch_id],)], COMMITS)
+    def commit(self, batch_id: BatchId, replaces: Sequence[str] = ()) -> None:
+        """Make a batch visible: the marker is its last write.
+
+        Of the tables in ``replaces`` readers no longer see what earlier batches wrote.
+        """
+        seq = 0
+        if str(batch_id) != GENESIS:
+            seq = self.committed().agg(F.max("seq")).first()[0] + 1
+        row = (self._attempts[str(batch_id)], seq, [*WHOLE, *replaces])
+        marker = self.spark.createDataFrame([row], COMMITS)
         marker.coalesce(1).write.mode("overwrite").parquet(
             f"{self.root}/commits/batch_id={batch_id}"
         )
 
     def committed(self) -> DataFrame:
-        """Visible batches, ``(batch_id, attempt)``."""
-        schema = StructType([*COMMITS.fields, StructField("batch_id", LongType())])
+        """Committed batches, ``(batch_id, attempt, seq, replaces)``."""
+        schema = StructType([*COMMITS.fields, StructField("batch_id", StringType())])
         return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
 
-    def is_committed(self, batch_id: int) -> bool:
-        return not self.committed().filter(F.col("batch_id") == batch_id).isEmpty()
+    def is_committed(self, batch_id: BatchId) -> bool:
+        return not self.committed().filter(F.col("batch_id") == str(batch_id)).isEmpty()
+
+    def visible(self, table: str) -> DataFrame:
+        """Batches whose rows of a table count: the last that replaced it, and all later ones."""
+        commits = self.committed()
+        since = commits.filter(F.array_contains("replaces", table)).agg(
+            F.coalesce(F.max("seq"), F.lit(0)))
+        return commits.filter(F.col("seq") >= since.scalar()).select("batch_id", "attempt")
+
+    def replace(self, batch_id: BatchId, tables: dict[str, DataFrame]) -> None:
+        """Put new contents in place of whole tables, all of them at once.
+
+        The marks are a table like any other here; where they are not among ``tables``
+        they stay as they are.
+        """
+        if self.is_committed(batch_id):
+            return
+        self.begin(batch_id)
+        kept = {name: self.read(name) for name in WHOLE if name not in tables}
+        for name, rows in {**kept, **tables}.items():
+            self.stage(name, rows, batch_id)
+        self.commit(batch_id, list(tables))
 
     def read(self, table: str, with_batch: bool = False) -> DataFrame:
         """Rows of all visible batches."""
         schema = StructType([
             *_nullable(TABLES[table]).fields,
-            StructField("batch_id", LongType()),
+            StructField("batch_id", StringType()),
             StructField("attempt", StringType()),
         ])
+        if table in WHOLE and not with_batch:
+            newest = self.committed().orderBy(F.desc("seq")).first()
+            path = f"{self.root}/{table}/batch_id={newest.batch_id}/attempt={newest.attempt}"
+            return self.spark.read.schema(_nullable(TABLES[table])).parquet(path)
         rows = (
             self.spark.read.schema(schema)
             .parquet(f"{self.root}/{table}")
-            .join(self.committed(), ["batch_id", "attempt"], "left_semi")
+            .join(self.visible(table), ["batch_id", "attempt"], "left_semi")
             .drop("attempt")
         )
         return rows if with_batch else rows.drop("batch_id")
@@ -141,10 +193,16 @@ class Ledger:
     def marks(self) -> DataFrame:
         """Latest marks of every folder that was ever processed.
 
-        Marks only move outward, so the latest is the highest high and the lowest
-        low over all batches; no order among them is needed.
+        Every batch writes them all, so this reads one part however long the history is.
+        """
+        return self.read("watermark")
+
+    def moved_marks(self, moved: DataFrame) -> DataFrame:
+        """All marks, those in ``moved`` taken outward.
+
+        A folder may come twice in ``moved``, from its messages and from an empty span.
         """
-        return self.read("watermark").groupBy("source_folder_id").agg(
+        return self.marks().unionByName(moved).groupBy("source_folder_id").agg(
             F.max("high_water_mark").alias("high_water_mark"),
             F.min("low_water_mark").alias("low_water_mark"),
             F.max("processed_at").alias("processed_at"),
@@ -155,6 +213,10 @@ class Ledger:
         marks = self.marks()
         return update_watermarks(self.read("source_folder"), marks, F.col("processed_at"))
 
+    def processed(self) -> DataFrame:
+        """``(source_folder_id, uid)`` of the messages that committed batches processed."""
+        return self.read("outcome").filter("committed").select("source_folder_id", "uid")
+
     def state(self) -> DataFrame:
         """``(source_folder_id, high_water_mark, low_water_mark)`` of every folder."""
         return self.folders().select(

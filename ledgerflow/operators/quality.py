@@ -89,13 +89,13 @@ def constraint_audit(tables: dict[str, DataFrame]) -> DataFrame:
 
 def _without(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
     return lookup_join(
-        rows, gone.select(F.col("id").alias(column)), [column], ["id"], how="left_anti"
+        rows, gone.select(F.col("id").alias(column)), [column], how="left_anti"
     )
 
 
 def _set_null(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
     marked = gone.select(F.col("id").alias(column), F.lit(True).alias("_gone"))
-    joined = lookup_join(rows, marked, [column], ["id"], how="left")
+    joined = lookup_join(rows, marked, [column], how="left")
     return joined.withColumn(
         column, F.when(F.col("_gone").isNull(), F.col(column))
     ).select(*rows.columns)
@@ -108,7 +108,7 @@ def delete_sources(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str, D
     """
     folders = tables["source_folder"]
     gone_folders = lookup_join(
-        folders, gone.select(F.col("id").alias("source_id")), ["source_id"], ["id"],
+        folders, gone.select(F.col("id").alias("source_id")), ["source_id"],
         how="left_semi",
     ).select("id")
     invoices = _set_null(tables["invoice"], "source_id", gone)
@@ -126,7 +126,7 @@ def delete_users(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str, Dat
     Their sources and invoices go with them, and the sources' folders in turn.
     """
     gone_sources = lookup_join(
-        tables["source"], gone.select(F.col("id").alias("user_id")), ["user_id"], ["id"],
+        tables["source"], gone.select(F.col("id").alias("user_id")), ["user_id"],
         how="left_semi",
     ).select("id")
     remaining = delete_sources(tables, gone_sources)
@@ -144,7 +144,7 @@ def unprocessed_gaps(messages: DataFrame, state: DataFrame, processed: DataFrame
     failed between successful ones; no later run selects them by itself.
     """
     marks = state.select("source_folder_id", "high_water_mark", "low_water_mark")
-    inside = lookup_join(messages, marks, ["source_folder_id"], ["uid"]).filter(
+    inside = lookup_join(messages, marks, ["source_folder_id"]).filter(
         F.col("uid").between(F.col("low_water_mark"), F.col("high_water_mark"))
     )
     done = processed.select("source_folder_id", "uid")

@@ -130,7 +130,7 @@ def folder_with_source(wanted: DataFrame, folders: DataFrame, sources: DataFrame
     ).withColumn("source_found", F.lit(True))
     located = wanted.select("source_folder_id").join(folder_fields, "source_folder_id", "left")
     joined = lookup_join(
-        located, source_fields, ["source_id"], ["source_folder_id"], how="left"
+        located, source_fields, ["source_id"], how="left"
     )
     error = F.when(
         F.col("folder_name").isNull(),
@@ -151,7 +151,7 @@ def folder_token(folder_ids: DataFrame, folders: DataFrame, tokens: DataFrame) -
     owners = folders.select(F.col("id").alias("source_folder_id"), "source_id")
     usable = tokens.filter(F.col("access_token").isNotNull()).select("source_id", "access_token")
     owned = folder_ids.select("source_folder_id").join(owners, "source_folder_id")
-    return lookup_join(owned, usable, ["source_id"], ["source_folder_id"]).select(
+    return lookup_join(owned, usable, ["source_id"]).select(
         "source_folder_id", "source_id", "access_token"
     )
 
@@ -160,5 +160,5 @@ def message_context(messages: DataFrame, folders: DataFrame, sources: DataFrame)
     """User, source and folder fields on every message of a known folder."""
     owners = sources.select(F.col("id").alias("source_id"), "user_id")
     folder_rows = folders.select(F.col("id").alias("source_folder_id"), *NATURAL_KEY)
-    context = lookup_join(folder_rows, owners, ["source_id"], ["source_folder_id"])
-    return lookup_join(messages, context, ["source_folder_id"], ["uid"])
+    context = lookup_join(folder_rows, owners, ["source_id"])
+    return lookup_join(messages, context, ["source_folder_id"])

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -38,12 +39,14 @@ ScorerFactory = Callable[[str, Sampling], Scorer]
 
 
 def score_batch(
-    prompts: DataFrame, stage: str, factory: ScorerFactory, callers: int | None = None
+    prompts: DataFrame, stage: str, factory: ScorerFactory, profile: ResourceProfile | None = None
 ) -> DataFrame:
     """Add ``response``, ``error`` and ``elapsed_sec`` to rows that carry a ``prompt``.
 
-    ``callers`` bounds how many tasks call the model at the same time.  When a whole
-    batch raises, each of its rows gets the error and the job goes on.
+    When the scorer raises for a batch, that batch's prompts are asked one by one, and only
+    those that raise on their own get the error.  A resource profile bounds how many tasks
+    of an executor call the model at the same time; the work itself stays in as many tasks
+    as it came in, so a lost one asks little again.
     """
     kept = [f for f in prompts.schema.fields if f.name != "prompt"]
     schema = StructType(kept + [
@@ -58,12 +61,21 @@ def score_batch(
         for batch in batches:
             if batch.empty:
                 continue
+            asked = batch["prompt"].tolist()
             begun = time.perf_counter()
             try:
-                answers = answer(batch["prompt"].tolist())
-            except Exception as error:
-                answers = [error] * len(batch)
-            each = (time.perf_counter() - begun) / len(batch)
+                answers, each = answer(asked), None
+            except Exception:
+                answers, each = [], []
+                for prompt in asked:
+                    alone = time.perf_counter()
+                    try:
+                        answers += answer([prompt])
+                    except Exception as error:
+                        answers.append(error)
+                    each.append(time.perf_counter() - alone)
+            if each is None:
+                each = (time.perf_counter() - begun) / len(batch)
             failed = [isinstance(a, Exception) for a in answers]
             yield batch.drop(columns="prompt").assign(
                 response=[None if bad else a for a, bad in zip(answers, failed)],
@@ -71,9 +83,7 @@ def score_batch(
                 elapsed_sec=each,
             )
 
-    if callers:
-        prompts = prompts.repartition(callers)
-    return prompts.mapInPandas(run, schema)
+    return prompts.mapInPandas(run, schema, profile=profile)
 
 
 def join_responses(messages: DataFrame, responses: DataFrame, stage: str) -> DataFrame:

@@ -17,6 +17,7 @@ CHUNK_SIZE = 100
 # One folder's uids are ranked in this many independent parts before the final rank.
 RANK_PARTS = 64
 
+NATURAL_KEY = ["source_id", "folder_name", "uid_validity"]
 HIGH = "high_water_mark"
 LOW = "low_water_mark"
 
@@ -51,7 +52,7 @@ def is_backfill(batch_size: int) -> Column:
 def with_state(messages: DataFrame, state: DataFrame) -> DataFrame:
     """Marks of its folder on every message; folders without state are left out."""
     marks = state.select("source_folder_id", HIGH, LOW)
-    return lookup_join(messages, marks, ["source_folder_id"], ["uid"])
+    return lookup_join(messages, marks, ["source_folder_id"])
 
 
 def select_join(messages: DataFrame, state: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -166,6 +167,32 @@ def select_arrivals(
     )
 
 
+def unread_arrivals(
+    arrivals: DataFrame, marks: DataFrame, processed: DataFrame, chunk_size: int = CHUNK_SIZE
+) -> DataFrame:
+    """Everything that arrived and was not processed yet, in numbered chunks.
+
+    ``processed`` names the messages of committed batches, ``marks`` the span that a folder
+    had read before this ledger knew it.  Files do not come in the order of their uids, so
+    a message below the high mark counts as any other; a folder without marks takes
+    everything.  A message that arrives twice at once is taken once.
+    """
+    span = marks.select("source_folder_id", HIGH, LOW)
+    new = (
+        lookup_join(arrivals, span, ["source_folder_id"], how="left")
+        .filter(~F.coalesce(F.col("uid").between(F.col(LOW), F.col(HIGH)), F.lit(False)))
+        .withColumn("first_run", is_first_run())
+    )
+    if "readable" in new.columns:
+        new = new.filter("readable")
+    new = new.dropDuplicates(["source_folder_id", "uid"]).join(
+        processed.select("source_folder_id", "uid"), ["source_folder_id", "uid"], "left_anti"
+    )
+    return number_chunks_uncapped(new, chunk_size).select(
+        "source_folder_id", "uid", "first_run", "chunk_num"
+    )
+
+
 def select_batch(
     messages: DataFrame,
     state: DataFrame,
@@ -188,5 +215,11 @@ def select_batch(
 
 
 def fetch_selected(messages: DataFrame, selection: DataFrame) -> DataFrame:
-    """Selected messages with their raw bytes."""
-    return messages.join(selection, ["source_folder_id", "uid"])
+    """Selected messages with their raw bytes.
+
+    Messages that name their folder by its natural key are found by that; the selection
+    then carries it next to the folder's id.
+    """
+    if "source_folder_id" in messages.columns:
+        return messages.join(selection, ["source_folder_id", "uid"])
+    return messages.join(selection, [*NATURAL_KEY, "uid"])

@@ -319,7 +319,7 @@ class Inputs:
         order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
         parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
         lines = lookup_join(
-            self.dealt("lineitem"), parts, ["l_partkey"], ["l_orderkey", "l_linenumber"]
+            self.dealt("lineitem"), parts, ["l_partkey"]
         )
         lines = staged(lines, cents=F.round(F.col("l_extendedprice") * 100).cast("bigint"))
         cents, money = F.col("cents"), F.col("money")

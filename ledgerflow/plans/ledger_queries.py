@@ -95,17 +95,29 @@ def affected_counts(i):
     return cm.affected_count(i.invoices(), "offered").withColumn("inserted", inserted)
 
 
+def cleared(ledger: Ledger, table: str) -> DataFrame:
+    """Empty a table of the ledger; one row with the number of rows deleted."""
+    left, deleted = cm.clear_table(ledger.read(table))
+    count = deleted.first().deleted
+    ledger.replace(f"clear-{table}", {table: left})
+    return ledger.spark.range(1).select(F.lit(count).alias("deleted"))
+
+
 @query("clear_invoices", "SELECT count(*) AS deleted, CAST(0 AS BIGINT) AS remaining FROM orders")
 def clear_invoices(i):
-    left, deleted = cm.clear_table(i.invoices())
-    return deleted.withColumn("remaining", cm.affected_count(left).scalar())
+    """The ledger's invoices are deleted for every later reader."""
+    ledger = empty_ledger(i, "clear")
+    ledger.replace("fill", {"invoice": i.invoices()})
+    deleted = cleared(ledger, "invoice")
+    return deleted.withColumn("remaining", cm.affected_count(ledger.read("invoice")).scalar())
 
 
 @query("clear_folders", with_ctes(FOLDER_TABLE, """
 SELECT count(*) AS deleted, CAST(0 AS BIGINT) AS remaining FROM folders"""))
 def clear_folders(i):
-    left, deleted = cm.clear_table(i.folders())
-    return deleted.withColumn("remaining", cm.affected_count(left).scalar())
+    ledger = empty_ledger(i, "clear-folders", i.folders())
+    deleted = cleared(ledger, "source_folder")
+    return deleted.withColumn("remaining", cm.affected_count(ledger.read("source_folder")).scalar())
 
 
 # -- marks and commits -------------------------------------------------------------
@@ -236,8 +248,12 @@ def first_objects(i):
 SELECT file_key, (SELECT count(*) FROM stored WHERE starts_with(file_key, '1')) AS deleted
 FROM stored WHERE NOT starts_with(file_key, '1')"""))
 def delete_by_prefix(i):
-    deleted = att.count_by_prefix(i.stored_files(), "1").scalar()
-    return att.delete_by_prefix(i.stored_files(), "1").select("file_key", deleted.alias("deleted"))
+    """Objects in the ledger's store after all under a prefix were deleted there."""
+    ledger = empty_ledger(i, "prefix")
+    ledger.replace("fill", {"attachment": i.stored_files()})
+    deleted = att.count_by_prefix(ledger.read("attachment"), "1").first().deleted
+    ledger.replace("delete", {"attachment": att.delete_by_prefix(ledger.read("attachment"), "1")})
+    return ledger.read("attachment").select("file_key", F.lit(deleted).alias("deleted"))
 
 
 # -- metrics -----------------------------------------------------------------------
@@ -496,8 +512,14 @@ UNION ALL SELECT 'invoice', CAST(id AS VARCHAR),
   CASE WHEN source_folder_id NOT IN (SELECT id FROM gone_folders) THEN source_folder_id END
 FROM invoices"""))
 def delete_sources(i):
+    """What is left after sources were deleted, folders and invoices as the ledger has them."""
     gone = i.sources().filter(F.col("id") % 6 == 1).select("id")
-    return ids_of(ql.delete_sources(i.tables(), gone))
+    ledger = empty_ledger(i, "purge", i.folders())
+    ledger.replace("fill", {"invoice": i.invoices()})
+    stored = {name: ledger.read(name) for name in ("source_folder", "invoice")}
+    left = ql.delete_sources({**i.tables(), **stored}, gone)
+    ledger.replace("purge", {name: left[name] for name in stored})
+    return ids_of({**left, **{name: ledger.read(name) for name in stored}})
 
 
 @query("unprocessed_gaps", with_ctes([*MIXED, *c.selected(10, 4), MERGED], """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from ledgerflow.operators import attachments as att
 from ledgerflow.operators import commit as cm
 from ledgerflow.operators import decoding, metrics, parsing, prompts, reconcile, scoring, selection
 from ledgerflow.operators.joins import lookup_join
-from ledgerflow.operators.ledger import Ledger
+from ledgerflow.operators.ledger import OUTCOME, BatchId, Ledger
 from ledgerflow.sources.messages import message_keys, readable_messages
 
 KEY = ["source_folder_id", "uid"]
@@ -36,9 +37,11 @@ def answers_from_table(responses: DataFrame) -> Answerer:
     return lambda rows, stage: scoring.join_responses(rows.drop("prompt"), responses, stage)
 
 
-def answers_from_scorer(factory: scoring.ScorerFactory, callers: int | None = None) -> Answerer:
+def answers_from_scorer(
+    factory: scoring.ScorerFactory, profile: ResourceProfile | None = None
+) -> Answerer:
     """A scorer inside the tasks as the model."""
-    return lambda rows, stage: scoring.score_batch(rows, stage, factory, callers)
+    return lambda rows, stage: scoring.score_batch(rows, stage, factory, profile)
 
 
 def _ask(messages: DataFrame, stage: str, answer: Answerer) -> DataFrame:
@@ -47,7 +50,11 @@ def _ask(messages: DataFrame, stage: str, answer: Answerer) -> DataFrame:
 
 
 def _outcomes(parsed: DataFrame, classified: DataFrame, extracted: DataFrame) -> DataFrame:
-    """What became of each message, one narrow row per message."""
+    """What became of each message, one narrow row per message.
+
+    Only the model calls are timed per message.  Upload, commit and the whole are not, so
+    their times are NULL and no rate is computed from them.
+    """
     called = F.coalesce(F.col("classify_sec"), F.lit(0.0))
     drawn = F.coalesce(F.col("extract_sec"), F.lit(0.0))
     error = F.coalesce(F.col("parse_error"), F.col("extract_error"))
@@ -67,18 +74,43 @@ def _outcomes(parsed: DataFrame, classified: DataFrame, extracted: DataFrame) ->
             "chunk_num",
             status.alias("status"),
             error.alias("error"),
-            (called + drawn).alias("duration_sec"),
+            F.lit(True).alias("committed"),
+            F.lit(None).cast("double").alias("duration_sec"),
             called.alias("classification_time_sec"),
             drawn.alias("extraction_time_sec"),
-            F.lit(0.0).alias("s3_upload_time_sec"),
-            F.lit(0.0).alias("db_commit_time_sec"),
+            F.lit(None).cast("double").alias("s3_upload_time_sec"),
+            F.lit(None).cast("double").alias("db_commit_time_sec"),
         )
     )
 
 
+def located_and_lost(
+    chosen: DataFrame, context: DataFrame, folders: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Messages whose folder and source are there, and the outcomes of all others.
+
+    A message without folder or source fails with the reason; it does not count as
+    processed and moves no mark.
+    """
+    there = context.select("source_folder_id")
+    owners = folders.select(
+        F.col("id").alias("source_folder_id"), "source_id").dropDuplicates(["source_folder_id"])
+    lost = lookup_join(
+        chosen.join(there, "source_folder_id", "left_anti"), owners, ["source_folder_id"], how="left")
+    error = F.when(
+        F.col("source_id").isNull(),
+        F.concat(F.lit("Source folder "), F.col("source_folder_id").cast("string"), F.lit(" not found")),
+    ).otherwise(F.concat(F.lit("Source "), F.col("source_id").cast("string"), F.lit(" not found")))
+    lost = lost.select(
+        *KEY, F.lit(metrics.FAILED).alias("status"), error.alias("error"), F.lit(False).alias("committed"))
+    missing = [f for f in OUTCOME.fields if f.name not in lost.columns]
+    return chosen.join(there, "source_folder_id", "left_semi"), lost.withColumns(
+        {f.name: F.lit(None).cast(f.dataType) for f in missing})
+
+
 def process_messages(
     ledger: Ledger,
-    batch_id: int,
+    batch_id: BatchId,
     selected: DataFrame,
     state: DataFrame,
     context: DataFrame,
@@ -87,12 +119,14 @@ def process_messages(
     sizes: RunSizes = RunSizes(),
     failures: DataFrame | None = None,
     extra_marks: DataFrame | None = None,
+    lost: DataFrame | None = None,
 ) -> None:
     """Parse, classify, extract and commit selected messages as one batch.
 
     ``selected`` has the raw bytes and ``chunk_num``; ``state`` the marks and ``context``
     the user, source and folder fields per ``source_folder_id``.  ``failures`` names
-    chunks to leave out.  The caller has begun the batch.
+    chunks to leave out, ``lost`` the outcomes of messages without a folder.  The caller
+    has begun the batch.
     """
     readable = readable_messages(selected).select(*KEY, "chunk_num", "rfc822_data")
     parsed = ledger.hand_over("parsed", parsing.parse_messages(readable), batch_id)
@@ -105,8 +139,16 @@ def process_messages(
         "extracted", decoding.decode_invoice(_ask(likely, "extract", answer)), batch_id
     )
 
-    ledger.stage("outcome", _outcomes(parsed, classified, extracted), batch_id)
-    outcome = ledger.staged("outcome", batch_id)
+    outcome = _outcomes(parsed, classified, extracted)
+    if failures is not None:
+        left_out = failures.select("source_folder_id", "chunk_num").distinct().withColumn(
+            "_failed", F.lit(True))
+        outcome = outcome.join(left_out, ["source_folder_id", "chunk_num"], "left").withColumn(
+            "committed", F.col("_failed").isNull()).drop("_failed")
+    if lost is not None:
+        outcome = outcome.unionByName(lost)
+    ledger.stage("outcome", outcome, batch_id)
+    outcome = ledger.staged("outcome", batch_id).filter(F.col("chunk_num").isNotNull())
     chunks = metrics.chunk_metrics(outcome, F.lit(str(batch_id)))
     committed = outcome
     if failures is not None:
@@ -115,16 +157,16 @@ def process_messages(
 
     found = outcome.filter(F.col("status") == metrics.INVOICE).select(*KEY, "chunk_num")
     fields = context.select("source_folder_id", *reconcile.NATURAL_KEY, "user_id")
-    located = lookup_join(found, fields, ["source_folder_id"], ["uid"])
+    located = lookup_join(found, fields, ["source_folder_id"])
 
     # files of a failed chunk are stored as well: they go up before the commit
     with_files = parsed.select(*KEY, "attachments").filter(F.size("attachments") > 0)
-    files = parsing.explode_attachments(
-        with_files.join(located.drop("chunk_num"), KEY), *reconcile.NATURAL_KEY, "user_id"
-    )
+    with_files = with_files.join(located.drop("chunk_num"), KEY).withColumn(
+        "attachments", att.first_files(F.col("attachments")))
+    files = parsing.explode_attachments(with_files, *reconcile.NATURAL_KEY, "user_id")
     ledger.stage(
         "attachment",
-        att.upload_missing(att.with_file_key(files), ledger.read("attachment")),
+        att.missing_objects(att.with_file_key(files), ledger.read("attachment")),
         batch_id,
     )
 
@@ -150,7 +192,7 @@ def process_messages(
     marks = cm.merge_watermarks(state, cm.uid_bounds(committed))
     if extra_marks is not None:
         marks = marks.unionByName(extra_marks)
-    ledger.stage("watermark", marks.withColumn("processed_at", now), batch_id)
+    ledger.stage("watermark", ledger.moved_marks(marks.withColumn("processed_at", now)), batch_id)
     ledger.stage("chunk_metrics", chunks, batch_id)
     ledger.commit(batch_id)
     ledger.release(batch_id)
@@ -158,7 +200,7 @@ def process_messages(
 
 def run_folders(
     ledger: Ledger,
-    batch_id: int,
+    batch_id: BatchId,
     messages: DataFrame,
     state: DataFrame,
     context: DataFrame,
@@ -178,7 +220,7 @@ def run_folders(
 
 def _run_folders(
     ledger: Ledger,
-    batch_id: int,
+    batch_id: BatchId,
     messages: DataFrame,
     state: DataFrame,
     context: DataFrame,
@@ -186,25 +228,40 @@ def _run_folders(
     now: Column,
     sizes: RunSizes,
     failures: DataFrame | None,
+    created: bool = False,
 ) -> None:
     keys = message_keys(messages)
+    by_name = "source_folder_id" not in keys.columns
+    names = context.select("source_folder_id", *reconcile.NATURAL_KEY)
+    if by_name:
+        keys = lookup_join(keys, names, reconcile.NATURAL_KEY).drop(*reconcile.NATURAL_KEY)
     chosen = ledger.hand_over(
         "selected",
         selection.select_batch(keys, state, sizes.batch_size, sizes.chunk_size),
         batch_id,
     )
+    # messages of folders that nobody knows are reported as well
+    folders = ledger.read("source_folder").unionByName(
+        ledger.staged("source_folder", batch_id)) if created else ledger.read("source_folder")
+    unknown = keys.select(*KEY).join(
+        folders.select(F.col("id").alias("source_folder_id")), "source_folder_id", "left_anti")
+    chosen, lost = located_and_lost(
+        chosen.unionByName(unknown, allowMissingColumns=True), context, folders)
+    if by_name:
+        chosen = lookup_join(chosen, names, ["source_folder_id"])
+    seen = keys.filter("readable")  # a span of unreadable messages is as good as empty
     extra = (
-        cm.advance_empty_spans(state, keys, sizes.batch_size) if sizes.advance_empty else None
+        cm.advance_empty_spans(state, seen, sizes.batch_size) if sizes.advance_empty else None
     )
     process_messages(
         ledger, batch_id, selection.fetch_selected(messages, chosen), state, context, answer,
-        now, sizes, failures, extra,
+        now, sizes, failures, extra, lost,
     )
 
 
 def run(
     ledger: Ledger,
-    batch_id: int,
+    batch_id: BatchId,
     sources: DataFrame,
     refreshes: DataFrame,
     listing: DataFrame,
@@ -216,8 +273,9 @@ def run(
 ) -> DataFrame:
     """The whole run; returns its one-row summary.
 
-    ``now`` is one literal without zone, in UTC, for the whole run.  ``messages`` may be
-    keyed by folder ids that this run creates, since those are the same on every attempt.
+    ``now`` is one literal without zone, in UTC, for the whole run.  ``messages`` may name
+    their folder by its natural key, so that mail of a folder this run creates is read in
+    this run; ``folder_results`` tells what became of each folder.
     """
     tokens = reconcile.source_tokens(sources, refreshes, now)
     usable = tokens.filter(F.col("access_token").isNotNull()).select("source_id")
@@ -235,7 +293,8 @@ def run(
             F.col("id").alias("source_folder_id"), "high_water_mark", "low_water_mark"
         ).join(context.select("source_folder_id"), "source_folder_id", "left_semi")
         _run_folders(
-            ledger, batch_id, messages, state, context, answer, stamp, sizes, failures
+            ledger, batch_id, messages, state, context, answer, stamp, sizes, failures,
+            created=True,
         )
     reconciled = run_context(listed, ledger.read("source_folder"), sources)
     rollup = metrics.folder_rollup(
@@ -250,18 +309,29 @@ def run_context(listing: DataFrame, folders: DataFrame, sources: DataFrame) -> D
     """Folder, source and user fields of every listed folder, by ``source_folder_id``."""
     owners = sources.select(F.col("id").alias("source_id"), "user_id")
     listed = reconcile.reconcile_existing(listing, folders)
-    return lookup_join(listed, owners, ["source_id"], ["id"]).withColumnRenamed(
+    return lookup_join(listed, owners, ["source_id"]).withColumnRenamed(
         "id", "source_folder_id"
     )
 
 
-def batch_rows(ledger: Ledger, table: str, batch_id: int) -> DataFrame:
+def folder_results(ledger: Ledger, batch_id: BatchId, folders: DataFrame) -> DataFrame:
+    """One row per folder a batch was to read: its sums, or the reason it has none."""
+    reasons = (
+        batch_rows(ledger, "outcome", batch_id).filter(F.col("chunk_num").isNull())
+        .groupBy("source_folder_id").agg(F.min("error").alias("error"))
+    )
+    spawned = folders.select("source_folder_id").union(reasons.select("source_folder_id")).distinct()
+    rollup = metrics.folder_rollup(batch_rows(ledger, "chunk_metrics", batch_id))
+    return metrics.worker_results(spawned, rollup, reasons)
+
+
+def batch_rows(ledger: Ledger, table: str, batch_id: BatchId) -> DataFrame:
     return (
-        ledger.read(table, with_batch=True).filter(F.col("batch_id") == batch_id).drop("batch_id")
+        ledger.read(table, with_batch=True).filter(F.col("batch_id") == str(batch_id)).drop("batch_id")
     )
 
 
-def failed_emails(ledger: Ledger, batch_id: int, failures: DataFrame) -> DataFrame:
+def failed_emails(ledger: Ledger, batch_id: BatchId, failures: DataFrame) -> DataFrame:
     """``(source_folder_id, chunk_num, emails)`` of the chunks a batch left out."""
     failed = failures.select("source_folder_id", "chunk_num").distinct()
     return (

@@ -64,28 +64,40 @@ def second_run_marks(i):
 # -- stream ----------------------------------------------------------------------
 
 
-def event_stream(i: Inputs) -> DataFrame:
-    """Raw messages of the event table as a file stream."""
-    events = (
-        i.spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(i.sf_dir)
-    )
-    # the table is one file, hence one task
-    return i.raw_events(events.repartition(i.spark.sparkContext.defaultParallelism))
+FILES = 5
 
 
-def streamed(i: Inputs, name: str) -> Ledger:
-    """A ledger that took the whole event table in through the stream."""
-    ledger = empty_ledger(i, name, i.event_folders())
+def file_of(event_id):
+    """Which file an event arrives in; every file runs through all uids."""
+    return (event_id * 3 + 1) % FILES
+
+
+def event_files(i: Inputs) -> str:
+    """The event table as files that arrive one after the other, no folder's uids in order."""
+    path = new_run_dir(i.spark, "event-files")
+    for number in range(FILES):
+        part = i.table("events").filter(file_of(F.col("event_id")) == number)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def drained(i: Inputs, ledger: Ledger, path: str, name: str) -> Ledger:
+    """The ledger after a stream over files of events, one per micro-batch, has run dry."""
+    events = i.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
     stream = start_incremental(
-        event_stream(i), ledger, i.event_context(), rn.answers_from_table(i.event_responses()),
+        i.raw_events(events), ledger, i.event_context(),
+        rn.answers_from_table(i.event_responses()),
         new_run_dir(i.spark, f"{name}-checkpoint"), now=lambda: now().cast("timestamp"),
     )
     stream.awaitTermination()
     return ledger
 
 
+def streamed(i: Inputs, name: str) -> Ledger:
+    """A ledger that took the whole event table in through the stream."""
+    return drained(i, empty_ledger(i, name, i.event_folders()), event_files(i), name)
+
+
 FOUND = f"""found AS (
   SELECT source_folder_id, uid, CAST(source_folder_id % 25 AS VARCHAR) AS user_id,
     CASE WHEN uid % 10 <> 0 THEN 'INV-' || (uid % 500) END AS invoice_number,
@@ -96,14 +108,17 @@ STREAM_FIRSTS = """firsts AS (
   SELECT * EXCLUDE (r) FROM (
     SELECT *, row_number() OVER (PARTITION BY invoice_number ORDER BY source_folder_id, uid) AS r
     FROM found) WHERE r = 1 OR invoice_number IS NULL)"""
+# of equal numbers the first file's counts
+FILE_FIRSTS = STREAM_FIRSTS.replace(
+    "ORDER BY source_folder_id", "ORDER BY ((uid - 1) * 3 + 1) % 5, source_folder_id")
 
 
-@query("incremental_stream", with_ctes([c.MESSAGES, FOUND, STREAM_FIRSTS], """
+@query("incremental_stream", with_ctes([c.MESSAGES, FOUND, FILE_FIRSTS], """
 SELECT source_folder_id, uid, user_id, invoice_number, total_amount,
   '[{"file_name":"props.json","file_key":"' || file_key || '"}]' AS attached_files,
   '<' || (uid - 1) || '@example.com>' AS message_id FROM firsts"""))
 def incremental_stream(i):
-    """Invoices in the ledger after the stream has run dry."""
+    """Invoices in the ledger after the stream has run dry, over five files out of order."""
     return streamed(i, "stream").read("invoice").select(
         "source_folder_id", "uid", "user_id", "invoice_number",
         F.col("total_amount").cast("double").alias("total_amount"),
@@ -161,6 +176,69 @@ def idempotent_replay(i):
     )
 
 
+PROCESSED = with_ctes([c.MESSAGES], """
+SELECT source_folder_id, uid, CAST(1 AS BIGINT) AS times FROM messages""")
+
+
+def processed_times(ledger: Ledger) -> DataFrame:
+    return ledger.processed().groupBy("source_folder_id", "uid").agg(
+        F.count(F.lit(1)).alias("times"))
+
+
+@query("stream_after_batch", PROCESSED)
+def stream_after_batch(i):
+    """A small run, then the stream on the same ledger: every message once."""
+    ledger = empty_ledger(i, "after-batch", i.event_folders())
+    rn.run_folders(
+        ledger, 0, i.raw_events(i.dealt("events")), ledger.state(), i.event_context(),
+        rn.answers_from_table(i.event_responses()), now().cast("timestamp"),
+        rn.RunSizes(batch_size=3, chunk_size=2),
+    )
+    return processed_times(drained(i, ledger, event_files(i), "after-batch"))
+
+
+@query("stream_two_checkpoints", PROCESSED)
+def stream_two_checkpoints(i):
+    """The same files through two streams with checkpoints of their own: every message once."""
+    ledger, path = empty_ledger(i, "two", i.event_folders()), event_files(i)
+    for name in ("two-first", "two-second"):
+        drained(i, ledger, path, name)
+    return processed_times(ledger)
+
+
+@query("run_missing_context", with_ctes([c.MESSAGES, FOUND, STREAM_FIRSTS.replace(
+    "FROM found)", "FROM found WHERE source_folder_id % 5 > 0 AND source_folder_id % 7 > 0)")], """
+SELECT source_folder_id, CASE WHEN source_folder_id % 7 = 0
+    THEN 'Source folder ' || source_folder_id || ' not found'
+    WHEN source_folder_id % 5 = 0 THEN 'Source ' || source_folder_id || ' not found' END AS error,
+  count(*) AS messages,
+  CASE WHEN source_folder_id % 7 = 0 OR source_folder_id % 5 = 0 THEN CAST(0 AS BIGINT)
+    ELSE count(*) FILTER (event_type = 'purchase') END AS found,
+  (SELECT count(*) FROM firsts f WHERE f.source_folder_id = m.source_folder_id) AS inserted
+FROM messages m GROUP BY source_folder_id"""))
+def run_missing_context(i):
+    """Mail of folders that are gone, or whose source is, fails with the reason; no mark moves."""
+    key = F.col("source_folder_id")
+    ledger = empty_ledger(i, "missing", i.event_folders().filter(F.col("id") % 7 > 0))
+    context = i.event_context().filter((key % 5 > 0) & (key % 7 > 0))
+    ingest_arrivals(
+        ledger, "missing", i.raw_events(i.dealt("events")), context,
+        rn.answers_from_table(i.event_responses()), now().cast("timestamp"),
+    )
+    inserted = ledger.read("invoice").groupBy("source_folder_id").agg(
+        F.count(F.lit(1)).alias("inserted"))
+    marked = ledger.marks().select("source_folder_id", F.lit(True).alias("marked"))
+    outcome = ledger.read("outcome").join(marked, "source_folder_id", "left")
+    # a mark on a folder that failed would show as an error text of its own
+    told = F.when(F.col("committed"), F.lit(None)).when(F.col("marked"), F.lit("marked")).otherwise(
+        F.col("error"))
+    return outcome.groupBy("source_folder_id", told.alias("error")).agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("status") == "invoice").alias("found"),
+    ).join(inserted, "source_folder_id", "left").withColumn(
+        "inserted", F.coalesce("inserted", F.lit(0)))
+
+
 # -- whole run ---------------------------------------------------------------------
 
 
@@ -176,7 +254,8 @@ RUN_CTES = [
     c.SOURCES, c.REFRESHES, c.TOKENS, c.MESSAGES,
     "usable AS (SELECT source_id FROM tokens WHERE access_token IS NOT NULL)",
     """taken_messages AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_folder_id ORDER BY uid DESC) AS r
+  SELECT * FROM (SELECT *, row_number() OVER (
+    PARTITION BY source_folder_id, uid % 3 = 0 ORDER BY uid DESC) AS r
                  FROM messages WHERE source_folder_id IN (SELECT source_id FROM usable))
   WHERE r <= 50)""",
 ]
@@ -193,10 +272,25 @@ SELECT (SELECT count(*) FROM usable) AS sources_processed,
   count(*) FILTER (event_type IN ('error', 'signup')) AS total_errors
 FROM taken_messages"""))
 def run_summary(i):
-    """Tokens, folders, selection, parsing, both model steps, commit and totals in one run."""
+    """Tokens, folders, selection, parsing, both model steps, commit and totals in one run.
+
+    A third of the mail lies in folders that only this run creates.
+    """
     ledger = empty_ledger(i, "run", i.event_folders())
+    named = i.raw_events(i.dealt("events")).select(
+        F.col("source_folder_id").alias("source_id"),
+        F.when(F.col("uid") % 3 == 0, "Spam").otherwise("INBOX").alias("folder_name"),
+        F.lit("1").alias("uid_validity"), "uid", "rfc822_data",
+        F.octet_length("rfc822_data").cast("bigint").alias("size_bytes"),
+    )
+    responses = i.event_responses().drop("source_folder_id")
+
+    def answer(rows: DataFrame, stage: str) -> DataFrame:
+        # captured under the uid alone, for the folders' ids are not known before the run
+        asked = responses.filter(F.col("stage") == stage).select("uid", "response", "error")
+        return rows.drop("prompt").join(asked, "uid", "left").withColumn("elapsed_sec", F.lit(0.0))
+
     return rn.run(
-        ledger, 0, i.sources(), i.refreshes(), customer_listing(i),
-        i.raw_events(i.dealt("events")), rn.answers_from_table(i.event_responses()), now(),
+        ledger, 0, i.sources(), i.refreshes(), customer_listing(i), named, answer, now(),
         rn.RunSizes(batch_size=50, chunk_size=7),
     )

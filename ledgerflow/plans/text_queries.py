@@ -209,7 +209,7 @@ def decode_line_items(i):
     def total(field, kind):
         zero = F.lit(0).cast(kind)
         return F.when(F.size("items") > 0, F.aggregate(
-            "items", zero, lambda sum_, item: (sum_ + item[field]).cast(kind)
+            "items", zero, lambda sum_, item: (sum_ + item[field].cast(kind)).cast(kind)
         ).cast("double"))
 
     return line_items(i).select(
@@ -229,6 +229,25 @@ def line_items_json(i):
     )
 
 
+@query("wide_prices", """
+SELECT p_partkey, d AS description, CASE d WHEN 'long' THEN p_partkey || '.0000000000000000000000001'
+  WHEN 'large' THEN '1.0E30' WHEN 'small' THEN '1.0E-20' END AS unit_price,
+  CASE d WHEN 'small' THEN 2.0::DOUBLE END AS quantity
+FROM part, (VALUES ('long'), ('large'), ('small')) v(d)""")
+def wide_prices(i):
+    """Prices of any size and length stay as they are; numbers that are not finite do not."""
+    text = F.concat(
+        F.lit('{"line_items": [{"description": "long", "unitPrice": "'), F.col("p_partkey").cast("string"),
+        F.lit('.0000000000000000000000001"}, {"description": "large", "unitPrice": 1e30}, '
+              '{"description": "small", "unit_price": 1e-20, "quantity": 2}, '
+              '{"description": "endless", "quantity": 1e999}, {"description": "dear", "unitPrice": "1e999"}]}'),
+    )
+    answers = dc.with_document(i.table("part").select("p_partkey", text.alias("cleaned")))
+    return answers.select("p_partkey", F.inline(dc.decode_line_items(F.col("doc")))).select(
+        "p_partkey", "description", "unit_price", "quantity"
+    )
+
+
 @query("amount_cast", """
 SELECT o_orderkey, CAST(CAST(v AS DECIMAL(10, 2)) AS DOUBLE) AS amount, v IS NOT NULL AS valid
 FROM (SELECT o_orderkey, CASE o_orderkey % 4

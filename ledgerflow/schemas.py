@@ -56,8 +56,8 @@ SOURCE_FOLDER = StructType([
     _f("updated_at", TimestampType(), True),
 ])
 
-# The unit price keeps 18 decimals, so that no price a model writes is rounded.
-UNIT_PRICE = DecimalType(38, 18)
+# The unit price is number text, so that no price a model writes is rounded or cut by size.
+UNIT_PRICE = StringType()
 AMOUNT = DecimalType(10, 2)
 
 LINE_ITEMS = ArrayType(StructType([

@@ -1,8 +1,10 @@
 """Message connectors.
 
 A connector is anything that yields ``(source_folder_id, uid, rfc822_data)`` rows,
-``uid`` unique within a folder.  A table may add ``size_bytes`` (NULL for a message
-that could not be fetched); selection then never has to open the raw bytes.
+``uid`` unique within a folder.  Instead of the folder's id a table may name the folder by
+its natural key (``source_id, folder_name, uid_validity``); the run resolves it.  A table
+may add ``size_bytes`` (NULL for a message that could not be fetched); selection then
+never has to open the raw bytes.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ MESSAGE_TABLE = StructType(
     schemas.RAW_MESSAGE.fields + [StructField("size_bytes", LongType(), True)]
 )
 
+NATURAL_KEY = ["source_id", "folder_name", "uid_validity"]
 # <folder id>/<uid>.eml
 EML_PATH = r"/(\d+)/(\d+)\.eml$"
 
@@ -80,14 +83,18 @@ def read_connector(spark: SparkSession, name: str, **options: str) -> DataFrame:
 
 
 def message_keys(messages: DataFrame) -> DataFrame:
-    """``(source_folder_id, uid, readable)`` without the raw bytes."""
+    """``(source_folder_id, uid, readable)`` without the raw bytes.
+
+    Messages that name their folder by its natural key keep that in place of the id.
+    """
     if "size_bytes" in messages.columns:
         readable = F.col("size_bytes").isNotNull()
     elif "rfc822_data" in messages.columns:
         readable = F.col("rfc822_data").isNotNull()
     else:
         readable = F.lit(True)
-    return messages.select("source_folder_id", "uid", readable.alias("readable"))
+    folder = ["source_folder_id"] if "source_folder_id" in messages.columns else NATURAL_KEY
+    return messages.select(*folder, "uid", readable.alias("readable"))
 
 
 def readable_messages(messages: DataFrame) -> DataFrame:

@@ -132,17 +132,17 @@ def test_a_second_attempt_replaces_the_first(spark, ledger):
     assert ledger.is_committed(1) and not ledger.is_committed(2)
 
 
-def test_marks_come_from_committed_batches_in_any_order(spark, ledger):
+def test_marks_only_move_outward_and_come_from_the_newest_batch(spark, ledger):
     def marks(*values):
         return spark.createDataFrame(
             [(1, *values)], "source_folder_id long, high_water_mark long, low_water_mark long"
         ).withColumn("processed_at", F.lit("2024-07-01").cast("timestamp"))
 
-    ledger.stage("watermark", marks(20, 10), 2)
+    ledger.stage("watermark", ledger.moved_marks(marks(20, 10)), 2)
     ledger.commit(2)
-    ledger.stage("watermark", marks(15, 8), 1)
+    ledger.stage("watermark", ledger.moved_marks(marks(15, 8)), 1)
     ledger.commit(1)
-    ledger.stage("watermark", marks(99, 1), 3)
+    ledger.stage("watermark", ledger.moved_marks(marks(99, 1)), 3)
     assert [tuple(r)[:3] for r in ledger.marks().collect()] == [(1, 20, 8)]
 
 

@@ -145,16 +145,27 @@ def test_line_items(spark):
         ({"description": "i", "unitPrice": True}, None),
         ({"description": "j", "quantity": None, "unitPrice": None}, ("j", None, None)),
         ({"description": "k", "unitPrice": 1.23456789}, ("k", None, Decimal("1.23456789"))),
+        ({"description": "l", "unitPrice": 1e30}, ("l", None, Decimal("1e30"))),
+        ({"description": "m", "unitPrice": 1e-20}, ("m", None, Decimal("1e-20"))),
+        ({"description": "n", "unitPrice": "1." + "7" * 25}, ("n", None, Decimal("1." + "7" * 25))),
+        ({"description": "o", "unitPrice": "1e999"}, None),
+        ({"description": "p", "quantity": "1e999"}, None),
         ({"description": "", "quantity": []}, None),
         ("text", None),
         (None, None),
         (["description"], None),
     ]
     got = extract(spark, [json.dumps({"line_items": [item for item, _ in items]})])[0]
-    assert [tuple(i) for i in got.invoice.line_items] == [
-        (d, q, None if p is None else p.quantize(Decimal("1e-18")))
-        for d, q, p in (wanted for _, wanted in items if wanted)
+    found = [
+        (i.description, i.quantity, None if i.unit_price is None else Decimal(i.unit_price))
+        for i in got.invoice.line_items
     ]
+    assert found == [wanted for _, wanted in items if wanted]
+
+
+def test_numbers_beyond_all_doubles(spark):
+    answer = '{"line_items": [{"description": "a", "quantity": 1e999}, {"description": "b", "unitPrice": 1e999}]}'
+    assert extract(spark, [answer])[0].invoice.line_items == []
 
 
 def test_line_items_that_are_no_list(spark):
@@ -164,8 +175,8 @@ def test_line_items_that_are_no_list(spark):
 
 def test_json_keeps_nulls_and_reads_both_spellings(spark):
     frame = spark.createDataFrame(
-        [([("a", None, Decimal("1.50"))],)],
-        "items array<struct<description string, quantity double, unit_price decimal(38,18)>>",
+        [([("a", None, "1.50")],)],
+        "items array<struct<description string, quantity double, unit_price string>>",
     )
     text = frame.select(dc.line_items_json(F.col("items")).alias("t"))
     assert text.first().t == '[{"description":"a","quantity":null,"unit_price":1.5}]'
