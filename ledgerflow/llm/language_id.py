@@ -27,6 +27,7 @@ BINS = 1 << 14  # hashed n-grams of each order
 ORDERS = (1, 2, 3)
 ROUNDS = 12
 SMOOTH = 0.5
+SLICE = 512 << 10  # bytes at once; every byte begins an n-gram of each order
 # letters, and the marks of other scripts; digits and signs end a word
 LETTERS = W.byte_table(lambda b: b >= 0x80 or chr(b).isalpha())
 
@@ -71,7 +72,7 @@ def learnt(documents: DataFrame) -> tuple[list[str], np.ndarray]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             names = np.array(batch.column(1).to_pylist(), dtype=object)
-            for low, high, data, offsets in W.text_slices(batch.column(0)):
+            for low, high, data, offsets in W.text_slices(batch.column(0), SLICE):
                 words, bins, owners = word_grams(data, offsets)
                 text = W.text_of(words)[owners]
                 for name in set(names[low:high]):
@@ -154,7 +155,7 @@ def languages(documents: DataFrame) -> DataFrame:
         for batch in batches:
             lettered = np.array(batch.column(2))
             out = [("und", 0.0, [])] * len(batch)
-            for low, high, data, offsets in W.text_slices(batch.column(1)) if names else ():
+            for low, high, data, offsets in W.text_slices(batch.column(1), SLICE) if names else ():
                 words, bins, owners = word_grams(data, offsets)
                 if not len(words.values):
                     continue

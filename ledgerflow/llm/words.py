@@ -66,7 +66,7 @@ def power_tables(count: int) -> tuple[np.ndarray, np.ndarray]:
     return kept
 
 
-def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts; a null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -79,7 +79,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < count:
-        until = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
+        until = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         until = min(count, max(row + 1, until))
         yield row, until, data[offsets[row] : offsets[until]], offsets[row : until + 1] - offsets[row]
         row = until
