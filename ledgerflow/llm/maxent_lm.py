@@ -45,6 +45,7 @@ RATE = 0.25
 ROUNDS = 2
 END = np.uint64(0x1D)  # the end token's value
 FEATURES = 4
+MEMBER_FEATURES = 3  # all but the bigram decide among the slots of a class
 
 
 class Tokens:
@@ -112,7 +113,7 @@ class Model:
         """(rows, outcome, starting scores) of both softmaxes."""
         group, member = slots // MEMBERS, slots % MEMBERS
         yield self.rows(features, None), group, self.class_start
-        yield self.rows(features, group), member, self.member_start[group]
+        yield self.rows(features[:, :MEMBER_FEATURES], group), member, self.member_start[group]
 
     def log10(self, features: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """log10 P(slot | history) of each token."""
