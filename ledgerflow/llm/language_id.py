@@ -25,7 +25,7 @@ from ledgerflow.llm.common import remainder, table
 
 BINS = 1 << 14  # hashed n-grams of each order
 ORDERS = (1, 2, 3)
-ROUNDS = 12
+ROUNDS = 8
 SMOOTH = 0.5
 SLICE = 512 << 10  # bytes at once; every byte begins an n-gram of each order
 # letters, and the marks of other scripts; digits and signs end a word
