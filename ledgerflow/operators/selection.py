@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.joins import lookup_join
+from ledgerflow.operators.joins import lookup_join, salted_join
 
 BATCH_SIZE = 1000
 CHUNK_SIZE = 100
@@ -52,7 +52,7 @@ def is_backfill(batch_size: int) -> Column:
 def with_state(messages: DataFrame, state: DataFrame) -> DataFrame:
     """Marks of its folder on every message; folders without state are left out."""
     marks = state.select("source_folder_id", HIGH, LOW)
-    return lookup_join(messages, marks, ["source_folder_id"])
+    return salted_join(messages, marks, ["source_folder_id"], ["uid"])
 
 
 def select_join(messages: DataFrame, state: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
