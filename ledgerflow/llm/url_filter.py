@@ -2,9 +2,10 @@
 
 A rule is a pattern of a host and the start of a path, or a regular expression over both.
 Its literal tokens (runs of letters and digits that a matching URL must have between
-separators) are counted over all URLs, and the rule is entered in the index under the one
-that fewest URLs have.  The tokens of each distinct URL fetch the rules entered under
-them; only those run their regular expression.  Of the host rules that match, the longest
+separators, or that one of its runs must begin with) are counted over all URLs, and the
+rule is entered in the index under the one that fewest URLs have; a rule whose matches do
+not share a literal is entered so once for each of its alternatives.  The tokens of each
+distinct URL fetch the rules entered under them; only those run their regular expression.  Of the host rules that match, the longest
 one decides; where none does, the pattern rules decide: a URL that one of them matches is
 blocked, any other one allowed.
 
@@ -35,7 +36,7 @@ class Rule(NamedTuple):
     name: str
     verdict: str
     pattern: str
-    literals: tuple[str, ...]
+    literals: tuple[tuple[str, ...], ...]  # every match has all literals of one alternative
     is_host: bool
 
 
@@ -45,11 +46,14 @@ def host_rule(verdict: str, name: str) -> Rule:
     pattern = rf"^(?:[^/]*\.)?{re.escape(host)}{re.escape(slash + path)}"
     # the last token of the path may go on in the URL, so it is no token of its own there
     whole = re.findall(TOKEN, host) + re.findall(rf"{TOKEN}(?=[^A-Za-z0-9])", path)
-    return Rule(name, verdict, pattern, tuple(whole), True)
+    return Rule(name, verdict, pattern, (tuple(whole),), True)
 
 
-def pattern_rule(verdict: str, name: str, pattern: str, *literals: str) -> Rule:
-    """A rule whose regular expression needs each of ``literals`` as whole tokens."""
+def pattern_rule(verdict: str, name: str, pattern: str, *literals: tuple[str, ...]) -> Rule:
+    """A rule whose regular expression needs each literal of one of the alternatives.
+
+    A literal is a whole token, or with ``*`` behind it the beginning of one.
+    """
     return Rule(name, verdict, pattern, literals, False)
 
 
@@ -62,12 +66,13 @@ HOST_RULES = (
 )
 # the method's own rules, for URLs that no host rule fits
 PATTERN_RULES = (
-    pattern_rule("block", "pills", r"^[^/]*\bcheap-pills\.", "cheap", "pills"),
-    pattern_rule("block", "spam farm", r"^[^/]*\bspam-farm\.", "spam", "farm"),
-    pattern_rule("block", "casino", r"^[^/]*\b(?:online-)?casino\b", "casino"),
-    pattern_rule("block", "adult", r"^[^/]*\b(?:adult|xxx)-?[a-z]*\.", "adult"),
-    pattern_rule("block", "free download", r"/free-download(?:/|\.|$)", "free", "download"),
-    pattern_rule("block", "tracker", r"^(?:ads?|track(?:er|ing)?)\.", "tracker"),
+    pattern_rule("block", "pills", r"^[^/]*\bcheap-pills\.", ("cheap", "pills")),
+    pattern_rule("block", "spam farm", r"^[^/]*\bspam-farm\.", ("spam", "farm")),
+    pattern_rule("block", "casino", r"^[^/]*\b(?:online-)?casino\b", ("casino",)),
+    pattern_rule("block", "adult", r"^[^/]*\b(?:adult|xxx)-?[a-z]*\.", ("adult*",), ("xxx*",)),
+    pattern_rule("block", "free download", r"/free-download(?:/|\.|$)", ("free", "download")),
+    pattern_rule("block", "tracker", r"^(?:ads?|track(?:er|ing)?)\.",
+                 ("ad",), ("ads",), ("track",), ("tracker",), ("tracking",)),
 )
 
 
@@ -82,8 +87,16 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def rule_table(spark: SparkSession, rules) -> DataFrame:
     return spark.createDataFrame(
-        [(number, r.name, r.verdict, r.pattern, list(r.literals), len(r.name), r.is_host) for number, r in enumerate(rules)],
-        "number int, name string, rule_verdict string, pattern string, literals array<string>, size int, is_host boolean")
+        [(number, r.name, r.verdict, r.pattern, list(map(list, r.literals)), len(r.name), r.is_host) for number, r in enumerate(rules)],
+        "number int, name string, rule_verdict string, pattern string, literals array<array<string>>, size int, is_host boolean")
+
+
+def literals_of(target: Column, rules) -> Column:
+    """The tokens of a host and path, and the beginnings of tokens that some rule could need."""
+    found = lambda pattern: F.regexp_extract_all(F.lower(target), F.lit(pattern))
+    sizes = sorted({len(word) - 1 for r in rules for needed in r.literals for word in needed if word.endswith("*")})
+    begun = [F.transform(found(rf"(?<![a-z0-9])([a-z0-9]{{{size}}})"), lambda t: F.concat(t, F.lit("*"))) for size in sizes]
+    return F.array_distinct(F.concat(found(f"({TOKEN})"), *begun))
 
 
 def judged(pages: DataFrame, rules=HOST_RULES + PATTERN_RULES) -> DataFrame:
@@ -93,14 +106,14 @@ def judged(pages: DataFrame, rules=HOST_RULES + PATTERN_RULES) -> DataFrame:
     rows = pages.select(F.col("page_id"), "url").withColumns({"host": host, "path": path})
     urls = rows.select("host", "path").distinct()
     target = F.concat("host", "path")
-    tokens = urls.select("host", "path", F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(target), F.lit(f"({TOKEN})")))).alias("token"))
+    tokens = urls.select("host", "path", F.explode(literals_of(target, rules)).alias("token"))
 
     listed = rule_table(spark, rules)
-    literals = listed.select("number", F.explode("literals").alias("token"))
+    literals = listed.select("number", F.posexplode("literals").alias("way", "needed")).select(
+        "number", "way", F.explode("needed").alias("token"))
     # how many URLs have each literal
     counts = tokens.join(literals.select("token").distinct(), "token", "left_semi").groupBy("token").count()
-    rarest = literals.join(counts, "token", "left").groupBy("number").agg(
+    rarest = literals.join(counts, "token", "left").groupBy("number", "way").agg(
         F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "token")).alias("least"))
     index = listed.join(rarest, "number").select(
         F.col("least.token").alias("token"), "number", "name", "rule_verdict", "pattern", "size", "is_host")

@@ -191,6 +191,22 @@ def test_url_rules(spark):
         assert got[k] == (host, path, best and best.name, verdict), url
 
 
+def test_url_rules_of_several_tokens(spark):
+    hosts = ["ad.a.com", "ads.a.com", "track.b.org", "tracking.b.org", "tracker.b.org", "adx.a.com", "a.ads.com", "trackers.b.org",
+             "adult.d.com", "adultsite.d.com", "adult-site.d.com", "www.my-adults.d.com", "xxx.c.com", "xxx-pics.c.com",
+             "www.xxxpics.c.com", "notadult.d.com", "adult9.d.com", "axxx.c.com", "ADS.a.com", "XxxPics.c.com", "d.com-xxx"]
+    urls = [f"http://{h}/{p}" for h in hosts for p in ("", "xxx.y/adult.z")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judged(pages).collect()}
+    blocked = []
+    for k, url in enumerate(urls):
+        target = url.split("://", 1)[1].lower()
+        hit = any(re.search(r.pattern, target) for r in url_filter.PATTERN_RULES)
+        assert got[k] == ("block" if hit else "allow"), url
+        blocked += [target] * hit
+    assert len(blocked) == 28
+
+
 def test_url_rules_on_no_pages(spark):
     assert url_filter.judged(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
