@@ -6,14 +6,18 @@ to one by the hash of their last bytes.  Slots are grouped into classes, and
     P(token | history) = P(class | history) * P(slot | class, history) * P(token | slot).
 
 The first two factors are softmaxes over hashed features of the history: the words before
-(as a unigram and a bigram) and the slots one and two places back (a skip feature).  They
-start from the slot frequencies and are trained by distributed gradient updates: every
+(as a unigram and a bigram) and the slots one, two and three places back (skip features).
+They start from the slot frequencies and are trained by distributed gradient updates: every
 trainer runs minibatches over its documents from common weights; what the trainers changed
 is averaged by how often each row was updated, and the next part of the documents goes on
 from there.  Every training document is used once.  There are about as many trainers as
 the cluster has cores, whatever the number of input splits.  The last factor is the
 token's add-one share of its slot, where all unseen tokens count as one.
 
+The model grows with the vocabulary counted (:func:`sizes`): the slots, a quarter of them
+of tokens of their own, with its square root, the hashed rows in proportion to it, these up
+to what every trainer can hold (``WEIGHTS``).
+
 Token counts are exact, over all training documents.  A fixed number of the most frequent
 tokens travels with the tasks; all rarer ones are joined.
 
@@ -24,6 +28,8 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,23 +39,45 @@ from pyspark.sql import functions as F
 from ledgerflow.llm import words as W
 from ledgerflow.llm.common import remainder, staged, table
 
-CLASSES = 24
-MEMBERS = 24  # slots of a class
-SLOTS = CLASSES * MEMBERS
-OWN = 160  # tokens with a slot of their own
+SIDE = 32  # classes, and slots of a class; the least
+SLOTS = SIDE * SIDE
 HEAD = 1 << 16  # tokens whose counts travel with the tasks
-CLASS_ROWS, MEMBER_ROWS = 1 << 14, 1 << 15
+CLASS_ROWS = 1 << 14  # the least; the slots within classes have twice as many
+WEIGHTS = 1 << 25  # that a trainer holds
 ROW_CHUNK = 1 << 10
 BATCH = 4096
 RATE = 0.25
 ROUNDS = 2
 END = np.uint64(0x1D)  # the end token's value
-FEATURES = 4
-MEMBER_FEATURES = 3  # all but the bigram decide among the slots of a class
+FEATURES = 5
+
+
+def sizes(vocabulary: int) -> tuple[int, int]:
+    """(side, class rows) of the model for a vocabulary."""
+    side = max(SIDE, math.ceil(vocabulary ** 0.25))
+    rows = max(CLASS_ROWS, 1 << max(vocabulary // 64, 1).bit_length() - 1)
+    while rows > CLASS_ROWS and 3 * rows * side > WEIGHTS:
+        rows //= 2
+    return side, rows
+
+
+def own_slots(slots: int) -> int:
+    """How many of the slots are those of a single token."""
+    return slots // 4
+
+
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """A stable order of keys under 2**32; keys of 16 bits are sorted by counting."""
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    high = (keys >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
 
 
 class Tokens:
-    """All tokens of a slice of texts, each text's end token included."""
+    """All tokens of a slice of texts, each text's end token included.
+
+    ``tail`` is the hash of the last bytes; ``Head.slots_of`` adds the slots.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         words = W.split_words(data, offsets, W.UNBLANK, lower=True)
@@ -66,8 +94,8 @@ class Tokens:
             at = words.end - back
             some = at >= words.start
             tail[some] = tail[some] << np.uint64(8) | W.LOWER[data[at[some]]].astype(np.uint64)
-        self.slot = np.full(len(self.text), OWN, dtype=np.int64)
-        self.slot[place] = OWN + (W.mix(tail) % np.uint64(SLOTS - OWN)).astype(np.int64)
+        self.tail = np.zeros(len(self.text), dtype=np.int64)
+        self.tail[place] = (W.mix(tail) >> np.uint64(33)).astype(np.int64)
 
     def back(self, values: np.ndarray, steps: int, empty):
         """Per token the entry ``steps`` tokens before it in its text."""
@@ -80,7 +108,7 @@ class Tokens:
     def features(self) -> np.ndarray:
         """(tokens, FEATURES) 64-bit values of the history's features."""
         one, two = (self.back(self.value, k, np.uint64(0)) for k in (1, 2))
-        slots = [self.back(self.slot, k, SLOTS).astype(np.uint64) for k in (1, 2)]
+        slots = [self.back(self.slot, k, -1).astype(np.uint64) for k in (1, 2, 3)]
         kinds = [*slots, one, W.mix(one * np.uint64(W.BASE) + two)]
         return np.stack([W.mix(v + np.uint64(k * W.MIX[0] % (1 << 64))) for k, v in enumerate(kinds)], axis=1)
 
@@ -88,17 +116,18 @@ class Tokens:
 class Model:
     """Row-wise hashed weights of both softmaxes and their fixed starting scores."""
 
-    def __init__(self, slot_counts: np.ndarray):
-        counts = slot_counts.reshape(CLASSES, MEMBERS) + 1e-3
+    def __init__(self, slot_counts: np.ndarray, class_rows: int = CLASS_ROWS):
+        self.side, self.class_rows = math.isqrt(len(slot_counts)), class_rows
+        counts = slot_counts.reshape(self.side, self.side) + 1e-3
         self.class_start = np.log(counts.sum(axis=1)).astype(np.float32)
         self.member_start = np.log(counts).astype(np.float32)
-        self.weights = np.zeros((CLASS_ROWS + MEMBER_ROWS, CLASSES), dtype=np.float32)
+        self.weights = np.zeros((3 * class_rows, self.side), dtype=np.float32)
 
     def rows(self, features: np.ndarray, group: np.ndarray | None) -> np.ndarray:
         if group is None:
-            return (features & np.uint64(CLASS_ROWS - 1)).astype(np.int64)
+            return (features & np.uint64(self.class_rows - 1)).astype(np.int64)
         mixed = W.mix(features + (group[:, None] + 1).astype(np.uint64) * np.uint64(W.MIX[1]))
-        return CLASS_ROWS + (mixed & np.uint64(MEMBER_ROWS - 1)).astype(np.int64)
+        return self.class_rows + (mixed & np.uint64(2 * self.class_rows - 1)).astype(np.int64)
 
     def softmax(self, rows: np.ndarray, start: np.ndarray) -> np.ndarray:
         scores = start + self.weights[rows[:, 0]]
@@ -111,9 +140,9 @@ class Model:
 
     def parts(self, features: np.ndarray, slots: np.ndarray):
         """(rows, outcome, starting scores) of both softmaxes."""
-        group, member = slots // MEMBERS, slots % MEMBERS
+        group, member = slots // self.side, slots % self.side
         yield self.rows(features, None), group, self.class_start
-        yield self.rows(features[:, :MEMBER_FEATURES], group), member, self.member_start[group]
+        yield self.rows(features, group), member, self.member_start[group]
 
     def log10(self, features: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """log10 P(slot | history) of each token."""
@@ -132,11 +161,11 @@ class Model:
             for rows, outcome, start in self.parts(features[some], slots[some]):
                 slope = self.softmax(rows, start)
                 slope[np.arange(len(outcome)), outcome] -= 1
-                flat = rows.reshape(-1).astype(np.uint16)  # short keys are sorted by counting
-                order = np.argsort(flat, kind="stable")
+                flat = rows.reshape(-1)
+                order = order_of(flat)
                 ranked = flat[order]
                 heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-                touched = ranked[heads].astype(np.int64)
+                touched = ranked[heads]
                 times = np.diff(np.append(heads, len(ranked)))
                 run = np.cumsum(slope[order // rows.shape[1]], axis=0)
                 total = np.diff(run[heads + times - 1], axis=0, prepend=0)
@@ -161,7 +190,7 @@ def training(key: Column) -> Column:
 
 
 def token_counts(documents: DataFrame) -> DataFrame:
-    """(token, slot, count) over all texts; ``slot`` is the one by last bytes."""
+    """(token, tail, count) over all texts."""
 
     def count(batches):
         for batch in batches:
@@ -169,24 +198,25 @@ def token_counts(documents: DataFrame) -> DataFrame:
                 tokens = Tokens(data, offsets)
                 values, first, counts = np.unique(tokens.value, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array(tokens.slot[first]), pa.array(counts)],
-                    names=["token", "slot", "count"])
+                    [pa.array(values.view(np.int64)), pa.array(tokens.tail[first]), pa.array(counts)],
+                    names=["token", "tail", "count"])
 
-    rows = documents.select("text").mapInArrow(count, "token long, slot long, count long")
-    return rows.groupBy("token").agg(F.min("slot").alias("slot"), F.sum("count").alias("count"))
+    rows = documents.select("text").mapInArrow(count, "token long, tail long, count long")
+    return rows.groupBy("token").agg(F.min("tail").alias("tail"), F.sum("count").alias("count"))
 
 
 class Head:
     """Counts and slots of the most frequent tokens, by binary search."""
 
-    def __init__(self, rows):
+    def __init__(self, rows, slots: int = SLOTS):
+        self.first, self.shared = own_slots(slots), slots - own_slots(slots)
         ranked = sorted(rows, key=lambda r: (-r.count_, r.token))
-        own = {r.token: k for k, r in enumerate(ranked[:OWN])}
+        own = {r.token: k for k, r in enumerate(ranked[:self.first])}
         self.own = list(own)
         ranked.sort(key=lambda r: np.int64(r.token).view(np.uint64))
         self.tokens = np.array([r.token for r in ranked], dtype=np.int64).view(np.uint64)
         self.counts = np.array([r.count_ for r in ranked], dtype=np.int64)
-        self.slots = np.array([own.get(r.token, r.slot) for r in ranked], dtype=np.int64)
+        self.slots = np.array([own.get(r.token, self.first + r.tail % self.shared) for r in ranked], dtype=np.int64)
 
     def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which are known, their places)."""
@@ -197,8 +227,9 @@ class Head:
         return known, place[known]
 
     def slots_of(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """(known, places); the tokens' slots are set to their final ones."""
+        """(known, places); the tokens get their slots."""
         known, place = self.find(tokens.value)
+        tokens.slot = self.first + tokens.tail % self.shared
         tokens.slot[known] = self.slots[place]
         return known, place
 
@@ -254,7 +285,7 @@ def trained(documents: DataFrame, model: Model, head: Head) -> Model:
         # as many rows come to the driver as the model has chunks
         for row in summed(parts, schema).toLocalIterator():
             some = slice(row.chunk * ROW_CHUNK, (row.chunk + 1) * ROW_CHUNK)
-            sums = np.frombuffer(row.weights, dtype=np.float32).reshape(-1, CLASSES)
+            sums = np.frombuffer(row.weights, dtype=np.float32).reshape(-1, model.side)
             times = np.frombuffer(row.updates, dtype=np.float32)
             hit = times > 0
             model.weights[some][hit] += sums[hit] / times[hit, None]
@@ -267,17 +298,19 @@ def scored(documents: DataFrame) -> DataFrame:
     learnt = rows.filter(training(F.col("doc_id")))
     vocabulary = staged(token_counts(learnt), "lm-vocabulary")
     frequent = vocabulary.orderBy(F.desc("count"), "token").limit(HEAD).withColumnRenamed("count", "count_").collect()
-    head = Head(frequent)
     n, v = vocabulary.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+    side, class_rows = sizes(v)
+    head = Head(frequent, side * side)
     # tokens of slots of their own leave the slot of their last bytes
-    own = np.zeros((2, SLOTS), dtype=np.int64)
-    for row in vocabulary.groupBy("slot").agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect():
+    own = np.zeros((2, side * side), dtype=np.int64)
+    by_tail = (head.first + F.pmod("tail", F.lit(head.shared))).alias("slot")
+    for row in vocabulary.groupBy(by_tail).agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect():
         own[:, row.slot] += [row.n, row.v]
     at = {r.token: r for r in frequent}
     for slot, token in enumerate(head.own):
-        own[:, at[token].slot] -= [at[token].count_, 1]
+        own[:, head.first + at[token].tail % head.shared] -= [at[token].count_, 1]
         own[:, slot] += [at[token].count_, 1]
-    model = trained(learnt, Model(own[0].astype(float)), head)
+    model = trained(learnt, Model(own[0].astype(float), class_rows), head)
     context = documents.sparkSession.sparkContext
     shared = context.broadcast((vars(model), vars(head), np.log10(own.sum(axis=0) + 1.0)))
 

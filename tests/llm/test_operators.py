@@ -276,6 +276,45 @@ def test_language_model_softmaxes_sum_to_one():
     assert abs(total - 1) < 1e-4
 
 
+def test_language_model_sees_three_tokens_back():
+    texts = [b"aa x y z", b"bbb x y z"]
+    tokens = maxent_lm.Tokens(np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0, *map(len, texts)]))
+    tokens.slot = np.unique(tokens.value, return_inverse=True)[1]
+    features = tokens.features().reshape(2, 5, -1)
+    assert (features[0, 3] != features[1, 3]).sum() == 1 and (features[0, 4] == features[1, 4]).all()
+
+
+def test_language_model_members_depend_on_the_pair_before():
+    model = maxent_lm.Model(np.ones(maxent_lm.SLOTS))
+    features = np.random.default_rng(4).integers(0, 1 << 62, (1, maxent_lm.FEATURES)).astype(np.uint64)
+    other = features.copy()
+    other[:, -1] += np.uint64(1)
+    both = np.repeat(np.concatenate([features, other]), 2000, axis=0)
+    slots = np.repeat([70, 71], 2000)
+    mixed = np.random.default_rng(5).permutation(4000)
+    for _ in range(30):
+        model.learn(both[mixed], slots[mixed], np.zeros(len(model.weights)), np.zeros(len(model.weights)))
+    assert 10 ** model.log10(np.concatenate([features, other]), np.array([70, 71])).min() > 0.7
+
+
+def test_language_model_grows_with_the_vocabulary():
+    assert maxent_lm.sizes(0) == maxent_lm.sizes(1 << 20) == (32, 1 << 14)
+    assert maxent_lm.own_slots(32 * 32) == 256
+    grown = [maxent_lm.sizes(1 << k) for k in (20, 22, 24, 28, 36)]
+    assert [s for s, _ in grown] == [32, 46, 64, 128, 512]
+    assert grown[1][1] == 1 << 16 and all(3 * s * r <= maxent_lm.WEIGHTS for s, r in grown)
+    side, rows = grown[1]
+    model = maxent_lm.Model(np.arange(side * side).astype(float), rows)
+    rng = np.random.default_rng(3)
+    features = rng.integers(0, 1 << 62, (9000, maxent_lm.FEATURES)).astype(np.uint64)
+    model.learn(features, rng.integers(0, side * side, 9000), np.zeros(len(model.weights)), np.zeros(len(model.weights)))
+    every = np.arange(side * side)
+    total = (10 ** model.log10(np.repeat(features[:1], len(every), axis=0), every)).sum()
+    assert abs(total - 1) < 1e-4
+    keys = rng.integers(0, 3 * rows, 5000)
+    assert (maxent_lm.order_of(keys) == np.argsort(keys, kind="stable")).all()
+
+
 def test_language_model_without_documents(spark):
     assert maxent_lm.scored(frame(spark, []).limit(0)).collect() == []
 
