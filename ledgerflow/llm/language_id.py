@@ -3,7 +3,7 @@
 Each training document adds its byte n-grams, hashed into a table of fixed size, to the
 counts of its language.  A word's likelihood under a language is that of its n-grams.  For
 every document the proportions of the languages are estimated by expectation-maximisation
-over its distinct words; languages are then taken away, the least one first, as long as
+over its distinct words, until the log likelihood is as good as at its maximum; languages are then taken away, the least one first, as long as
 the log likelihood pays less for one more than a penalty that grows with the length.  The
 prediction is the language of the greatest proportion, the score that proportion.
 
@@ -25,7 +25,8 @@ from ledgerflow.llm.common import remainder, table
 
 BINS = 1 << 14  # hashed n-grams of each order
 ORDERS = (1, 2, 3)
-ROUNDS = 8
+GAP = 1e-3  # of a log likelihood to its maximum, at which a text is settled
+STILL = 1e-12  # change of the shares at which numbers have no more to give
 SMOOTH = 0.5
 SLICE = 512 << 10  # bytes at once; every byte begins an n-gram of each order
 # letters, and the marks of other scripts; digits and signs end a word
@@ -110,34 +111,51 @@ def mixtures(likelihood: np.ndarray, text: np.ndarray, weight: np.ndarray, texts
     ratio = np.exp(likelihood - top)
     heads = np.searchsorted(text, np.arange(texts + 1))
     some = np.flatnonzero(np.diff(heads))
-    sums = lambda values: np.add.reduceat(values, heads[some], axis=0)
-    position = np.full(texts, -1)
-    position[some] = np.arange(len(some))
-    at = position[text]
-    total = sums(weight)
-
-    def climb(share):
-        for _ in range(ROUNDS):
-            joint = ratio * share[at]
-            joint *= (weight / np.maximum(joint.sum(axis=1), 1e-300))[:, None]
-            share = sums(joint) / total[:, None]
-        fit = sums(weight * (np.log(np.maximum((ratio * share[at]).sum(axis=1), 1e-300)) + top[:, 0]))
-        return share, fit
-
-    share, fit = climb(np.full((len(some), count), 1 / max(count, 1)))
+    sizes = np.diff(heads)[some]
+    total = np.add.reduceat(weight, heads[some]) if len(some) else np.zeros(0)
+
+    def climb(which, share):
+        """Shares of the texts ``which`` within GAP of the best ones, and the fits."""
+        out, fit = share.copy(), np.zeros(len(which))
+        live = np.arange(len(which))
+        while len(live):
+            count_ = sizes[which[live]]
+            first = np.cumsum(count_) - count_
+            at = np.repeat(np.arange(len(live)), count_)
+            rows = np.arange(len(at)) + (heads[some][which[live]] - first)[at]
+            own, times, peak, whole = ratio[rows], weight[rows], top[rows, 0], total[which[live]]
+            now, open_ = out[live], np.ones(len(live), dtype=bool)
+            while True:
+                mixed = np.maximum((own * now[at]).sum(axis=1), 1e-300)
+                slope = np.add.reduceat(own * (times / mixed)[:, None], first, axis=0)
+                # the log likelihood is concave: it cannot rise by more than this
+                rest = np.where(now > 0, slope, 0).max(axis=1) - whole
+                then = now * slope / whole[:, None]
+                settled = open_ & ~((rest > GAP) & (np.abs(then - now).max(axis=1) > STILL))
+                if settled.any():
+                    fits = np.add.reduceat(times * (np.log(mixed) + peak), first)
+                    out[live[settled]], fit[live[settled]] = now[settled], fits[settled]
+                    open_ &= ~settled
+                    if open_.sum() <= 0.8 * len(live):
+                        break
+                now = np.where(open_[:, None], then, now)
+            out[live[open_]] = now[open_]
+            live = live[open_]
+        return out, fit
+
+    share, fit = climb(np.arange(len(some)), np.full((len(some), count), 1 / max(count, 1)))
     penalty = 2 + 0.5 * np.log(total)
-    for _ in range(count - 1):
-        least = np.where(share > 0, share, np.inf).argmin(axis=1)
-        fewer = share.copy()
-        fewer[np.arange(len(some)), least] = 0
-        several = (share > 0).sum(axis=1) > 1
-        fewer[~several] = share[~several]
+    # a text that keeps its languages once would keep them ever after
+    left = np.flatnonzero((share > 0).sum(axis=1) > 1)
+    while len(left):
+        fewer = share[left]
+        fewer[np.arange(len(left)), np.where(fewer > 0, fewer, np.inf).argmin(axis=1)] = 0
         fewer /= np.maximum(fewer.sum(axis=1, keepdims=True), 1e-300)
-        fewer, worse = climb(fewer)
-        better = several & (fit - worse <= penalty)
-        if not better.any():
-            break
-        share[better], fit[better] = fewer[better], worse[better]
+        fewer, worse = climb(left, fewer)
+        better = fit[left] - worse <= penalty[left]
+        left, fewer, worse = left[better], fewer[better], worse[better]
+        share[left], fit[left] = fewer, worse
+        left = left[(fewer > 0).sum(axis=1) > 1]
     return some, share, fit
 
 
@@ -159,12 +177,19 @@ def languages(documents: DataFrame) -> DataFrame:
                 words, bins, owners = word_grams(data, offsets)
                 if not len(words.values):
                     continue
-                # a word is as likely as its n-grams, the orders weighing alike
-                text = W.text_of(words)
+                # a word is as likely as its n-grams, the orders weighing alike; equal words are
+                # looked up once, and in a text count once with their number
+                values, firsts, which = np.unique(words.values, return_index=True, return_inverse=True)
+                of = np.full(len(words.values), -1)
+                of[firsts] = np.arange(len(values))
+                owners = of[owners]
+                bins, owners = bins[owners >= 0], owners[owners >= 0]
                 order = np.argsort(owners, kind="stable")
-                firsts = np.searchsorted(owners[order], np.arange(len(words.values)))
-                word = np.add.reduceat(scores[bins[order]], firsts, axis=0).astype(float) / len(ORDERS)
-                some, share, _ = mixtures(word, text, np.ones(len(text)), high - low)
+                heads = np.searchsorted(owners[order], np.arange(len(values)))
+                word = np.add.reduceat(scores[bins[order]], heads, axis=0).astype(float) / len(ORDERS)
+                pairs, times = np.unique(W.text_of(words) * len(values) + which, return_counts=True)
+                text, which = np.divmod(pairs, len(values))
+                some, share, _ = mixtures(word[which], text, times.astype(float), high - low)
                 for row, shares in zip(some.tolist(), share):
                     if lettered[low + row]:
                         best = int(shares.argmax())

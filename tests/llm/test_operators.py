@@ -545,6 +545,43 @@ def test_languages(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out if r.doc_id is not None)
 
 
+def brute_mixture(likelihood, weight):
+    """Shares of one text by very many rounds, and of the languages that pay."""
+    def climb(share):
+        for _ in range(5000):
+            joint = np.exp(likelihood) * share
+            share = (joint * (weight / joint.sum(axis=1))[:, None]).sum(axis=0) / weight.sum()
+        return share, (weight * np.log((np.exp(likelihood) * share).sum(axis=1))).sum()
+
+    share, fit = climb(np.full(likelihood.shape[1], 1 / likelihood.shape[1]))
+    while (share > 0).sum() > 1:
+        fewer = share.copy()
+        fewer[np.where(share > 0, share, np.inf).argmin()] = 0
+        fewer, worse = climb(fewer / fewer.sum())
+        if fit - worse > 2 + 0.5 * math.log(weight.sum()):
+            break
+        share, fit = fewer, worse
+    return share, fit
+
+
+def test_mixtures_are_converged():
+    rng = np.random.default_rng(11)
+    parts, weights = [], []
+    for size in (1, 40, 700, 1500, 6000):  # related languages, the second one a minority
+        base = rng.normal(-6, 1, (size, 1))
+        words = base + rng.normal(0, 0.6, (size, 4))
+        true = rng.choice(4, size, p=[0.8, 0.2, 0, 0])
+        words[np.arange(size), true] += 1
+        parts.append(words)
+        weights.append(rng.integers(1, 4, size).astype(float))
+    text = np.repeat(np.arange(len(parts)) + 1, list(map(len, parts)))
+    some, share, fit = language_id.mixtures(np.concatenate(parts), text, np.concatenate(weights), len(parts) + 2)
+    assert some.tolist() == [1, 2, 3, 4, 5]
+    for k, (words, weight) in enumerate(zip(parts, weights)):
+        want, best = brute_mixture(words, weight)
+        assert ((share[k] > 0) == (want > 0)).all() and abs(fit[k] - best) < 2e-3 and np.abs(share[k] - want).max() < 5e-3
+
+
 def test_languages_with_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [tuple(r[:3]) for r in language_id.languages(docs).collect()] == [(1, "und", 0.0)]
