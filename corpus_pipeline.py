@@ -1,7 +1,7 @@
 """A corpus pipeline: quality, near duplicates, repeated passages, benchmark leaks, packing.
 
 Every stage takes all documents its predecessor kept; all but the last return the columns
-of ``documents``.  Decisions refer to ids, so rows with a null ``doc_id`` leave with the
+of ``documents``.  Components are named by ids, so rows with a null ``doc_id`` leave with the
 first stage.  Other defined results are those of the operators.
 """
 
@@ -29,14 +29,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of least id; of repeated rows one."""
+    """Of each group of near duplicates the document of least id; of repeated rows one.
+
+    Rows of one id with different texts are decided each.
+    """
     configure(spark)
+    key = ["doc_id", "text_key"]
     docs = docs.select(*COLUMNS)
-    found = staged(near_duplicates(docs, size=5, percent=80), "pipeline-near")
-    dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
-    repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    once = docs.join(dropped.unionByName(repeated).distinct(), "doc_id", "left_anti")
-    again = docs.join(repeated.join(dropped, "doc_id", "left_anti"), "doc_id", "left_semi")
+    found = staged(near_duplicates(docs, size=5, percent=80, keyed=True), "pipeline-near")
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
+    dropped = found.filter(~F.col("kept")).select(*key).distinct()
+    repeated = found.groupBy(*key).count().filter("count > 1").select(*key)
+    once = docs.join(dropped.unionByName(repeated).distinct(), key, "left_anti")
+    again = docs.join(repeated.join(dropped, key, "left_anti"), key, "left_semi")
     return once.unionByName(again.dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
 
 
@@ -56,11 +61,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that share no window of words with the benchmark."""
+    """The documents that share no window of words with the benchmark; each row is decided."""
     configure(spark)
-    found = contaminated_words(docs, table(spark, sf_dir, "benchmark"))
-    leaks = found.filter("n_hit > 0").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    # a row goes by its id and text together, for an id may stand on rows of different texts
+    docs = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row_key"))
+    found = contaminated_words(docs.select(F.col("row_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaks = found.filter("n_hit > 0").select(F.col("doc_id").alias("row_key")).distinct()
+    return docs.join(leaks, "row_key", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

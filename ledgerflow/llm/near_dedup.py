@@ -99,7 +99,7 @@ def estimate(left: np.ndarray, right: np.ndarray, n: np.ndarray, k: np.ndarray):
 
 
 def sketches(documents: DataFrame, size: int) -> DataFrame:
-    """Per row: doc_id, set size, two independent 64-bit values of the set, registers."""
+    """Per row: doc_id, a hash of the text, set size, two independent 64-bit values of the set, registers."""
 
     def sketch(batches):
         for batch in batches:
@@ -111,12 +111,13 @@ def sketches(documents: DataFrame, size: int) -> DataFrame:
                     sums.append((run[first[1:]] - run[first[:-1]]).view(np.int64))
                 rows = registers(hashes, first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(np.diff(first)), *map(pa.array, sums),
+                    [batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low),
+                     pa.array(np.diff(first)), *map(pa.array, sums),
                      pa.array([r.tobytes() for r in rows], pa.binary())],
-                    names=["doc_id", "n_shingles", "node", "check", "sketch"])
+                    names=["doc_id", "text_key", "n_shingles", "node", "check", "sketch"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        sketch, "doc_id long, n_shingles long, node long, check long, sketch binary")
+    return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        sketch, "doc_id long, text_key long, n_shingles long, node long, check long, sketch binary")
 
 
 def bands(nodes: DataFrame) -> DataFrame:
@@ -298,8 +299,11 @@ def compared(rows: DataFrame, label: DataFrame, nodes: DataFrame, sets: DataFram
             "key", "node", "n_shingles", "rank")
 
 
-def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (least doc_id reachable), kept."""
+def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, keyed: bool = False) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (least doc_id reachable), kept.
+
+    ``keyed`` adds text_key, the xxhash64 of the text, which tells rows of one doc_id apart.
+    """
     rows = staged(sketches(documents, size), "near-sketches")
     nodes = staged(
         rows.filter("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(
@@ -309,12 +313,12 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "component").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").withColumn(
+    out = rows.select("doc_id", "text_key", "n_shingles", "node").withColumn(
         "node", F.when(F.col("n_shingles") > 0, F.col("node"))).join(named, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), *(["text_key"] if keyed else []))
 
 
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,6 +67,16 @@ def test_stages(spark, tables):
     assert {r.doc_id for r in whole.select("doc_id").distinct().collect()} == clean
 
 
+def test_rows_of_one_id_are_decided_each(spark, tables):
+    leak = spark.read.parquet(f"{tables}/benchmark.parquet").filter("item_id = 1").first().text
+    copied, own = (" ".join(f"{w}{k}" for k in range(30)) for w in ("copied", "own"))
+    rows = [(1, copied), (5, copied), (5, own), (5, own), (6, leak), (6, f"{own} more"), (7, leak + " and on")]
+    docs = spark.createDataFrame([(i, t, "en", None, len(t), 1, True) for i, t in rows], DOCUMENTS)
+    assert texts(cp.near_dedup(spark, docs.filter("doc_id < 6"), tables)) == [(1, copied), (5, own)]
+    clean = [(i, t) for i, t in rows if leak not in t]
+    assert texts(cp.decontaminate(spark, docs, tables)) == sorted(clean)
+
+
 def test_run_on_tables_without_rows(spark, tables, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
