@@ -177,7 +177,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the wanted (doc_id, node): sorted 64-bit hashes as bytes."""
+    """(node, shingles) of the wanted (doc_id, text_key, node): sorted 64-bit hashes as bytes."""
 
     def sets(batches):
         for batch in batches:
@@ -192,8 +192,10 @@ def full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     [pa.array(own[at]), pa.array([hashes[first[i] : first[i + 1]].tobytes() for i in at], pa.binary())],
                     names=["node", "shingles"])
 
-    texts = documents.select(F.col("doc_id").cast("long"), "text")
-    return texts.join(wanted, "doc_id").select("node", "text").mapInArrow(
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text", F.xxhash64("text").alias("key"))
+    # the hash of the text keeps null ids spread
+    own_row = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    return texts.join(wanted, own_row).select("node", "text").mapInArrow(
         sets, "node long, shingles binary").dropDuplicates(["node"])
 
 
@@ -244,7 +246,7 @@ def connected(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -
     members = staged(rows.join(staged(groups, "near-groups"), "band"), "near-members")
     weight = staged(
         members.groupBy("node").agg(F.sum(F.least("members", F.lit(10000))).alias("weight")), "near-weight")
-    sets = staged(full_sets(documents, nodes.join(weight, "node").select("doc_id", "node"), size), "near-sets")
+    sets = staged(full_sets(documents, nodes.join(weight, "node").select("doc_id", "text_key", "node"), size), "near-sets")
     members = members.join(weight, "node")
     hub = staged(members.groupBy("band").agg(
         F.max(F.struct("weight", "node", "n_shingles")).alias("hub")).select("band", "hub.*"), "near-hubs")
@@ -307,7 +309,8 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, keye
     rows = staged(sketches(documents, size), "near-sketches")
     nodes = staged(
         rows.filter("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(
-            F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")), "near-nodes")
+            F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row"),
+            F.first("sketch").alias("sketch")).select("node", "check", "n_shingles", "row.*", "sketch"), "near-nodes")
     label = connected(documents, nodes, size, percent)
     named = nodes.select("node", "doc_id").join(label, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))

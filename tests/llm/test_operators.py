@@ -474,6 +474,15 @@ def test_near_duplicates(spark, monkeypatch, small, lanes):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == brute_groups(rows, 4, 80)
 
 
+def test_near_duplicates_linked_through_a_row_without_id(spark):
+    text = lambda low: " ".join(f"w{k}" for k in range(low, low + 60))
+    rows = [(1, text(0)), (None, text(5)), (2, text(10)), (None, "some other text"), (None, None), (3, "w1 w2")]
+    found = near_dedup.near_duplicates(frame(spark, rows), size=1, percent=80).collect()
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found), key=str)
+    assert got == sorted([(1, 60, 1, True), (2, 60, 1, False), (3, 2, 3, True), (None, 60, 1, False),
+                          (None, 3, None, False), (None, 0, None, False)], key=str)
+
+
 def test_near_duplicates_without_ids_or_rows(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (None, ""), (4, None)]
     found = near_dedup.near_duplicates(frame(spark, rows)).collect()
