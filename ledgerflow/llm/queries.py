@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from ledgerflow.llm.centroids import OP12_SQL, op12_threshold
+from ledgerflow.llm.chat_windows import OP11_SQL, op11_windows
 from ledgerflow.llm.decontamination import OP3_SQL, op3_winnowing
+from ledgerflow.llm.filter_audit import OP13_SQL, op13_folds
 from ledgerflow.llm.language_id import op10_mixture
 from ledgerflow.llm.maxent_lm import op4_maxent
 from ledgerflow.llm.near_dedup import OP8_SQL, op8_hyperminhash
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_hyperminhash": op8_hyperminhash,
     "op9_nnpu": op9_nnpu,
     "op10_mixture": op10_mixture,
+    "op11_windows": op11_windows,
+    "op12_threshold": op12_threshold,
+    "op13_folds": op13_folds,
 }
 ORACLES = {
     "op2_rarest_token": OP2_SQL,
@@ -31,4 +37,7 @@ ORACLES = {
     "op6_threshold": OP6_SQL,
     "op7_doubling": OP7_SQL,
     "op8_hyperminhash": OP8_SQL,
+    "op11_windows": OP11_SQL,
+    "op12_threshold": OP12_SQL,
+    "op13_folds": OP13_SQL,
 }
