@@ -40,6 +40,7 @@ SLICE = 2048  # vectors that are walked at once
 SAFE = 1 << 25  # components below this, and their sums of squares, are exact in 64 bits
 LONGEST = 1024  # dimensions up to which that holds
 LONG_MAX = (1 << 63) - 1
+HALF = 1 << 60
 
 
 class Lists:
@@ -158,7 +159,10 @@ def assigned(vectors: DataFrame, centroids: list[list[int]]) -> DataFrame:
 
 
 def sums(vectors: DataFrame, centroids: list[list[int]]) -> DataFrame:
-    """(cluster, dim, total, n): sums of the vectors of every cluster; dim -1 sums distances."""
+    """(cluster, dim, high, low, n): sums of the vectors of every cluster; dim -1 sums distances.
+
+    A sum is ``high * HALF + low``, so that sums of any size come out whole.
+    """
 
     def run(batches):
         totals: dict[int, list] = {}
@@ -171,15 +175,19 @@ def sums(vectors: DataFrame, centroids: list[list[int]]) -> DataFrame:
                 held = totals.setdefault(int(k), [0, [0] * len(added)])
                 held[0] += int(mine.sum())
                 held[1] = [a + b for a, b in zip(held[1], added)]
-        out = [(k, d if d < len(t) - 1 else -1, str(v), n) for k, (n, t) in totals.items() for d, v in enumerate(t)]
+        out = [(k, d if d < len(t) - 1 else -1, str(v // HALF), v % HALF, n) for k, (n, t) in totals.items() for d, v in enumerate(t)]
         if out:
-            names = ("cluster", "dim", "total", "n")
-            kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64())
+            names = ("cluster", "dim", "high", "low", "n")
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64())
             yield pa.record_batch({c: pa.array(v, t) for c, v, t in zip(names, zip(*out), kinds)})
 
-    parts = vectors.mapInArrow(run, "cluster int, dim int, total string, n long")
-    return parts.groupBy("cluster", "dim").agg(
-        F.sum(F.col("total").cast("decimal(38,0)")).cast("string").alias("total"), F.sum("n").alias("n"))
+    parts = vectors.mapInArrow(run, "cluster int, dim int, high string, low long, n long")
+    whole = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).cast("string").alias(c)
+    return parts.groupBy("cluster", "dim").agg(whole("high"), whole("low"), F.sum("n").alias("n"))
+
+
+def total(row) -> int:
+    return int(row.high) * HALF + int(row.low)
 
 
 def first_centroids(vectors: DataFrame, count: int, seed: int) -> list[list[int]]:
@@ -192,7 +200,7 @@ def moved(vectors: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
     """Each centroid at the floor of the mean of its vectors; one without vectors stays."""
     out = [list(c) for c in centroids]
     for r in sums(vectors, centroids).filter("dim >= 0").collect():
-        out[r.cluster][r.dim] = int(r.total) // r.n
+        out[r.cluster][r.dim] = total(r) // r.n
     return out
 
 
@@ -209,7 +217,7 @@ def clustered(vectors: DataFrame, count: int, rounds: int, seed: int) -> DataFra
             "id long, cluster int, distance long, met int, cluster_inertia long, inertia long, centroid_sha256 string"))
     for _ in range(rounds):
         centroids = moved(vectors, centroids)
-    inertia = {r.cluster: int(r.total) for r in sums(vectors, centroids).filter("dim = -1").collect()}
+    inertia = {r.cluster: total(r) for r in sums(vectors, centroids).filter("dim = -1").collect()}
     whole = sum(inertia.values())
     told = spark.createDataFrame(
         [(k, _long(inertia.get(k, 0)), _long(whole), hashlib.sha256(",".join(map(str, c)).encode()).hexdigest())

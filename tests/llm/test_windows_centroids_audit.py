@@ -159,7 +159,7 @@ def test_clusters_equal_brute_force(spark):
     rng = random.Random(8)
     spots = [[rng.uniform(-3, 3) for _ in range(5)] for _ in range(6)]
     rows = [(k, [x + rng.gauss(0, 0.3) for x in rng.choice(spots)]) for k in range(150)]
-    rows += [(7, rows[7][1]), (None, rows[3][1]), (900, None), (901, [1.0, None, 1, 1, 1]), (902, [float("nan")] * 5),
+    rows += [(7, rows[7][1]), (None, rows[3][1]), (900, None), (901, [1.0, None, 1.0, 1.0, 1.0]), (902, [float("nan")] * 5),
              (903, [float("inf")] * 5), (904, [1.0]), (905, [])]
     rows += [(k, [0.0] * 5) for k in range(1000, 1080)]
     kept = [(i, [int(np.floor(x * 16)) for x in v]) for i, v in rows
