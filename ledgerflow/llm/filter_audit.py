@@ -25,7 +25,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import table
+from ledgerflow.llm.common import staged, table
 
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
@@ -62,6 +62,8 @@ def cells(documents: DataFrame, labels: DataFrame) -> DataFrame:
     # of each kind of row all, and those of its least id
     kinds = by_id.withColumn("named", F.col("id").isNotNull()).groupBy(*kind).agg(
         F.sum("n").alias("n"), F.min(F.struct("id", "n")).alias("first"))
+    # read twice below, and made by a pass over all texts
+    kinds = staged(kinds, "audit-kinds")
     least = kinds.filter("named").groupBy("digest").agg(F.min("first.id").alias("least"))
     passing = F.when(~F.col("named"), F.col("n")).when(
         F.col("first.id") == F.col("least"), F.col("first.n")).otherwise(0)

@@ -2,8 +2,10 @@
 
 The same words come up again and again, so a text is cut at single blanks, where no token
 of the tokenizers used here can reach across.  Pieces met for the first time are encoded
-together, without the signs that end them, for letters and these never share a token
-either; their ids are kept, up to a fixed number of pieces per Python worker.
+together, without the signs that end them, for letters (of the normalised text) and these
+never share a token either; their ids are kept, up to a fixed number of pieces per Python
+worker.  Texts that hold ``<|``, with which a special token may begin, are encoded as they
+are; texts are taken in slices, a very long one in a slice of its own.
 """
 
 from __future__ import annotations
@@ -60,6 +62,7 @@ class Encoder:
         normalizer = self.tokenizer.normalizer
         # capitals of ASCII words make no difference to this tokenizer
         self.lowers = normalizer is not None and normalizer.normalize_str("AZ") == "az"
+        self.normal = normalizer.normalize_str if normalizer is not None else str
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as they are, without any piece."""
@@ -81,12 +84,21 @@ class Encoder:
         long = {p: ids for p, ids in made.items() if len(p) > LONG_PIECE}
         return Both(young, long) if long else young
 
+    def ends_in_letter(self, stem: str) -> bool:
+        """Whether a stem ends in a letter or digit as the tokenizer sees it.
+
+        Its lower-casing may turn a letter into one with a mark behind it, and a mark can
+        share a token with the signs that follow.
+        """
+        last = stem[-1:]
+        return last.isalnum() and (last.isascii() or self.normal(last)[-1:].isalnum())
+
     def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces that follow a blank, by way of their stems."""
         cut, stems, tails = [], {}, set()
         for piece in pieces:
             stem = piece.rstrip(TAIL)
-            if stem and stem[-1].isalnum():
+            if self.ends_in_letter(stem):
                 tail = piece[len(stem):]
             else:
                 stem, tail = piece, ""

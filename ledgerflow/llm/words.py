@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20  # texts are taken in slices of about this size, always whole
+SLICE_BYTES = 512 << 10  # texts are taken in slices of about this size, always whole
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 BLANKS = b" \t\n\x0b\x0c\r"
