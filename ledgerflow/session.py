@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# The scratch folder of each local application that names none.
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on an existing session and return it.
@@ -53,9 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        local = tempfile.mkdtemp(prefix="ledgerflow-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
+        # a static setting of a running session, so the folder is kept here
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_DIRS:
+            _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="ledgerflow-")
+        return _LOCAL_DIRS[application]
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
