@@ -83,13 +83,17 @@ def insert_invoices(
     existing: DataFrame,
     position: Sequence[str],
     keys: Sequence[str] = CONFLICT_KEYS,
+    highest: int | None = None,
 ) -> DataFrame:
     """The rows of a batch that enter the ledger, with ids past its highest.
 
     Within the batch the first row of a key wins, then rows whose key is taken are
     skipped.  Keys are global: they conflict across users and vendors.  Pass other
-    ``keys`` to narrow that.
+    ``keys`` to narrow that.  With the ``highest`` id given, only the rows of ``existing``
+    that share a key with the batch are needed.
     """
+    if highest is not None:
+        return assign_ids(new_rows(batch, existing, position, keys), list(position), F.lit(highest))
     highest = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     return assign_ids(new_rows(batch, existing, position, keys), list(position), highest)
 

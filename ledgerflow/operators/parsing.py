@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import email
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,8 +56,11 @@ def _bodies(message) -> dict[str, str | None]:
     return found
 
 
-def _attachments(message) -> list[dict]:
-    """Every part with a file name and a payload, inline ones included."""
+def _attachments(message, with_data: bool = True) -> list[dict]:
+    """Every part with a file name and a payload, inline ones included.
+
+    Without data the parts are found all the same, and their bytes are left behind here.
+    """
     files = []
     for part in message.walk():
         name = part.get_filename()
@@ -72,13 +75,13 @@ def _attachments(message) -> list[dict]:
             files.append({
                 "filename": name,
                 "content_type": part.get_content_type(),
-                "data": data,
+                "data": data if with_data else None,
                 "size_bytes": len(data),
             })
     return files
 
 
-def parse_one(raw: bytes) -> dict:
+def parse_one(raw: bytes, with_data: bool = True) -> dict:
     """Headers, bodies and attachments of one message, by the ``PARSED_FIELDS`` names."""
     message = email.message_from_bytes(raw)
     headers: dict[str, str] = {}
@@ -93,7 +96,7 @@ def parse_one(raw: bytes) -> dict:
         "body_text": bodies["text/plain"],
         "body_html": bodies["text/html"],
         "message_id": _header(headers, "message-id", None),
-        "attachments": _attachments(message),
+        "attachments": _attachments(message, with_data),
         "parse_error": None,
     }
     for kind in ("body_text", "body_html"):
@@ -109,20 +112,22 @@ def _failed(error: Exception) -> dict:
     return row
 
 
-def _parse_safely(raw: bytes) -> dict:
+def _parse_safely(raw: bytes, with_data: bool = True) -> dict:
     try:
-        return parse_one(raw)
+        return parse_one(raw, with_data)
     except Exception as error:
         return _failed(error)
 
 
-def _output_schema(messages: DataFrame) -> StructType:
-    kept = [
-        StructField(f.name, f.dataType, True)
-        for f in messages.schema.fields
-        if f.name != "rfc822_data"
-    ]
-    return StructType(kept + schemas.PARSED_FIELDS)
+def _texts_only(raw: bytes) -> dict:
+    return _parse_safely(raw, with_data=False)
+
+
+def _files_only(raw: bytes) -> dict:
+    try:
+        return {"attachments": _attachments(email.message_from_bytes(raw))}
+    except Exception:
+        return {"attachments": []}
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -131,10 +136,28 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     A message that cannot be parsed keeps its row, with the reason in ``parse_error``.
     Needs no folder locality, so it runs on whatever partitions the messages are in.
     """
-    schema = _output_schema(messages)
-    arrow_schema = to_arrow_schema(schema)
+    return _mapped(messages, _parse_safely, schemas.PARSED_FIELDS)
+
+
+def parse_texts(messages: DataFrame) -> DataFrame:
+    """The same without the bytes of the attachments, whose ``data`` is NULL."""
+    return _mapped(messages, _texts_only, schemas.PARSED_FIELDS)
+
+
+def parse_files(messages: DataFrame) -> DataFrame:
+    """Replace ``rfc822_data`` by the ``attachments``, with their bytes."""
+    fields = [f for f in schemas.PARSED_FIELDS if f.name == "attachments"]
+    return _mapped(messages, _files_only, fields)
+
+
+def _mapped(
+    messages: DataFrame, parse_raw: Callable[[bytes], dict], fields: list[StructField]
+) -> DataFrame:
     kept = [name for name in messages.columns if name != "rfc822_data"]
-    parsed_names = [field.name for field in schemas.PARSED_FIELDS]
+    schema = StructType([
+        *[StructField(name, messages.schema[name].dataType, True) for name in kept], *fields])
+    arrow_schema = to_arrow_schema(schema)
+    parsed_names = [field.name for field in fields]
 
     def rows_of(batch: pa.RecordBatch, start: int, parsed: list[dict]) -> pa.RecordBatch:
         arrays = [
@@ -155,7 +178,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
             start, held, parsed = 0, 0, []
             for index in range(batch.num_rows):
                 data = raw[index].as_py()
-                parsed.append(_parse_safely(data))
+                parsed.append(parse_raw(data))
                 held += len(data)
                 if held >= FLUSH_BYTES:
                     yield rows_of(batch, start, parsed)

@@ -64,6 +64,18 @@ def truncate_body(body: Column, chars: int) -> Column:
     return F.substring(body, 1, chars)
 
 
+def cut_bodies(messages: DataFrame) -> DataFrame:
+    """Messages with as much of their chosen body as the longest prompt takes.
+
+    Prompts made of these are the same, and what is joined later carries no whole body.
+    """
+    longest = max(CLASSIFY_BODY_CHARS, EXTRACT_BODY_CHARS)
+    return messages.withColumns({
+        "body_text": truncate_body(choose_body(), longest),
+        "body_html": F.lit(None).cast("string"),
+    })
+
+
 def _fill(template: str, chars: int) -> Column:
     head, rest = template.split("{subject}")
     middle, rest = rest.split("{sender}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.operators import intervals
 from ledgerflow.operators.joins import lookup_join, salted_join
 
 BATCH_SIZE = 1000
@@ -172,10 +173,10 @@ def unread_arrivals(
 ) -> DataFrame:
     """Everything that arrived and was not processed yet, in numbered chunks.
 
-    ``processed`` names the messages of committed batches, ``marks`` the span that a folder
-    had read before this ledger knew it.  Files do not come in the order of their uids, so
-    a message below the high mark counts as any other; a folder without marks takes
-    everything.  A message that arrives twice at once is taken once.
+    ``processed`` holds the runs of uids that committed batches processed, ``marks`` the span
+    that a folder had read before this ledger knew it.  Files do not come in the order of
+    their uids, so a message below the high mark counts as any other; a folder without marks
+    takes everything.  A message that arrives twice at once is taken once.
     """
     span = marks.select("source_folder_id", HIGH, LOW)
     new = (
@@ -185,27 +186,50 @@ def unread_arrivals(
     )
     if "readable" in new.columns:
         new = new.filter("readable")
-    new = new.dropDuplicates(["source_folder_id", "uid"]).join(
-        processed.select("source_folder_id", "uid"), ["source_folder_id", "uid"], "left_anti"
-    )
+    new = intervals.remaining(new.dropDuplicates(["source_folder_id", "uid"]), processed)
     return number_chunks_uncapped(new, chunk_size).select(
         "source_folder_id", "uid", "first_run", "chunk_num"
     )
 
 
+def gap_messages(
+    messages: DataFrame, state: DataFrame, before: DataFrame, processed: DataFrame
+) -> DataFrame:
+    """Messages between the marks of their folder that no committed batch processed.
+
+    A run that found more new mail than it may read leaves such gaps, and so does a chunk
+    that failed.  ``before`` holds the marks a folder had when it entered the ledger: what
+    lies between those was read elsewhere.  A message that cannot be read is no gap.
+    """
+    earlier = before.select(
+        "source_folder_id", F.col(HIGH).alias("_high"), F.col(LOW).alias("_low"))
+    marks = state.join(earlier, "source_folder_id", "left")
+    rows = messages.filter("readable") if "readable" in messages.columns else messages
+    inside = salted_join(rows, marks, ["source_folder_id"], ["uid"]).filter(
+        F.col("uid").between(F.col(LOW), F.col(HIGH))
+        & ~F.coalesce(F.col("uid").between(F.col("_low"), F.col("_high")), F.lit(False))
+    )
+    return intervals.remaining(inside.select(*messages.columns, HIGH, LOW), processed).withColumn(
+        "first_run", F.lit(False))
+
+
 def select_batch(
     messages: DataFrame,
     state: DataFrame,
     batch_size: int = BATCH_SIZE,
     chunk_size: int = CHUNK_SIZE,
+    gaps: DataFrame | None = None,
 ) -> DataFrame:
     """``(source_folder_id, uid, first_run, chunk_num)`` of everything the next run reads.
 
     ``messages`` needs ``source_folder_id`` and ``uid``; with a ``readable`` column,
     unreadable messages take a place in the batch but none in a chunk.  With more new
-    messages than ``batch_size`` the newest win and ``unprocessed_gaps`` lists the rest.
+    messages than ``batch_size`` the newest win; the rest are among the ``gaps`` of later
+    runs, which are taken by uid like any other message.
     """
     eligible = select_join(messages, state, batch_size)
+    if gaps is not None:
+        eligible = eligible.unionByName(gaps)
     chosen = newest_per_folder(eligible, batch_size)
     if "readable" in chosen.columns:
         chosen = chosen.filter("readable")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -11,13 +14,16 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import attachments as att
 from ledgerflow.operators import commit as cm
-from ledgerflow.operators import decoding, metrics, parsing, prompts, reconcile, scoring, selection
+from ledgerflow.operators import decoding, intervals, metrics, parsing, prompts, reconcile, scoring, selection
 from ledgerflow.operators.joins import lookup_join
 from ledgerflow.operators.ledger import OUTCOME, BatchId, Ledger
 from ledgerflow.sources.messages import message_keys, readable_messages
+from ledgerflow.sources.metrics import read_metrics, write_metrics
 
 KEY = ["source_folder_id", "uid"]
 
+# Rows that name messages in, the same rows with ``rfc822_data`` out.
+Fetch = Callable[[DataFrame], DataFrame]
 # Rows with a prompt in, the same rows with response, error and elapsed_sec out.
 Answerer = Callable[[DataFrame, str], DataFrame]
 
@@ -30,6 +36,8 @@ class RunSizes:
     chunk_size: int = selection.CHUNK_SIZE
     conflict_keys: Sequence[str] = cm.CONFLICT_KEYS
     advance_empty: bool = False
+    # read what earlier runs passed over between a folder's marks
+    fill_gaps: bool = True
 
 
 def answers_from_table(responses: DataFrame) -> Answerer:
@@ -108,10 +116,41 @@ def located_and_lost(
         {f.name: F.lit(None).cast(f.dataType) for f in missing})
 
 
+class StageClock:
+    """Seconds of the jobs of a batch, as the driver sees them."""
+
+    def __init__(self):
+        self.begun = time.perf_counter()
+        self.seconds: dict[str, float] = {}
+
+    @contextlib.contextmanager
+    def timed(self, stage: str):
+        begun = time.perf_counter()
+        yield
+        self.seconds[stage] = self.seconds.get(stage, 0.0) + time.perf_counter() - begun
+
+    def on_chunks(self, chunks: DataFrame) -> DataFrame:
+        """Chunk rows with the times that are taken for a batch as a whole.
+
+        One job serves all chunks, so each has the share of its messages.
+        """
+        total = F.coalesce(chunks.agg(F.sum("emails_fetched")).scalar(), F.lit(1))
+
+        def share(seconds: float) -> Column:
+            return F.round(F.lit(seconds) * F.col("emails_fetched") / total, 6)
+
+        return chunks.withColumns({
+            "duration_sec": share(time.perf_counter() - self.begun),
+            "s3_upload_time_sec": share(self.seconds.get("upload", 0.0)),
+            "db_commit_time_sec": share(self.seconds.get("commit", 0.0)),
+        })
+
+
 def process_messages(
     ledger: Ledger,
     batch_id: BatchId,
-    selected: DataFrame,
+    chosen: DataFrame,
+    fetch: Fetch,
     state: DataFrame,
     context: DataFrame,
     answer: Answerer,
@@ -121,15 +160,18 @@ def process_messages(
     extra_marks: DataFrame | None = None,
     lost: DataFrame | None = None,
 ) -> None:
-    """Parse, classify, extract and commit selected messages as one batch.
-
-    ``selected`` has the raw bytes and ``chunk_num``; ``state`` the marks and ``context``
-    the user, source and folder fields per ``source_folder_id``.  ``failures`` names
-    chunks to leave out, ``lost`` the outcomes of messages without a folder.  The caller
-    has begun the batch.
+    """Parse, classify, extract and commit chosen messages as one batch.
+
+    ``chosen`` names the messages and their ``chunk_num``; ``fetch`` adds the raw bytes to
+    such rows.  They are fetched twice: for the texts of all messages, and later for the
+    files of invoices, whose bytes are the only ones that are written.  ``state`` holds the
+    marks and ``context`` the user, source and folder fields per ``source_folder_id``.
+    ``failures`` names chunks to leave out, ``lost`` the outcomes of messages without a
+    folder.  The caller has begun the batch.
     """
-    readable = readable_messages(selected).select(*KEY, "chunk_num", "rfc822_data")
-    parsed = ledger.hand_over("parsed", parsing.parse_messages(readable), batch_id)
+    clock = StageClock()
+    readable = readable_messages(fetch(chosen)).select(*KEY, "chunk_num", "rfc822_data")
+    parsed = ledger.hand_over("parsed", _lean(parsing.parse_texts(readable)), batch_id)
 
     # the short question goes to every message, the long one to likely invoices only
     asked = _ask(parsing.parsed_messages(parsed), "classify", answer)
@@ -155,49 +197,88 @@ def process_messages(
         committed = cm.successful_chunks(outcome, failures)
         chunks = cm.successful_chunks(chunks, failures)
 
+    # invoices with their narrow columns: what is looked for in the ledger, and in which buckets
     found = outcome.filter(F.col("status") == metrics.INVOICE).select(*KEY, "chunk_num")
     fields = context.select("source_folder_id", *reconcile.NATURAL_KEY, "user_id")
-    located = lookup_join(found, fields, ["source_folder_id"])
-
-    # files of a failed chunk are stored as well: they go up before the commit
-    with_files = parsed.select(*KEY, "attachments").filter(F.size("attachments") > 0)
-    with_files = with_files.join(located.drop("chunk_num"), KEY).withColumn(
-        "attachments", att.first_files(F.col("attachments")))
-    files = parsing.explode_attachments(with_files, *reconcile.NATURAL_KEY, "user_id")
-    ledger.stage(
-        "attachment",
-        att.missing_objects(att.with_file_key(files), ledger.read("attachment")),
+    located = ledger.hand_over(
+        "located",
+        lookup_join(found, fields, ["source_folder_id"])
+        .join(parsed.select(*KEY, "message_id", "filenames"), KEY)
+        .join(extracted.select(*KEY, F.col("invoice.invoice_number").alias("invoice_number")), KEY),
         batch_id,
     )
-
-    if failures is not None:
-        located = cm.successful_chunks(located, failures)
-    names = F.col("attachments.filename")
-    invoices = (
-        located.join(extracted.select(*KEY, "invoice.*"), KEY)
-        .join(parsed.select(*KEY, "message_id", names.alias("filenames")), KEY)
-        .withColumns({
-            "attached_files": att.attached_files(F.col("filenames")),
-            "created_at": now,
-            "updated_at": now,
-        })
-        .drop("filenames")
-    )
-    new = cm.insert_invoices(
-        invoices, ledger.read("invoice"), ["source_folder_id", "chunk_num", "uid"],
-        sizes.conflict_keys,
-    )
-    ledger.stage("invoice", new, batch_id)
-
-    marks = cm.merge_watermarks(state, cm.uid_bounds(committed))
-    if extra_marks is not None:
-        marks = marks.unionByName(extra_marks)
-    ledger.stage("watermark", ledger.moved_marks(marks.withColumn("processed_at", now)), batch_id)
-    ledger.stage("chunk_metrics", chunks, batch_id)
+    with clock.timed("upload"):
+        # files of a failed chunk are stored as well: they go up before the commit
+        ledger.stage("attachment", _new_files(ledger, batch_id, located, fetch), batch_id)
+
+    with clock.timed("commit"):
+        if failures is not None:
+            located = cm.successful_chunks(located, failures)
+        invoices = (
+            located.drop("invoice_number").join(extracted.select(*KEY, "invoice.*"), KEY)
+            .withColumns({
+                "attached_files": att.attached_files(F.col("filenames")),
+                "created_at": now,
+                "updated_at": now,
+            })
+            .drop("filenames")
+        )
+        # equal keys have equal numbers, so the numbers' buckets hold every conflict
+        buckets = None
+        if "invoice_number" in sizes.conflict_keys:
+            buckets = ledger.touched("invoice", located)
+        new = cm.insert_invoices(
+            invoices, ledger.read("invoice", buckets=buckets),
+            ["source_folder_id", "chunk_num", "uid"], sizes.conflict_keys, ledger.newest().top_id,
+        )
+        ledger.stage("invoice", new, batch_id)
+
+        marks = cm.merge_watermarks(state, cm.uid_bounds(committed))
+        if extra_marks is not None:
+            marks = marks.unionByName(extra_marks)
+        # every bucket that is touched has to be written whole, so the buckets of all messages do
+        places = ledger.touched_by(
+            outcome.withColumn("span", intervals.span_of("uid")), "watermark", "processed")
+        moved = ledger.moved_marks(
+            marks.withColumn("processed_at", now), places["watermark"] if extra_marks is None else None)
+        ledger.stage("watermark", moved, batch_id)
+        ledger.stage("processed", ledger.more_processed(committed, places["processed"]), batch_id)
+    ledger.stage("chunk_metrics", clock.on_chunks(chunks), batch_id)
     ledger.commit(batch_id)
     ledger.release(batch_id)
 
 
+def _lean(parsed: DataFrame) -> DataFrame:
+    """Parsed messages with what later steps read: bodies cut, files by name."""
+    return prompts.cut_bodies(parsed).withColumn("filenames", F.col("attachments.filename")).drop(
+        "attachments", "to_address", "date")
+
+
+def _new_files(
+    ledger: Ledger, batch_id: BatchId, located: DataFrame, fetch: Fetch
+) -> DataFrame:
+    """The files of invoices that the store does not hold, with their bytes.
+
+    Which ones are missing is found by names alone, in the buckets of their keys; then the
+    messages that have some are fetched once more and their files parsed.
+    """
+    named = F.transform("filenames", lambda name: F.struct(name.alias("filename")))
+    names = located.filter(F.size("filenames") > 0).withColumn(
+        "attachments", att.first_files(named)).drop("filenames")
+    keys = names.select(*KEY, F.explode("attachments.filename").alias("filename"), *reconcile.NATURAL_KEY, "user_id")
+    keys = ledger.hand_over("file_keys", att.with_file_key(keys).select(*KEY, "file_key"), batch_id)
+    stored = ledger.read("attachment", buckets=ledger.touched("attachment", keys)).select("file_key")
+    missing = keys.join(stored, "file_key", "left_anti").groupBy(*KEY).agg(
+        F.collect_list("file_key").alias("wanted"))
+    whose = located.select(*KEY, *reconcile.NATURAL_KEY, "user_id").join(missing, KEY)
+    raw = readable_messages(fetch(whose))
+    files = parsing.parse_files(raw.select(*KEY, *reconcile.NATURAL_KEY, "user_id", "wanted", "rfc822_data"))
+    files = files.withColumn("attachments", att.first_files(F.col("attachments"))).withColumn(
+        "attachments", F.filter("attachments", lambda f: F.array_contains("wanted", att.message_key(f["filename"]))))
+    exploded = parsing.explode_attachments(files, *reconcile.NATURAL_KEY, "user_id")
+    return att.with_file_key(exploded).select("file_key", "content_type", "data", "size_bytes")
+
+
 def run_folders(
     ledger: Ledger,
     batch_id: BatchId,
@@ -235,28 +316,121 @@ def _run_folders(
     names = context.select("source_folder_id", *reconcile.NATURAL_KEY)
     if by_name:
         keys = lookup_join(keys, names, reconcile.NATURAL_KEY).drop(*reconcile.NATURAL_KEY)
+    folders = ledger.read("source_folder").unionByName(
+        ledger.staged("source_folder", batch_id)) if created else ledger.read("source_folder")
+    gaps = None
+    if sizes.fill_gaps:
+        before = folders.select(
+            F.col("id").alias("source_folder_id"), "high_water_mark", "low_water_mark")
+        gaps = selection.gap_messages(keys, state, before, ledger.intervals())
     chosen = ledger.hand_over(
         "selected",
-        selection.select_batch(keys, state, sizes.batch_size, sizes.chunk_size),
+        selection.select_batch(keys, state, sizes.batch_size, sizes.chunk_size, gaps),
         batch_id,
     )
     # messages of folders that nobody knows are reported as well
-    folders = ledger.read("source_folder").unionByName(
-        ledger.staged("source_folder", batch_id)) if created else ledger.read("source_folder")
     unknown = keys.select(*KEY).join(
         folders.select(F.col("id").alias("source_folder_id")), "source_folder_id", "left_anti")
     chosen, lost = located_and_lost(
         chosen.unionByName(unknown, allowMissingColumns=True), context, folders)
-    if by_name:
-        chosen = lookup_join(chosen, names, ["source_folder_id"])
+
+    def fetch(rows: DataFrame) -> DataFrame:
+        if by_name and not set(reconcile.NATURAL_KEY) <= set(rows.columns):
+            rows = lookup_join(rows, names, ["source_folder_id"])
+        return selection.fetch_selected(messages, rows)
+
     seen = keys.filter("readable")  # a span of unreadable messages is as good as empty
     extra = (
         cm.advance_empty_spans(state, seen, sizes.batch_size) if sizes.advance_empty else None
     )
     process_messages(
-        ledger, batch_id, selection.fetch_selected(messages, chosen), state, context, answer,
-        now, sizes, failures, extra, lost,
-    )
+        ledger, batch_id, chosen, fetch, state, context, answer, now, sizes, failures, extra, lost)
+
+
+def run_isolated(
+    ledger: Ledger,
+    run_id: BatchId,
+    messages: DataFrame,
+    state: DataFrame,
+    context: DataFrame,
+    answer: Answerer,
+    now: Column,
+    sizes: RunSizes = RunSizes(),
+    groups: int = 8,
+    halvings: int = 2,
+    key: Column | None = None,
+) -> list[tuple[str, str]]:
+    """Run groups of folders as batches of their own, so that one that fails costs only itself.
+
+    Folders are dealt into ``groups`` by ``key`` (a digest of their id).  A group whose jobs
+    fail is cut in two and both halves are tried, ``halvings`` times over; what fails then is
+    recorded as the outcome of its folders and left as it was: its rows are unseen and its
+    marks unmoved, so that any later run reads its messages.  Groups that were committed
+    under this ``run_id`` before are passed over, so the same call also completes a run.
+
+    ``messages`` name their folder by its id.  Each group scans their keys; groups follow one
+    another, for a ledger has one writer.  Returns ``(batch, reason)`` of what failed.
+    """
+    place = F.xxhash64("source_folder_id") if key is None else key
+    failed: list[tuple[str, str]] = []
+
+    def attempt(parts: int, part: int, left: int) -> None:
+        name, mine = f"{run_id}-{part}-of-{parts}", F.pmod(place, F.lit(parts)) == part
+        folders = state.filter(mine)
+        try:
+            run_folders(
+                ledger, name, messages.filter(mine), folders, context, answer, now, sizes)
+        except Exception as error:
+            if left:
+                # a folder of this part is in one of the two parts of twice as many
+                for half in (part, part + parts):
+                    attempt(parts * 2, half, left - 1)
+            else:
+                failed.append((name, _reason(error)))
+                _record_failure(ledger, name, folders, failed[-1][1])
+
+    for part in range(groups):
+        attempt(groups, part, halvings)
+    return failed
+
+
+def _reason(error: Exception) -> str:
+    lines = str(error).strip().splitlines()
+    return lines[0] if lines else type(error).__name__
+
+
+def _record_failure(ledger: Ledger, name: str, folders: DataFrame, reason: str) -> None:
+    """An outcome for every folder of a failed group, as a batch that moves nothing."""
+    batch_id = f"{name}-failed-{uuid.uuid4().hex}"
+    ledger.begin(batch_id)
+    known = {
+        "source_folder_id": F.col("source_folder_id"), "status": F.lit(metrics.FAILED),
+        "error": F.lit(reason), "committed": F.lit(False),
+    }
+    ledger.stage("outcome", folders.select(*[
+        known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in OUTCOME.fields
+    ]), batch_id)
+    ledger.commit(batch_id)
+
+
+def documents_path(ledger: Ledger, batch_id: BatchId) -> str:
+    return f"{ledger.root}/documents/batch_id={batch_id}"
+
+
+def write_documents(ledger: Ledger, batch_id: BatchId, now: Column) -> None:
+    """The documents of a batch, one per folder it read, from the ledger's own rows.
+
+    Written anew they are the same, so a crash behind the commit costs nothing.
+    """
+    chunks = batch_rows(ledger, "chunk_metrics", batch_id)
+    stamp = F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss")
+    write_metrics(
+        metrics.folder_documents(metrics.folder_rollup(chunks), chunks, stamp),
+        documents_path(ledger, batch_id), mode="overwrite")
+
+
+def documents(ledger: Ledger, batch_id: BatchId) -> DataFrame:
+    return read_metrics(ledger.spark, documents_path(ledger, batch_id)).drop("run_date")
 
 
 def run(
@@ -275,7 +449,8 @@ def run(
 
     ``now`` is one literal without zone, in UTC, for the whole run.  ``messages`` may name
     their folder by its natural key, so that mail of a folder this run creates is read in
-    this run; ``folder_results`` tells what became of each folder.
+    this run; ``folder_results`` tells what became of each folder and ``documents`` holds
+    one document for each folder that was read.
     """
     tokens = reconcile.source_tokens(sources, refreshes, now)
     usable = tokens.filter(F.col("access_token").isNotNull()).select("source_id")
@@ -296,6 +471,7 @@ def run(
             ledger, batch_id, messages, state, context, answer, stamp, sizes, failures,
             created=True,
         )
+    write_documents(ledger, batch_id, now)
     reconciled = run_context(listed, ledger.read("source_folder"), sources)
     rollup = metrics.folder_rollup(
         batch_rows(ledger, "chunk_metrics", batch_id),

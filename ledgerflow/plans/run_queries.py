@@ -64,38 +64,44 @@ def second_run_marks(i):
 # -- stream ----------------------------------------------------------------------
 
 
-FILES = 5
+ARRIVALS = 5
 
 
-def file_of(event_id):
-    """Which file an event arrives in; every file runs through all uids."""
-    return (event_id * 3 + 1) % FILES
+def arrival_of(event_id):
+    """With which arrival an event comes; every arrival runs through all uids."""
+    return (event_id * 3 + 1) % ARRIVALS
 
 
-def event_files(i: Inputs) -> str:
-    """The event table as files that arrive one after the other, no folder's uids in order."""
-    path = new_run_dir(i.spark, "event-files")
-    for number in range(FILES):
-        part = i.table("events").filter(file_of(F.col("event_id")) == number)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+def arrive(i: Inputs, path: str, number: int) -> None:
+    """Write one arrival of events to the folder a stream reads, in as many files as Spark likes."""
+    part = i.table("events").filter(arrival_of(F.col("event_id")) == number)
+    part.write.mode("append").parquet(path)
 
 
-def drained(i: Inputs, ledger: Ledger, path: str, name: str) -> Ledger:
-    """The ledger after a stream over files of events, one per micro-batch, has run dry."""
-    events = i.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
-    stream = start_incremental(
+def drain(i: Inputs, ledger: Ledger, path: str, checkpoint: str) -> None:
+    """Run a stream over a folder of events until it is dry; what is new is one micro-batch."""
+    events = i.spark.readStream.schema(EVENTS).parquet(path)
+    start_incremental(
         i.raw_events(events), ledger, i.event_context(),
-        rn.answers_from_table(i.event_responses()),
-        new_run_dir(i.spark, f"{name}-checkpoint"), now=lambda: now().cast("timestamp"),
-    )
-    stream.awaitTermination()
-    return ledger
+        rn.answers_from_table(i.event_responses()), checkpoint,
+        now=lambda: now().cast("timestamp"),
+    ).awaitTermination()
+
+
+def drained(i: Inputs, ledger: Ledger, name: str) -> str:
+    """Let the event table arrive part by part, no folder's uids in order, and take it in."""
+    path, checkpoint = (new_run_dir(i.spark, f"{name}-{what}") for what in ("events", "checkpoint"))
+    for number in range(ARRIVALS):
+        arrive(i, path, number)
+        drain(i, ledger, path, checkpoint)
+    return path
 
 
 def streamed(i: Inputs, name: str) -> Ledger:
     """A ledger that took the whole event table in through the stream."""
-    return drained(i, empty_ledger(i, name, i.event_folders()), event_files(i), name)
+    ledger = empty_ledger(i, name, i.event_folders())
+    drained(i, ledger, name)
+    return ledger
 
 
 FOUND = f"""found AS (
@@ -108,17 +114,17 @@ STREAM_FIRSTS = """firsts AS (
   SELECT * EXCLUDE (r) FROM (
     SELECT *, row_number() OVER (PARTITION BY invoice_number ORDER BY source_folder_id, uid) AS r
     FROM found) WHERE r = 1 OR invoice_number IS NULL)"""
-# of equal numbers the first file's counts
-FILE_FIRSTS = STREAM_FIRSTS.replace(
+# of equal numbers that of the first arrival counts
+ARRIVAL_FIRSTS = STREAM_FIRSTS.replace(
     "ORDER BY source_folder_id", "ORDER BY ((uid - 1) * 3 + 1) % 5, source_folder_id")
 
 
-@query("incremental_stream", with_ctes([c.MESSAGES, FOUND, FILE_FIRSTS], """
+@query("incremental_stream", with_ctes([c.MESSAGES, FOUND, ARRIVAL_FIRSTS], """
 SELECT source_folder_id, uid, user_id, invoice_number, total_amount,
   '[{"file_name":"props.json","file_key":"' || file_key || '"}]' AS attached_files,
   '<' || (uid - 1) || '@example.com>' AS message_id FROM firsts"""))
 def incremental_stream(i):
-    """Invoices in the ledger after the stream has run dry, over five files out of order."""
+    """Invoices in the ledger after the stream has run dry, over five arrivals out of order."""
     return streamed(i, "stream").read("invoice").select(
         "source_folder_id", "uid", "user_id", "invoice_number",
         F.col("total_amount").cast("double").alias("total_amount"),
@@ -164,8 +170,8 @@ def idempotent_replay(i):
         ingest_arrivals(ledger, batch_id, arrivals, i.event_context(), answer, stamp)
     every = sel.select_arrivals(arrivals.select("source_folder_id", "uid"), i.first_state())
     rn.process_messages(
-        ledger, 1, sel.fetch_selected(arrivals, every), i.first_state(), i.event_context(),
-        answer, stamp,
+        ledger, 1, every, lambda rows: sel.fetch_selected(arrivals, rows), i.first_state(),
+        i.event_context(), answer, stamp,
     )
     objects = cm.affected_count(ledger.read("attachment")).scalar()
     return (
@@ -194,15 +200,15 @@ def stream_after_batch(i):
         rn.answers_from_table(i.event_responses()), now().cast("timestamp"),
         rn.RunSizes(batch_size=3, chunk_size=2),
     )
-    return processed_times(drained(i, ledger, event_files(i), "after-batch"))
+    drained(i, ledger, "after-batch")
+    return processed_times(ledger)
 
 
 @query("stream_two_checkpoints", PROCESSED)
 def stream_two_checkpoints(i):
     """The same files through two streams with checkpoints of their own: every message once."""
-    ledger, path = empty_ledger(i, "two", i.event_folders()), event_files(i)
-    for name in ("two-first", "two-second"):
-        drained(i, ledger, path, name)
+    ledger = empty_ledger(i, "two", i.event_folders())
+    drain(i, ledger, drained(i, ledger, "two"), new_run_dir(i.spark, "two-second"))
     return processed_times(ledger)
 
 
@@ -239,6 +245,66 @@ def run_missing_context(i):
         "inserted", F.coalesce("inserted", F.lit(0)))
 
 
+@query("isolated_failures", with_ctes([c.MESSAGES], """
+SELECT source_folder_id, CASE WHEN source_folder_id % 4 = 3 THEN CAST(0 AS BIGINT) ELSE count(*) END AS first_run,
+  count(*) AS both_runs,
+  CASE WHEN source_folder_id % 4 = 3 THEN 'model lost' END AS error FROM messages GROUP BY 1"""))
+def isolated_failures(i):
+    """A run in which the model fails for one of two groups, then one in which it does not.
+
+    The group is halved, and only the half with the failing folders is left out.
+    """
+    ledger = empty_ledger(i, "isolated", i.event_folders())
+    arrivals, ready = i.raw_events(i.dealt("events")), rn.answers_from_table(i.event_responses())
+    sizes = rn.RunSizes(batch_size=FAR_MORE, chunk_size=FAR_MORE, fill_gaps=False)
+
+    def failing(rows: DataFrame, stage: str) -> DataFrame:
+        lost = F.when(F.col("source_folder_id") % 4 == 3, F.raise_error(F.lit("model lost")))
+        return ready(rows, stage).withColumn("error", F.coalesce(lost.cast("string"), "error"))
+
+    def times(of: DataFrame, name: str) -> DataFrame:
+        return of.groupBy("source_folder_id").agg(F.count(F.lit(1)).alias(name))
+
+    runs = []
+    for name, answer, groups in (("bad", failing, 2), ("good", ready, 1)):
+        rn.run_isolated(
+            ledger, name, arrivals, ledger.state(), i.event_context(), answer,
+            now().cast("timestamp"), sizes, groups=groups, halvings=1, key=F.col("source_folder_id"),
+        )
+        # read now: later batches would show up in a frame that is read later
+        runs.append(ledger.hand_over(f"seen-{name}", ledger.processed(), name))
+    told = F.when(F.col("error").contains("model lost"), F.lit("model lost")).otherwise(F.col("error"))
+    reasons = ledger.read("outcome").filter("uid IS NULL").select("source_folder_id", told.alias("error"))
+    return (
+        times(runs[1], "both_runs").join(times(runs[0], "first_run"), "source_folder_id", "left")
+        .join(reasons, "source_folder_id", "left")
+        .withColumn("first_run", F.coalesce("first_run", F.lit(0).cast("bigint")))
+    )
+
+
+# no folder holds so many messages
+FAR_MORE = 1 << 20
+
+
+@query("capped_runs", with_ctes([c.MESSAGES], """
+SELECT source_folder_id, uid, CAST(1 AS BIGINT) AS times FROM messages"""))
+def capped_runs(i):
+    """More new mail than a run may read: the next run reads what the first one passed over."""
+    most = i.messages().groupBy("source_folder_id").count().agg(F.max("count")).first()[0]
+    ledger = empty_ledger(i, "capped", i.event_folders())
+    # the second run's backfill span holds nothing: the first run also took the lowest uids
+    lowest = i.table("events").groupBy("user_id").agg(F.min("event_id").alias("event_id"))
+    arrivals = i.raw_events(i.dealt("events"))
+    first = i.raw_events(i.table("events").join(lowest, ["user_id", "event_id"], "left_semi"))
+    for name, mail, cap in (("lowest", first, 1), ("newest", arrivals, (most + 1) // 2), ("rest", arrivals, most)):
+        rn.run_folders(
+            ledger, name, mail, ledger.state(), i.event_context(),
+            rn.answers_from_table(i.event_responses()), now().cast("timestamp"),
+            rn.RunSizes(batch_size=cap, chunk_size=7),
+        )
+    return processed_times(ledger)
+
+
 # -- whole run ---------------------------------------------------------------------
 
 
@@ -261,6 +327,21 @@ RUN_CTES = [
 ]
 
 
+@query("run_documents", with_ctes(RUN_CTES, """
+SELECT sum(n)::BIGINT AS emails, count(*) AS documents, sum(ceil(n / 7))::BIGINT AS chunks, CAST(0 AS BIGINT) AS untimed
+FROM (SELECT source_folder_id, uid % 3 = 0 AS spam, count(*) AS n FROM taken_messages GROUP BY 1, 2)"""))
+def run_documents(i):
+    """The documents that a run writes: one per folder read, with the times of every chunk."""
+    ledger, summary = whole_run(i, "documents")
+    summary.first()
+    chunks = F.col("metrics")
+    timed = F.forall(chunks, lambda m: m["duration_sec"].isNotNull() & m["s3_upload_time_sec"].isNotNull()
+                     & m["db_commit_time_sec"].isNotNull() & (m["duration_sec"] > 0))
+    return rn.documents(ledger, 0).agg(
+        F.sum("emails_fetched").alias("emails"), F.count(F.lit(1)).alias("documents"),
+        F.sum("chunks_processed").alias("chunks"), F.count_if(~timed).alias("untimed"))
+
+
 @query("run_summary", with_ctes(RUN_CTES, """
 SELECT (SELECT count(*) FROM usable) AS sources_processed,
   2 * (SELECT count(*) FROM usable) AS folders_reconciled,
@@ -276,7 +357,12 @@ def run_summary(i):
 
     A third of the mail lies in folders that only this run creates.
     """
-    ledger = empty_ledger(i, "run", i.event_folders())
+    return whole_run(i, "run")[1]
+
+
+def whole_run(i: Inputs, name: str) -> tuple[Ledger, DataFrame]:
+    """The ledger after one run over sources, listing and mail, and the summary of the run."""
+    ledger = empty_ledger(i, name, i.event_folders())
     named = i.raw_events(i.dealt("events")).select(
         F.col("source_folder_id").alias("source_id"),
         F.when(F.col("uid") % 3 == 0, "Spam").otherwise("INBOX").alias("folder_name"),
@@ -290,7 +376,7 @@ def run_summary(i):
         asked = responses.filter(F.col("stage") == stage).select("uid", "response", "error")
         return rows.drop("prompt").join(asked, "uid", "left").withColumn("elapsed_sec", F.lit(0.0))
 
-    return rn.run(
+    return ledger, rn.run(
         ledger, 0, i.sources(), i.refreshes(), customer_listing(i), named, answer, now(),
         rn.RunSizes(batch_size=50, chunk_size=7),
     )

@@ -21,6 +21,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings a session has to be built with.  Plans here are long, and looking up a call site
+# for every column costs the driver more than many a job.
+BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 # The scratch folder of each local application that names none.
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -42,7 +46,7 @@ def session(app: str = "ledgerflow", master: str | None = None, **settings: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in settings.items():
+    for key, value in {**BUILD_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from ledgerflow import schemas
 
 
-def write_metrics(documents: DataFrame, path: str) -> None:
-    """Append run documents as JSON lines under ``run_date=...``.
+def write_metrics(documents: DataFrame, path: str, mode: str = "append") -> None:
+    """Add run documents as JSON lines under ``run_date=...``, or put them in place of others.
 
     A folder that fetched nothing writes no document.
     """
     (
         documents.filter(F.col("emails_fetched") > 0)
         .withColumn("run_date", F.substring("timestamp", 1, 10))
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy("run_date")
         .option("ignoreNullFields", "false")
         .json(path)

@@ -45,16 +45,16 @@ def ingest_arrivals(
     folders = ledger.read("source_folder")
     before = folders.select(
         F.col("id").alias("source_folder_id"), "high_water_mark", "low_water_mark")
+    keys = message_keys(arrivals)
     chosen = ledger.hand_over(
         "selected",
-        selection.unread_arrivals(
-            message_keys(arrivals), before, ledger.processed(), sizes.chunk_size),
+        selection.unread_arrivals(keys, before, ledger.intervals(keys), sizes.chunk_size),
         batch_id,
     )
     chosen, lost = located_and_lost(chosen, context, folders)
     process_messages(
-        ledger, batch_id, selection.fetch_selected(arrivals, chosen), ledger.state(), context,
-        answer, now, sizes, lost=lost,
+        ledger, batch_id, chosen, lambda rows: selection.fetch_selected(arrivals, rows),
+        ledger.state(), context, answer, now, sizes, lost=lost,
     )
 
 

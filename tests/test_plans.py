@@ -19,7 +19,7 @@ EAGER = {
     "commit_visible", "metrics_round_trip", "incremental_stream", "folder_state",
     "stored_attachments", "idempotent_replay", "run_summary", "clear_invoices", "clear_folders",
     "delete_by_prefix", "delete_sources", "stream_after_batch", "stream_two_checkpoints",
-    "run_missing_context",
+    "run_missing_context", "isolated_failures", "capped_runs", "run_documents",
 }
 
 
