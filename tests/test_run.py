@@ -269,12 +269,65 @@ def test_replaced_tables_and_flat_marks(spark, ledger, messages, context):
     for batch_id in range(2):
         part = messages.filter(F.col("uid") % 2 == batch_id)
         ingest_arrivals(ledger, batch_id, part, context, ANSWER, stamp())
-    # however many batches there are, the marks are read from one part
+    # however many batches there are, the marks are read from one part for each bucket
     parts = {f.rsplit("/", 1)[0] for f in ledger.marks().inputFiles()}
-    assert len(parts) == 1
+    assert len(parts) == len(ledger.touched("watermark", ledger.marks())) <= 2
     before = ledger.state().collect()
     ledger.replace("clear", {"invoice": ledger.read("invoice").limit(0)})
     assert found(ledger) == [] and ledger.read("outcome").count() == 48
     assert sorted(ledger.state().collect()) == sorted(before)
     ledger.replace("clear", {"outcome": ledger.read("outcome").limit(0)})  # done already: skipped
     assert ledger.read("outcome").count() == 48
+
+
+def test_groups_fail_alone_and_later_runs_complete_them(spark, ledger, messages, context):
+    def scorer_down(stage, sampling):
+        inner = scorer(stage, sampling)
+
+        def answer(asked):
+            if any("bill N3" in p for p in asked):
+                raise SystemExit("gone")
+            return inner(asked)
+
+        return answer
+
+    sizes = rn.RunSizes(batch_size=100, chunk_size=10)
+    only_two = F.when(F.col("source_folder_id") == 2, F.col("rfc822_data"))
+    calm = messages.withColumn("rfc822_data", F.coalesce(only_two, F.lit(mail(1, "news", "-"))))
+    folder = F.col("source_folder_id")
+
+    def run(name, answer):
+        return rn.run_isolated(
+            ledger, name, calm, ledger.state(), context, answer, stamp(), sizes, groups=2, halvings=1, key=folder)
+
+    failed = run("bad", rn.answers_from_scorer(scorer_down))
+    assert [name for name, _ in failed] == ["bad-2-of-4"]
+    assert {r.source_folder_id for r in ledger.processed().collect()} == {1}
+    assert [r.source_folder_id for r in ledger.marks().collect()] == [1]
+    told = ledger.read("outcome").filter("uid is null").collect()
+    assert [(r.source_folder_id, r.status, r.committed) for r in told] == [(2, "failed", False)]
+    assert run("bad", ANSWER) == []  # the same run, completed
+    times = ledger.processed().groupBy("source_folder_id", "uid").count()
+    assert times.count() == 48 and times.filter("count > 1").isEmpty()
+
+
+def test_bytes_of_other_mail_are_never_written(spark, ledger, messages, context):
+    rn.run_folders(ledger, 0, messages, ledger.state(), context, ANSWER, stamp(), rn.RunSizes(100, 10))
+    binary = [
+        f"{name}" for name in ("parsed", "classified", "extracted", "located", "file_keys", "selected")
+        for f in spark.read.parquet(f"{ledger.root}/work/{name}").schema.fields
+        if "binary" in f.dataType.simpleString()
+    ]
+    assert binary == []
+
+
+def test_cut_bodies_make_the_same_prompts(spark):
+    from ledgerflow.operators import prompts
+
+    rows = spark.createDataFrame(
+        [("s", "f", "x" * 9000, "<p>"), ("s", "f", "", "h" * 5000), ("s", "f", None, None)],
+        "subject string, from_address string, body_text string, body_html string")
+    for stage in ("classify", "extract"):
+        whole = [r.prompt for r in prompts.with_prompt(rows, stage).collect()]
+        assert whole == [r.prompt for r in prompts.with_prompt(prompts.cut_bodies(rows), stage).collect()]
+    assert max(len(r.body_text) for r in prompts.cut_bodies(rows).collect()) == 4000
