@@ -8,7 +8,12 @@ when that bound is below the kth score found.  Equal scores could still come up
 bound itself, so it goes on there.
 
 The query set is cut into blocks as well; every pair of blocks is one group, and the k
-best of all groups are merged per query.  No task holds more than two blocks.
+best of all groups are merged per query.  No task holds more than two blocks.  Both sides
+are written with their numbers before they are dealt, so that every task, a repeated one
+too, finds a row in the same block.
+
+How much a walk saves is the data's: where components are independent and as many as 64,
+the bound falls so slowly that all rows of a block are met before it ends.
 
 Defined results: a null vector, and one with a null or non-finite component, takes no
 part; vectors of different length are compared as if the shorter one ended in zeros; rows
@@ -18,15 +23,17 @@ of the same vec_id; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import table
+from ledgerflow.llm.common import staged, table
 
-ROWS = 8192  # rows of a block
-QUERIES = 1024  # queries of a block
+ROWS = 8192  # rows of a block, about
+QUERIES = 1024  # queries of a block, about
 STEP = 32  # first depth of a walk; it doubles
 PART = "query_id long, vec_id long, score long"
 
@@ -84,20 +91,24 @@ class Block:
         return ids, scores
 
 
+def dealt(rows: DataFrame, size: int, column: str) -> tuple[DataFrame, int]:
+    """Rows with the number of a block of about ``size``, and the number of blocks."""
+    numbered = staged(rows.withColumn("_n", F.monotonically_increasing_id()), f"search-{column}")
+    blocks = max(1, math.ceil(numbered.count() / size))
+    return numbered.withColumn(column, F.pmod(F.xxhash64("_n"), F.lit(blocks)).cast("int")).drop("_n"), blocks
+
+
 def searched(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best rows for every query.
 
     Both sides: (id long, vector array<long>); a row whose id is the query's is left out.
     """
-    number = F.monotonically_increasing_id()
-    rows = rows.withColumn("block", (number / ROWS).cast("long"))
-    queries = queries.withColumn("_n", F.monotonically_increasing_id()).withColumn("part", (F.col("_n") / QUERIES).cast("long")).drop("_n")
-    blocks, parts = rows.select("block").distinct(), queries.select("part").distinct()
-    # each side once per block of the other: ids of blocks, not rows, are paired here
-    pairs = blocks.withColumn("one", F.lit(1)).join(parts.withColumn("one", F.lit(1)), "one").drop("one")
-    left = rows.join(pairs, "block")
-    # a projection of its own, for Spark takes columns of one lineage for the same
-    right = queries.join(pairs, "part").select(
+    rows, blocks = dealt(rows, ROWS, "block")
+    queries, parts = dealt(queries, QUERIES, "part")
+    # each side once per block of the other
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    left = rows.withColumn("part", every(parts))
+    right = queries.withColumn("block", every(blocks)).select(
         *[F.col(c).alias(f"q_{c}") for c in ("id", "vector", "block", "part")])
 
     def best(data: pa.Table, asked: pa.Table) -> pa.Table:
