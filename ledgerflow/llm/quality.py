@@ -5,21 +5,26 @@ with class prior p, trusted positives P and unlabelled texts U,
 
     risk = p * R(P, +) + max(0, R(U, -) - p * R(P, -)),
 
-and where the second term falls below zero, its gradient is followed backwards.  Trusted
-positives are training rows labelled 1, unlabelled texts are training documents with or
-without a label.  The prior is estimated as the share of 1 among the labelled training
-rows.  Both samples are bounded, ``SAMPLE`` rows each, chosen by a hash of doc_id and text;
-with fewer rows than that, all are used.  Scoring covers every document and whole texts.
-
-Defined results: a null text is an empty one and is scored as such; a null ``doc_id`` is
-not held out and has no label; rows that repeat are scored each; several labels of one
-doc_id count as 1 only if all are 1; other columns are not looked at.  Without any
-positive, or without unlabelled texts, every score is the prior (0.5 without labels).
+and where the second term falls below zero, its gradient is followed back to zero.
+Trusted positives are training rows labelled 1, at most ``SAMPLE`` of them, chosen by a
+hash of their id.  Unlabelled texts are all training documents, with or without a label;
+their features are written once, and every step of the fit, like the mean and scale of the
+features, is one pass over all of them whose sums per coordinate reach the driver.
+
+The prior is estimated from positives and unlabelled texts alone: a first model tells the
+two apart, and of the ratios (share of U above a score) / (share of P above it) the least
+one bounds the prior; the errors of both shares are added before the least is chosen.
+Other labels are used for nothing.
+
+Defined results: a null text is an empty one and is scored as such; texts of any length
+are taken whole; a null ``doc_id`` is not held out and has no label; rows that repeat are
+scored each; several labels of one doc_id count as 1 only if all are 1; other columns are
+not looked at.  Without any positive, or without training texts, every score is 0.5.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerflow.llm import words as W
-from ledgerflow.llm.common import remainder, table
+from ledgerflow.llm.common import remainder, staged, table
 
-SAMPLE = 20_000  # at most so many positives, and so many unlabelled texts
+SAMPLE = 20_000  # at most so many positives
 THRESHOLD = 0.3
-STEPS = 1500
+PASSES = 40  # at most so many steps of a fit; it ends by itself before
+GAIN = 1e-7  # a fit ends where a step promises less than this
+RIDGE = 1e-3
 PAIR_BINS = 64
 
 KINDS = {
@@ -89,8 +96,8 @@ def thinned(rows: DataFrame, key) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def collected_features(texts: DataFrame) -> np.ndarray:
-    """Features of at most SAMPLE texts; only these numbers reach the driver."""
+def text_features(texts: DataFrame) -> DataFrame:
+    """(x): the features of each text as 32-bit floats."""
 
     def take(batches):
         for batch in batches:
@@ -99,52 +106,159 @@ def collected_features(texts: DataFrame) -> np.ndarray:
                     [pa.array([r.tobytes() for r in features(data, offsets).astype(np.float32)], pa.binary())],
                     names=["x"])
 
-    found = texts.select("text").mapInArrow(take, "x binary").limit(SAMPLE).collect()
-    return np.array([np.frombuffer(r.x, dtype=np.float32) for r in found], dtype=float)
+    return texts.select("text").mapInArrow(take, "x binary")
+
+
+def matrix(rows: Sequence[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), dtype=np.float32).reshape(len(rows), -1).astype(float)
+
+
+def sums(rows: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all rows of the vector that ``of`` makes of a block of features.
+
+    A task gives one row per coordinate; Spark adds them, so what reaches the driver does
+    not grow with the rows or the tasks.
+    """
+
+    def add(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = of(matrix(batch.column(0).to_pylist()))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["at", "value"])
+
+    found = rows.mapInArrow(add, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
+    out = np.zeros(len(found))
+    for row in found:
+        out[row.at] = row.value
+    return out
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fitted(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS):
-    """(mean, scale, weights) of the logistic model of least non-negative risk."""
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
-    ready = lambda x: np.column_stack([np.clip((x - mean) / scale, -8, 8), np.ones(len(x))])
-    p, u = ready(positive), ready(unlabelled)
-    weights = np.zeros(p.shape[1])
-    weights[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros_like(weights), np.zeros_like(weights)
-    for step in range(1, steps + 1):
-        at_p, at_u = sigmoid(p @ weights), sigmoid(u @ weights)
-        # log loss: R(P, +) = -log s, R(., -) = -log(1 - s)
-        gain = prior * p.T @ (at_p - 1) / len(p)
-        rest = u.T @ at_u / len(u) - prior * p.T @ at_p / len(p)
-        risk = -np.log1p(-np.minimum(at_u, 1 - 1e-9)).mean() + prior * np.log1p(-np.minimum(at_p, 1 - 1e-9)).mean()
-        slope = gain + rest if risk >= 0 else -rest
-        slope = slope + 1e-4 * np.append(weights[:-1], 0)
-        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
-        weights -= 0.02 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return mean, scale, weights
+def softplus(z: np.ndarray) -> np.ndarray:
+    return np.logaddexp(0, z)
+
+
+def standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Features ready for the model, the constant last."""
+    return np.column_stack([np.clip((x - mean) / scale, -8, 8), np.ones(len(x))])
+
+
+def loss_sums(x: np.ndarray, weights: np.ndarray, sign: int) -> np.ndarray:
+    """Loss of the label -sign, its slope and its curvature, summed over the rows, in one vector."""
+    at = sigmoid(x @ weights)
+    near = at if sign > 0 else at - 1
+    curve = (x * (at * (1 - at))[:, None]).T @ x
+    return np.concatenate([[softplus(sign * (x @ weights)).sum()], near @ x, curve.ravel()])
+
+
+def split(total: np.ndarray, rows: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """(loss, slope, curvature) per row, from their sums."""
+    side = int(np.sqrt(len(total)))
+    while 1 + side + side * side > len(total):
+        side -= 1
+    return total[0] / rows, total[1 : side + 1] / rows, total[side + 1 :].reshape(side, side) / rows
+
+
+def apart(unlabelled: Callable, positive: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weights that tell positives from unlabelled texts; Newton steps, halved where they do not help."""
+    trusted = lambda w: split(loss_sums(positive, w, -1), len(positive))
+    return descended(lambda w: (*(u + p for u, p in zip(unlabelled(w), trusted(w))), None), weights, 10 * RIDGE)
+
+
+def non_negative(unlabelled: Callable, positive: np.ndarray, prior: float, weights: np.ndarray) -> np.ndarray:
+    """Weights of least non-negative unbiased risk.
+
+    With the log loss R(P, +) - R(P, -) is minus the mean of the model's sums over P, so
+    the unbiased risk is convex and Newton steps apply while its second term is positive.
+    """
+    centre = positive.mean(axis=0)
+
+    def risk(w):
+        loss, slope, curve = unlabelled(w)
+        against, against_slope, _ = split(loss_sums(positive, w, 1), len(positive))
+        rest = loss - prior * against
+        back = None if rest >= 0 else (-rest, slope - prior * against_slope)
+        return loss - prior * (centre @ w), slope - prior * centre, curve, back
+
+    return descended(risk, weights, RIDGE)
+
+
+def descended(risk: Callable, weights: np.ndarray, ridge: float) -> np.ndarray:
+    """The minimum of a risk given as (value, slope, curvature, way back or None)."""
+    held = np.append(np.full(len(weights) - 1, ridge), 1e-9)
+    best, step = None, None
+    for _ in range(PASSES):
+        value, slope, curve, back = risk(weights)
+        if back is not None:
+            lack, way = back
+            if best is not None and step is not None and np.abs(step).max() < 1e-4:
+                break
+            # along the gradient of the negative term, as far as it takes to zero
+            weights = weights + way * lack / max(way @ way, 1e-12)
+            step = weights - best[1] if best is not None else None
+            continue
+        value += held @ weights**2 / 2
+        slope, curve = slope + held * weights, curve + np.diag(held)
+        if best is not None and value > best[0] + GAIN:
+            step = (weights - best[1]) / 2
+            if np.abs(step).max() < 1e-4:
+                break
+            weights = best[1] + step
+            continue
+        step = -np.linalg.solve(curve + 1e-9 * np.eye(len(slope)), slope)
+        best = value, weights
+        if -(slope @ step) < GAIN:
+            break
+        weights = weights + step
+    return best[1] if best is not None else weights
+
+
+def estimated_prior(positive: np.ndarray, above: Callable, unlabelled: int) -> float:
+    """The class prior from scores of positives and ``above(bars)``, counts of U at or above each bar."""
+    bars = np.unique(np.quantile(positive, np.linspace(0, 0.95, 96)))
+    of_p = (positive >= bars[:, None]).mean(axis=1)
+    of_u = above(bars) / unlabelled
+    error = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(unlabelled) + 1 / np.sqrt(len(positive)))
+    at = int(np.argmin((of_u + error) / of_p))
+    least = 1 / (unlabelled + 2)
+    return float(np.clip(of_u[at] / of_p[at], least, 1 - least))
 
 
 def trained(documents: DataFrame, labels: DataFrame, positive_label: int = 1):
-    """(mean, scale, weights) or the prior alone where there is nothing to learn from."""
+    """(mean, scale, weights), or 0.5 where there is nothing to learn from."""
     learn = F.coalesce(remainder(F.col("doc_id"), 5) != 0, F.lit(False))
     rows = documents.select(F.col("doc_id").cast("long"), "text").filter(learn)
     marks = labels.select(F.col("doc_id").cast("long"), F.col("quality")).filter(learn & F.col("quality").isNotNull())
-    marks = marks.groupBy("doc_id").agg(F.min((F.col("quality") == positive_label).cast("int")).alias("good"))
-    good, total = marks.agg(F.coalesce(F.sum("good"), F.lit(0)), F.count("*")).first()
-    prior = good / total if total else 0.5
-    if not 0 < prior < 1:
-        return prior
+    good = marks.groupBy("doc_id").agg(F.min((F.col("quality") == positive_label).cast("int")).alias("good"))
     # at most SAMPLE ids, so this side may travel to every task
-    ids = thinned(marks.filter("good = 1").select("doc_id"), ["doc_id"]).limit(SAMPLE)
-    positive = collected_features(rows.join(F.broadcast(ids), "doc_id", "left_semi"))
-    unlabelled = collected_features(thinned(rows, ["doc_id", "text"]))
-    if not len(positive) or not len(unlabelled):
-        return prior
-    return fitted(positive, unlabelled, prior)
+    ids = thinned(good.filter("good = 1").select("doc_id"), ["doc_id"]).limit(SAMPLE)
+    trusted = text_features(rows.join(F.broadcast(ids), "doc_id", "left_semi")).limit(SAMPLE).collect()
+    if not trusted:
+        return 0.5
+    texts = staged(text_features(rows), "quality-features")
+    moments = sums(texts, lambda x: np.concatenate([[len(x)], x.sum(axis=0), (x**2).sum(axis=0)]))
+    count, side = int(moments[0]), len(moments) // 2
+    mean = moments[1 : side + 1] / count
+    scale = np.sqrt(np.maximum(moments[side + 1 :] / count - mean**2, 0)) + 1e-3
+    positive = standard(matrix([r.x for r in trusted]), mean, scale)
+
+    def unlabelled(weights):
+        return split(sums(texts, lambda x: loss_sums(standard(x, mean, scale), weights, 1)), count)
+
+    first = apart(unlabelled, positive, np.zeros(side + 1))
+    prior = estimated_prior(
+        positive @ first,
+        lambda bars: sums(texts, lambda x: ((standard(x, mean, scale) @ first) >= bars[:, None]).sum(axis=1) * 1.0),
+        count)
+    start = np.append(np.zeros(side), np.log(prior / (1 - prior)))
+    return mean, scale, non_negative(unlabelled, positive, prior, start)
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -163,8 +277,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, carry: Sequence[str]
                     out[low:high] = model
                 else:
                     mean, scale, weights = model
-                    x = np.clip((features(data, offsets).astype(np.float32) - mean) / scale, -8, 8)
-                    out[low:high] = sigmoid(x @ weights[:-1] + weights[-1])
+                    out[low:high] = sigmoid(standard(features(data, offsets).astype(np.float32), mean, scale) @ weights)
             columns = [batch.column("doc_id"), *[batch.column(c) for c in extra], pa.array(out)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *extra, "score"])
 

@@ -389,6 +389,20 @@ def test_topk(spark, monkeypatch):
         dots = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in fine if i != query)[:5]
         assert got[query] == [(n, i, -s) for n, (s, i) in enumerate(dots, 1)]
     assert topk_search.searched(numbers.limit(0), numbers, 5).collect() == []
+    assert topk_search.searched(numbers, numbers.limit(0), 5).collect() == []
+
+
+def test_topk_deals_rows_once_and_pairs_blocks_without_a_join(spark, monkeypatch, capsys):
+    monkeypatch.setattr(topk_search, "ROWS", 40)
+    vectors = spark.range(500).select(F.col("id"), F.array(F.col("id") % 7, F.col("id") % 11).alias("vector"))
+    numbered, blocks = topk_search.dealt(vectors.repartition(7), 40, "block")
+    assert blocks == 13 and numbered.count() == 500
+    # other partitions, same blocks
+    again = numbered.repartition(3).join(numbered.withColumnRenamed("block", "other"), "id")
+    assert again.filter("block != other").count() == 0
+    topk_search.searched(vectors, vectors.filter("id % 50 = 0"), 3).explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 # -- 7
@@ -522,11 +536,81 @@ def test_quality_learns_from_positives_and_unlabelled(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out if r.doc_id is not None)
 
 
+def quality_rows(seed, count=150, good=0.5):
+    """(rows, ids of good ones): clean sentences and shouted junk."""
+    rng = random.Random(seed)
+    clean = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(60)) + "."
+    junk = lambda: " ".join("".join(rng.choice("ABCDEFGH") for _ in range(5)) + "!!" for _ in range(60))
+    wanted = {k for k in range(count) if rng.random() < good}
+    return [(k, clean() if k in wanted else junk()) for k in range(count)], wanted
+
+
+@pytest.mark.parametrize("share", [0.3, 0.8])
+def test_quality_from_positives_alone_orders_and_estimates_the_prior(spark, monkeypatch, share):
+    rows, good = quality_rows(4, 400, share)
+    # half of the good ones are trusted; nothing else has a label
+    marks = spark.createDataFrame([(k, 1) for k in sorted(good) if k % 2], "doc_id long, quality int")
+    seen = []
+    fit = quality.non_negative
+    monkeypatch.setattr(quality, "non_negative", lambda u, p, prior, w: seen.append(prior) or fit(u, p, prior, w))
+    out = quality.quality_scores(frame(spark, rows), marks).collect()
+    assert abs(seen[0] - len(good) / len(rows)) < 0.1
+    low = min(r.score for r in out if r.doc_id in good and r.held_out)
+    assert low > max(r.score for r in out if r.doc_id not in good and r.held_out)
+
+
+def test_quality_learns_from_every_unlabelled_text(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 20)
+    rows, good = quality_rows(5, 300)
+    marks = spark.createDataFrame([(k, 1) for k in sorted(good)], "doc_id long, quality int")
+    counts = []
+    keep = quality.estimated_prior
+    monkeypatch.setattr(quality, "estimated_prior", lambda p, above, n: counts.append((len(p), n)) or keep(p, above, n))
+    quality.quality_scores(frame(spark, rows), marks)
+    positives, unlabelled = counts[0]
+    assert 0 < positives <= 20
+    assert unlabelled == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k, _ in rows)
+
+
+def test_quality_risk_slope_and_curvature_by_a_plain_loop(spark):
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.normal(size=(40, 3)), np.ones(40)]).astype(np.float32).astype(float)
+    w = rng.normal(size=4)
+    stored = spark.createDataFrame([(r.astype(np.float32).tobytes(),) for r in x], "x binary").repartition(5)
+    for sign in (1, -1):
+        found = quality.sums(stored, lambda m, sign=sign: quality.loss_sums(m, w, sign))
+        loss, slope, curve = quality.split(found, 40)
+        plain_loss, plain_slope, plain_curve = 0.0, [0.0] * 4, np.zeros((4, 4))
+        for row in x:
+            z = sum(a * b for a, b in zip(row, w))
+            at = 1 / (1 + math.exp(-z))
+            plain_loss += math.log1p(math.exp(sign * z)) / 40
+            for k in range(4):
+                plain_slope[k] += (at if sign > 0 else at - 1) * row[k] / 40
+                for j in range(4):
+                    plain_curve[k, j] += at * (1 - at) * row[k] * row[j] / 40
+        assert math.isclose(loss, plain_loss) and np.allclose(slope, plain_slope) and np.allclose(curve, plain_curve)
+
+
+def test_quality_fit_keeps_the_second_term_from_falling_below_zero():
+    rng = np.random.default_rng(7)
+    ones = lambda m: np.column_stack([m, np.ones(len(m))])
+    positive = ones(rng.normal(1, 1, size=(30, 20)))
+    unlabelled = ones(np.vstack([rng.normal(1, 1, size=(60, 20)), rng.normal(-1, 1, size=(60, 20))]))
+    measure = lambda w: quality.split(quality.loss_sums(unlabelled, w, 1), len(unlabelled))
+    # a prior far too high asks for more than there is
+    w = quality.non_negative(measure, positive, 0.9, np.append(np.zeros(20), 2.0))
+    rest = np.logaddexp(0, unlabelled @ w).mean() - 0.9 * np.logaddexp(0, positive @ w).mean()
+    assert rest >= -1e-6 and np.isfinite(w).all()
+
+
 def test_quality_without_labels_or_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = frame(spark, [(1, "a b"), (2, None)])
     assert {r.score for r in quality.quality_scores(rows, empty).collect()} == {0.5}
     assert quality.quality_scores(rows.limit(0), empty).collect() == []
+    bad = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, quality int")
+    assert {r.score for r in quality.quality_scores(rows, bad).collect()} == {0.5}
 
 
 # -- 10
