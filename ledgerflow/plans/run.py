@@ -46,10 +46,12 @@ def answers_from_table(responses: DataFrame) -> Answerer:
 
 
 def answers_from_scorer(
-    factory: scoring.ScorerFactory, profile: ResourceProfile | None = None
+    factory: scoring.ScorerFactory,
+    profile: ResourceProfile | None = None,
+    limits: scoring.CallLimits = scoring.CallLimits(),
 ) -> Answerer:
     """A scorer inside the tasks as the model."""
-    return lambda rows, stage: scoring.score_batch(rows, stage, factory, profile)
+    return lambda rows, stage: scoring.score_batch(rows, stage, factory, profile, limits)
 
 
 def _ask(messages: DataFrame, stage: str, answer: Answerer) -> DataFrame:
