@@ -17,6 +17,7 @@ from ledgerflow.operators import commit as cm
 from ledgerflow.operators import decoding, intervals, metrics, parsing, prompts, reconcile, scoring, selection
 from ledgerflow.operators.joins import lookup_join
 from ledgerflow.operators.ledger import OUTCOME, BatchId, Ledger
+from ledgerflow.sources.layout import MailLayout
 from ledgerflow.sources.messages import message_keys, readable_messages
 from ledgerflow.sources.metrics import read_metrics, write_metrics
 
@@ -284,7 +285,7 @@ def _new_files(
 def run_folders(
     ledger: Ledger,
     batch_id: BatchId,
-    messages: DataFrame,
+    messages: DataFrame | MailLayout,
     state: DataFrame,
     context: DataFrame,
     answer: Answerer,
@@ -304,7 +305,7 @@ def run_folders(
 def _run_folders(
     ledger: Ledger,
     batch_id: BatchId,
-    messages: DataFrame,
+    messages: DataFrame | MailLayout,
     state: DataFrame,
     context: DataFrame,
     answer: Answerer,
@@ -313,7 +314,8 @@ def _run_folders(
     failures: DataFrame | None,
     created: bool = False,
 ) -> None:
-    keys = message_keys(messages)
+    laid_out = isinstance(messages, MailLayout)
+    keys = messages.keys() if laid_out else message_keys(messages)
     by_name = "source_folder_id" not in keys.columns
     names = context.select("source_folder_id", *reconcile.NATURAL_KEY)
     if by_name:
@@ -339,7 +341,7 @@ def _run_folders(
     def fetch(rows: DataFrame) -> DataFrame:
         if by_name and not set(reconcile.NATURAL_KEY) <= set(rows.columns):
             rows = lookup_join(rows, names, ["source_folder_id"])
-        return selection.fetch_selected(messages, rows)
+        return messages.fetch(rows) if laid_out else selection.fetch_selected(messages, rows)
 
     seen = keys.filter("readable")  # a span of unreadable messages is as good as empty
     extra = (
@@ -352,7 +354,7 @@ def _run_folders(
 def run_isolated(
     ledger: Ledger,
     run_id: BatchId,
-    messages: DataFrame,
+    messages: DataFrame | MailLayout,
     state: DataFrame,
     context: DataFrame,
     answer: Answerer,
@@ -441,7 +443,7 @@ def run(
     sources: DataFrame,
     refreshes: DataFrame,
     listing: DataFrame,
-    messages: DataFrame,
+    messages: DataFrame | MailLayout,
     answer: Answerer,
     now: Column,
     sizes: RunSizes = RunSizes(),

@@ -24,6 +24,7 @@ from ledgerflow.plans.fixtures import Inputs, now
 from ledgerflow.plans.ingest_queries import MERGED, MIXED
 from ledgerflow.plans.ledger_queries import empty_ledger
 from ledgerflow.session import new_run_dir
+from ledgerflow.sources.layout import MailLayout
 from ledgerflow.streaming.incremental import ingest_arrivals, start_incremental
 
 EVENTS = StructType([
@@ -305,6 +306,50 @@ def capped_runs(i):
     return processed_times(ledger)
 
 
+# -- mail laid out by arrival, band and bucket ---------------------------------------
+
+
+def laid_out(i: Inputs, name: str) -> MailLayout:
+    """The event table as two arrivals: the lower uids, then the higher ones."""
+    layout = MailLayout.at(i.spark, new_run_dir(i.spark, name), bands=4)
+    events = i.table("events")
+    middle = events.agg(F.floor(F.avg("event_id")).alias("middle")).first().middle or 0
+    for arrival in range(2):
+        part = events.filter((F.col("event_id") > middle).cast("int") == arrival)
+        layout.append(i.raw_events(part), arrival)
+    return layout
+
+
+@query("pruned_fetch", with_ctes(MIXED, """
+SELECT m.source_folder_id, m.uid, m.event_type AS subject FROM messages m JOIN state s USING (source_folder_id)
+WHERE s.low_water_mark > 1
+  AND m.uid BETWEEN greatest(1, s.low_water_mark - 1000) AND s.low_water_mark - 1"""))
+def pruned_fetch(i):
+    """The backfill mail, fetched from the places that hold any."""
+    layout = laid_out(i, "pruned")
+    keys = new_run_dir(i.spark, "pruned-keys")
+    sel.backfill_only(layout.keys(), i.state(), 1000).select("source_folder_id", "uid").write.parquet(keys)
+    raw = F.decode("rfc822_data", "UTF-8")
+    return layout.fetch(i.spark.read.parquet(keys)).select(
+        "source_folder_id", "uid", F.regexp_extract(raw, r"Subject: (\w+)\r\n", 1).alias("subject"))
+
+
+@query("laid_out_run", with_ctes([c.MESSAGES], """
+SELECT source_folder_id, uid, CASE WHEN event_type = 'purchase' THEN 'invoice'
+  WHEN event_type IN ('view', 'click') THEN 'non_invoice' ELSE 'failed' END AS status
+FROM (SELECT *, row_number() OVER (PARTITION BY source_folder_id ORDER BY uid DESC) AS r FROM messages)
+WHERE r <= 30"""))
+def laid_out_run(i):
+    """A run whose mail lies in such a layout: selection, parsing, both model steps, commit."""
+    ledger = empty_ledger(i, "laid-out", i.event_folders())
+    rn.run_folders(
+        ledger, 0, laid_out(i, "laid-out-mail"), ledger.state(), i.event_context(),
+        rn.answers_from_table(i.event_responses()), now().cast("timestamp"),
+        rn.RunSizes(batch_size=30, chunk_size=7),
+    )
+    return ledger.read("outcome").select("source_folder_id", "uid", "status")
+
+
 # -- whole run ---------------------------------------------------------------------
 
 
