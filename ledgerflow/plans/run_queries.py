@@ -336,7 +336,8 @@ def pruned_fetch(i):
 
 @query("laid_out_run", with_ctes([c.MESSAGES], """
 SELECT source_folder_id, uid, CASE WHEN event_type = 'purchase' THEN 'invoice'
-  WHEN event_type IN ('view', 'click') THEN 'non_invoice' ELSE 'failed' END AS status
+  WHEN event_type IN ('view', 'click') THEN 'non_invoice'
+  WHEN event_type = 'signup' THEN 'no_extraction' ELSE 'failed' END AS status
 FROM (SELECT *, row_number() OVER (PARTITION BY source_folder_id ORDER BY uid DESC) AS r FROM messages)
 WHERE r <= 30"""))
 def laid_out_run(i):
