@@ -24,7 +24,9 @@ from ledgerflow.plans.fixtures import Inputs, now
 from ledgerflow.plans.ingest_queries import MERGED, MIXED
 from ledgerflow.plans.ledger_queries import empty_ledger
 from ledgerflow.session import new_run_dir
+from ledgerflow.sources.connector import CapturedSource, capture
 from ledgerflow.sources.layout import MailLayout
+from ledgerflow.sources.messages import read_connector, stream_connector
 from ledgerflow.streaming.incremental import ingest_arrivals, start_incremental
 
 EVENTS = StructType([
@@ -306,6 +308,41 @@ def capped_runs(i):
     return processed_times(ledger)
 
 
+# -- mail through a connector --------------------------------------------------------
+
+
+@query("scan_messages", with_ctes([c.MESSAGES], """
+SELECT source_folder_id, uid, event_type AS subject, TRUE AS whole FROM messages"""))
+def scan_messages(i):
+    """All mail as the Python data source fetches it."""
+    i.spark.dataSource.register(CapturedSource)
+    path = new_run_dir(i.spark, "captured")
+    capture(i.raw_events(i.dealt("events")), path)
+    raw = F.decode("rfc822_data", "UTF-8")
+    return read_connector(i.spark, "captured_mail", path=path, uids_per_partition="20000").select(
+        "source_folder_id", "uid", F.regexp_extract(raw, r"Subject: (\w+)\r\n", 1).alias("subject"),
+        (F.octet_length("rfc822_data") == F.col("size_bytes")).alias("whole"))
+
+
+@query("stream_connector", PROCESSED)
+def connector_stream(i):
+    """Mail streamed from the data source into the ledger, in two arrivals: every message once."""
+    i.spark.dataSource.register(CapturedSource)
+    path, checkpoint = (new_run_dir(i.spark, f"connector-{what}") for what in ("mail", "checkpoint"))
+    ledger = empty_ledger(i, "connector", i.event_folders())
+    events = i.table("events")
+    middle = events.agg(F.floor(F.avg("event_id")).alias("middle")).first().middle or 0
+    # within a mailbox uids only grow
+    for later in (False, True):
+        capture(i.raw_events(events.filter((F.col("event_id") > middle) == later)), path)
+        start_incremental(
+            stream_connector(i.spark, "captured_mail", path=path), ledger, i.event_context(),
+            rn.answers_from_table(i.event_responses()), checkpoint,
+            now=lambda: now().cast("timestamp"),
+        ).awaitTermination()
+    return processed_times(ledger)
+
+
 # -- mail laid out by arrival, band and bucket ---------------------------------------
 
 

@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # conditions on folder and uid reach a Python data source
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 # Settings a session has to be built with.  Plans here are long, and looking up a call site

@@ -82,6 +82,11 @@ def read_connector(spark: SparkSession, name: str, **options: str) -> DataFrame:
     )
 
 
+def stream_connector(spark: SparkSession, name: str, **options: str) -> DataFrame:
+    """The same as a stream, of data sources that have a stream reader."""
+    return spark.readStream.format(name).options(**options).load()
+
+
 def message_keys(messages: DataFrame) -> DataFrame:
     """``(source_folder_id, uid, readable)`` without the raw bytes.
 
