@@ -27,6 +27,7 @@ from ledgerflow.session import new_run_dir
 from ledgerflow.sources.connector import CapturedSource, capture
 from ledgerflow.sources.layout import MailLayout
 from ledgerflow.sources.messages import read_connector, stream_connector
+from ledgerflow.streaming import keyed_state
 from ledgerflow.streaming.incremental import ingest_arrivals, start_incremental
 
 EVENTS = StructType([
@@ -308,6 +309,23 @@ def capped_runs(i):
     return processed_times(ledger)
 
 
+@query("keyed_marks", with_ctes([c.MESSAGES], """
+SELECT source_folder_id, max(uid) AS high_water_mark, min(uid) AS low_water_mark, count(*) AS messages
+FROM messages GROUP BY 1"""))
+def keyed_marks(i):
+    """The marks once more, from the state of a stream; every arrival restarts from its checkpoint."""
+    path, checkpoint, out = (new_run_dir(i.spark, f"keyed-{what}") for what in ("events", "checkpoint", "runs"))
+    for number in range(2):
+        # the second arrival also brings the first one again
+        for part in range(number + 1):
+            i.table("events").filter(F.col("event_id") % 2 == part).write.mode("append").parquet(path)
+        arrivals = i.raw_events(i.spark.readStream.schema(EVENTS).parquet(path))
+        keyed_state.keep_runs(arrivals, out, checkpoint).awaitTermination()
+    messages = keyed_state.runs(i.spark, out).groupBy("source_folder_id").agg(
+        F.sum(F.col("high") - F.col("low") + 1).alias("messages"))
+    return keyed_state.marks(i.spark, out).join(messages, "source_folder_id")
+
+
 # -- mail through a connector --------------------------------------------------------
 
 

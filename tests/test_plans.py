@@ -20,7 +20,7 @@ EAGER = {
     "stored_attachments", "idempotent_replay", "run_summary", "clear_invoices", "clear_folders",
     "delete_by_prefix", "delete_sources", "stream_after_batch", "stream_two_checkpoints",
     "run_missing_context", "isolated_failures", "capped_runs", "run_documents",
-    "pruned_fetch", "laid_out_run", "scan_messages", "stream_connector",
+    "pruned_fetch", "laid_out_run", "scan_messages", "stream_connector", "keyed_marks",
 }
 
 
