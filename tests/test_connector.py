@@ -104,3 +104,49 @@ def test_a_stream_of_too_many_folders_is_an_error(tmp_path, monkeypatch):
     monkeypatch.setattr(cn, "STREAM_FOLDERS", 1)
     with pytest.raises(ValueError, match="2 folders"):
         NotedSource({"path": str(tmp_path)}).streamReader(None).latestOffset()
+
+
+def test_tasks_hold_messages_however_far_apart_their_uids_lie():
+    # 30 folders of 4 messages each over a million uids
+    spans = [(folder, folder, 1_000_000 + folder, 4) for folder in range(30)]
+    assert [len(task.spans) for task in cn.cut(spans, 40)] == [10, 10, 10]
+    # one that does not fit is cut by its width
+    assert [t.spans for t in cn.cut([(1, 1, 1000, 10)], 5)] == [[(1, 1, 500)], [(1, 501, 1000)]]
+    assert cn.disjoint([(1, 5, 9, 2), (1, 1, 5, 3), (2, 1, 1, 1)]) == [(1, 1, 9, 5), (2, 1, 1, 1)]
+
+
+def test_sparse_captures_are_few_tasks_and_each_opens_its_files_once(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(cn, "CAPTURED_ROWS", 5)
+    spark.dataSource.register(cn.CapturedSource)
+    path = f"{tmp_path}/mail"
+    pairs = [(n % 40, 1 + n * 5000) for n in range(200)]
+    # two arrivals whose spans overlap, and a row that comes with both
+    cn.capture(mail(spark, pairs[::2] + pairs[1:2]), path)
+    cn.capture(mail(spark, pairs[1::2]), path)
+    found = read_connector(spark, "captured_mail", path=path, uids_per_partition="50")
+    assert found.rdd.getNumPartitions() <= 6
+    assert rows(found, "source_folder_id", "uid") == sorted([*pairs, pairs[1]], key=repr)
+    some = found.filter("source_folder_id in (3, 39) and uid > 100000")
+    assert rows(some, "source_folder_id", "uid") == sorted(
+        [(f, u) for f, u in [*pairs, pairs[1]] if f in (3, 39) and u > 100000], key=repr)
+
+    client, opened = cn.CapturedMail(path), []
+    held = client._open
+    monkeypatch.setattr(client, "_open", lambda: opened.append(1) or held())
+    spans = cn.disjoint(client.list_spans())
+    opened.clear()
+    assert len(list(client.fetch_spans([s[:3] for s in spans]))) == 201
+    # the index and the mail, not once a folder
+    assert len(opened) == 2
+
+
+def test_a_stream_takes_sparse_folders_by_their_messages(spark, tmp_path):
+    spark.dataSource.register(cn.CapturedSource)
+    path = f"{tmp_path}/mail"
+    cn.capture(mail(spark, [(f, 1 + f + 90_000 * n) for f in range(20) for n in range(3)]), path)
+    stream = cn.CapturedSource({"path": path, "uids_per_partition": "30"}).streamReader(None)
+    end = stream.latestOffset()
+    assert len(stream.partitions({}, end)) == 2
+    start = {folder: last - 1 for folder, last in end.items()}
+    left = [span for task in stream.partitions(start, end) for span in task.spans]
+    assert left == [(f, 180_001 + f, 180_001 + f) for f in range(20)]
