@@ -42,3 +42,18 @@ def test_a_restart_goes_on_with_the_state(spark, drained, rows):
     fresh = spark.read.schema(ks.OUTPUT).parquet(path).agg({"fresh": "sum"}).first()[0]
     assert fresh == 6
     assert spark.conf.get(ks.PROVIDER) == old
+
+
+def test_far_apart_uids_share_keys_of_the_state_and_come_out_by_span(spark, drained, rows, tmp_path):
+    pairs = [(folder, 100 + 4096 * span) for folder in (1, 2) for span in range(2 * ks.BLOCK)]
+    drained(*pairs, (3, 4095), (3, 4096), (3, -1))
+    path = drained(pairs[0], (1, 101), (3, 4097))
+    held = spark.read.format("statestore").load(str(tmp_path / "checkpoint"), stateVarName="runs").count()
+    # two folders of two blocks each; folder 3 lies in one block above 0 and in one below
+    assert held == 6
+    mine = [(f, u // 4096, u, u + ((f, u) == pairs[0])) for f, u in pairs]
+    assert rows(ks.runs(spark, path)) == sorted(
+        [*mine, (3, -1, -1, -1), (3, 0, 4095, 4095), (3, 1, 4096, 4097)], key=repr)
+    written = spark.read.schema(ks.OUTPUT + ", epoch bigint").parquet(path)
+    # an epoch writes the spans it has rows for
+    assert rows(written.filter("epoch = 1").select("source_folder_id", "span", "fresh")) == [(1, 0, 1), (3, 1, 1)]
