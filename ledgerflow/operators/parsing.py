@@ -14,7 +14,7 @@ from pyspark.sql.types import StructField, StructType
 from ledgerflow import schemas
 
 # Rows go back to Spark whenever this many bytes of messages have been parsed.
-FLUSH_BYTES = 32 * 1024 * 1024
+FLUSH_BYTES = 4 * 1024 * 1024
 
 
 def _header(headers: dict[str, str], name: str, default: str | None) -> str | None:

@@ -151,3 +151,8 @@ def test_connectors(spark, tmp_path):
     assert mail.columns == ["source_folder_id", "uid", "rfc822_data"]
     assert sorted((r.uid, r.readable) for r in message_keys(mail).collect()) == [(2, True), (3, False)]
     assert parsing.parse_messages(mail).first().subject == "x"
+
+
+def test_little_is_held_parsed_at_once():
+    # parsed texts take several times their bytes, in every Python worker of an executor
+    assert parsing.FLUSH_BYTES <= 4 << 20
