@@ -77,8 +77,12 @@ def arrival_of(event_id):
 
 
 def arrive(i: Inputs, path: str, number: int) -> None:
-    """Write one arrival of events to the folder a stream reads, in as many files as Spark likes."""
-    part = i.table("events").filter(arrival_of(F.col("event_id")) == number)
+    """Write one arrival of events to the folder a stream reads.
+
+    A stream reads a small file in one task and parses its mail there, so a table of fewer
+    splits than cores is dealt out first.
+    """
+    part = i.dealt("events").filter(arrival_of(F.col("event_id")) == number)
     part.write.mode("append").parquet(path)
 
 

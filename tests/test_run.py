@@ -12,6 +12,8 @@ from ledgerflow.operators import metrics as mt
 from ledgerflow.operators import scoring as sc
 from ledgerflow.operators.ledger import Ledger
 from ledgerflow.plans import run as rn
+from ledgerflow.plans import run_queries
+from ledgerflow.plans.fixtures import Inputs
 from ledgerflow.sources.messages import stream_messages
 from ledgerflow.streaming.incremental import ingest_arrivals, start_incremental
 
@@ -331,3 +333,12 @@ def test_cut_bodies_make_the_same_prompts(spark):
         whole = [r.prompt for r in prompts.with_prompt(rows, stage).collect()]
         assert whole == [r.prompt for r in prompts.with_prompt(prompts.cut_bodies(rows), stage).collect()]
     assert max(len(r.body_text) for r in prompts.cut_bodies(rows).collect()) == 4000
+
+
+def test_arrivals_are_files_for_every_core(spark, sf_dir, tmp_path):
+    # the whole table is one split; a stream parses a small file in one task
+    run_queries.arrive(Inputs(spark, sf_dir), str(tmp_path), 0)
+    read = spark.read.schema(run_queries.EVENTS).parquet(str(tmp_path))
+    assert len(read.inputFiles()) >= spark.sparkContext.defaultParallelism
+    wanted = Inputs(spark, sf_dir).table("events").filter(run_queries.arrival_of(F.col("event_id")) == 0)
+    assert read.exceptAll(wanted).isEmpty() and wanted.exceptAll(read).isEmpty()
