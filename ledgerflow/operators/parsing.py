@@ -130,6 +130,18 @@ def _files_only(raw: bytes) -> dict:
         return {"attachments": []}
 
 
+def dealt(messages: DataFrame) -> DataFrame:
+    """Messages in a few tasks of like size for every core.
+
+    Spark cuts a join's output by its bytes, and mail costs far more to parse than to move: it
+    comes in about one task a core, or in a single one, and most cores wait for the last.  Only
+    the messages that are parsed are moved for it.
+    """
+    spark = messages.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return messages.repartition(max(3 * spark.sparkContext.defaultParallelism, parts))
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Replace ``rfc822_data`` by the parsed fields; all other columns are carried along.
 

@@ -173,7 +173,7 @@ def process_messages(
     folder.  The caller has begun the batch.
     """
     clock = StageClock()
-    readable = readable_messages(fetch(chosen)).select(*KEY, "chunk_num", "rfc822_data")
+    readable = parsing.dealt(readable_messages(fetch(chosen)).select(*KEY, "chunk_num", "rfc822_data"))
     parsed = ledger.hand_over("parsed", _lean(parsing.parse_texts(readable)), batch_id)
 
     # the short question goes to every message, the long one to likely invoices only
@@ -274,7 +274,7 @@ def _new_files(
     missing = keys.join(stored, "file_key", "left_anti").groupBy(*KEY).agg(
         F.collect_list("file_key").alias("wanted"))
     whose = located.select(*KEY, *reconcile.NATURAL_KEY, "user_id").join(missing, KEY)
-    raw = readable_messages(fetch(whose))
+    raw = parsing.dealt(readable_messages(fetch(whose)))
     files = parsing.parse_files(raw.select(*KEY, *reconcile.NATURAL_KEY, "user_id", "wanted", "rfc822_data"))
     files = files.withColumn("attachments", att.first_files(F.col("attachments"))).withColumn(
         "attachments", F.filter("attachments", lambda f: F.array_contains("wanted", att.message_key(f["filename"]))))

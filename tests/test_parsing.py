@@ -156,3 +156,15 @@ def test_connectors(spark, tmp_path):
 def test_little_is_held_parsed_at_once():
     # parsed texts take several times their bytes, in every Python worker of an executor
     assert parsing.FLUSH_BYTES <= 4 << 20
+
+
+def test_few_bytes_of_mail_are_many_tasks(spark):
+    # a small table: one split, and one task behind a shuffle that Spark cuts by bytes
+    mail = spark.range(0, 500, 1, 1).select(
+        F.lit(1).cast("long").alias("source_folder_id"), F.col("id").alias("uid"),
+        F.lit("Subject: x\r\n\r\ny").cast("binary").alias("rfc822_data"))
+    joined = mail.join(spark.range(0, 500).withColumnRenamed("id", "uid"), "uid")
+    placed = parsing.parse_texts(parsing.dealt(joined)).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in placed.groupBy("task").count().collect()]
+    assert len(sizes) >= 3 * spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 500 and max(sizes) < 100
