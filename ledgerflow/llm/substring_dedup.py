@@ -129,7 +129,7 @@ def earlier_windows(documents: DataFrame, window: int = WINDOW, first_length: in
         rows = staged(level(rows_of, window, length, before), "substring-level")
         if before is None:
             rows = rows.join(copies, KEY, "left_anti")
-        alive = rows.join(repeated(rows).select("gram"), "gram")
+        alive = rows.join(repeated(rows), "gram", "left_semi")
         alive = staged(
             alive.groupBy(*KEY).agg(F.sort_array(F.collect_list("place")).alias("at")), "substring-alive")
         rows_of = source.join(alive, KEY)

@@ -444,6 +444,20 @@ def test_substring_dedup_without_ids(spark):
     assert sorted((str(r.doc_id), r.n_removed) for r in found) == [("1", 0), ("2", 4), ("None", 0), ("None", 0)]
 
 
+def test_a_value_that_many_documents_share_keeps_each_of_their_rows_once(spark):
+    passage = " ".join(f"p{k}" for k in range(80))
+    survivors = []
+    for n in (20, 80):
+        docs = frame(spark, [(d, " ".join(f"w{d}x{k}" for k in range(40)) + " " + passage) for d in range(n)])
+        rows = substring_dedup.level(substring_dedup.keyed(docs), 50, 25, None).localCheckpoint()
+        found = substring_dedup.repeated(rows)
+        # one row a value, so a join with it gives no row twice
+        assert found.count() == found.select("gram").distinct().count()
+        survivors.append(rows.join(found, "gram").count())
+        assert survivors[-1] == rows.join(found, "gram", "left_semi").count() <= rows.count()
+    assert 0 < survivors[1] == 4 * survivors[0]
+
+
 # -- 8
 
 
