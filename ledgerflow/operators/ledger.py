@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,7 @@ from pyspark.sql.types import (
 from ledgerflow import schemas
 from ledgerflow.operators import intervals
 from ledgerflow.operators.commit import update_watermarks
+from ledgerflow.operators.staging import together
 
 OUTCOME = StructType([
     StructField("source_folder_id", LongType()),
@@ -95,6 +96,11 @@ def _nullable(schema: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, made without Python tasks."""
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 class Ledger:
     """Tables under one root folder on storage that all executors share."""
 
@@ -115,11 +121,11 @@ class Ledger:
         The number of buckets stays: take enough that a bucket's keys fit a few tasks.
         """
         ledger = cls(spark, root, buckets)
-        for name, schema in TABLES.items():
-            if name == "source_folder" and folders is not None:
-                ledger.stage(name, folders, GENESIS)
-            else:
-                ledger.stage(name, spark.createDataFrame([], _nullable(schema)), GENESIS)
+        ledger.begin(GENESIS)
+        first = {name: _empty(spark, schema) for name, schema in TABLES.items()}
+        if folders is not None:
+            first["source_folder"] = folders
+        together(spark, *[partial(ledger.stage, name, rows, GENESIS) for name, rows in first.items()])
         ledger.commit(GENESIS)
         return ledger
 
@@ -191,8 +197,10 @@ class Ledger:
 
     def release(self, batch_id: BatchId) -> None:
         """Empty the intermediate results of a committed batch; nothing reads them any more."""
-        for path, schema in self._handed_over.pop(str(batch_id), {}).items():
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        together(self.spark, *[
+            partial(_empty(self.spark, schema).write.mode("overwrite").parquet, path)
+            for path, schema in self._handed_over.pop(str(batch_id), {}).items()
+        ])
 
     def commit(self, batch_id: BatchId, replaces: Sequence[str] = ()) -> None:
         """Make a batch visible: the marker is its last write.
@@ -280,7 +288,7 @@ class Ledger:
             if p.table == table and (buckets is None or p.bucket in buckets)
         ]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return _empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def marks(self) -> DataFrame:

@@ -15,6 +15,8 @@ from ledgerflow import schemas
 
 # Rows go back to Spark whenever this many bytes of messages have been parsed.
 FLUSH_BYTES = 4 * 1024 * 1024
+# Fewer messages than this a task cost less than starting the task.
+MESSAGES_PER_TASK = 2_000
 
 
 def _header(headers: dict[str, str], name: str, default: str | None) -> str | None:
@@ -130,15 +132,18 @@ def _files_only(raw: bytes) -> dict:
         return {"attachments": []}
 
 
-def dealt(messages: DataFrame) -> DataFrame:
+def dealt(messages: DataFrame, expected: int | None = None) -> DataFrame:
     """Messages in a few tasks of like size for every core.
 
     Spark cuts a join's output by its bytes, and mail costs far more to parse than to move: it
     comes in about one task a core, or in a single one, and most cores wait for the last.  Only
-    the messages that are parsed are moved for it.
+    the messages that are parsed are moved for it.  Where the caller says how many are
+    ``expected``, there are no more than three tasks a core for a few of them.
     """
     spark = messages.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if expected is not None:
+        parts = min(parts, -(-expected // MESSAGES_PER_TASK))
     return messages.repartition(max(3 * spark.sparkContext.defaultParallelism, parts))
 
 

@@ -17,6 +17,7 @@ from ledgerflow.operators import commit as cm
 from ledgerflow.operators import decoding, intervals, metrics, parsing, prompts, reconcile, scoring, selection
 from ledgerflow.operators.joins import lookup_join
 from ledgerflow.operators.ledger import OUTCOME, BatchId, Ledger
+from ledgerflow.operators.staging import together
 from ledgerflow.sources.layout import MailLayout
 from ledgerflow.sources.messages import message_keys, readable_messages
 from ledgerflow.sources.metrics import read_metrics, write_metrics
@@ -162,6 +163,7 @@ def process_messages(
     failures: DataFrame | None = None,
     extra_marks: DataFrame | None = None,
     lost: DataFrame | None = None,
+    expected: int | None = None,
 ) -> None:
     """Parse, classify, extract and commit chosen messages as one batch.
 
@@ -170,10 +172,10 @@ def process_messages(
     files of invoices, whose bytes are the only ones that are written.  ``state`` holds the
     marks and ``context`` the user, source and folder fields per ``source_folder_id``.
     ``failures`` names chunks to leave out, ``lost`` the outcomes of messages without a
-    folder.  The caller has begun the batch.
+    folder, ``expected`` how many messages there are about.  The caller has begun the batch.
     """
     clock = StageClock()
-    readable = parsing.dealt(readable_messages(fetch(chosen)).select(*KEY, "chunk_num", "rfc822_data"))
+    readable = parsing.dealt(readable_messages(fetch(chosen)).select(*KEY, "chunk_num", "rfc822_data"), expected)
     parsed = ledger.hand_over("parsed", _lean(parsing.parse_texts(readable)), batch_id)
 
     # the short question goes to every message, the long one to likely invoices only
@@ -210,15 +212,16 @@ def process_messages(
         .join(extracted.select(*KEY, F.col("invoice.invoice_number").alias("invoice_number")), KEY),
         batch_id,
     )
-    with clock.timed("upload"):
-        # files of a failed chunk are stored as well: they go up before the commit
-        ledger.stage("attachment", _new_files(ledger, batch_id, located, fetch), batch_id)
 
-    with clock.timed("commit"):
-        if failures is not None:
-            located = cm.successful_chunks(located, failures)
+    def upload() -> None:
+        with clock.timed("upload"):
+            # files of a failed chunk are stored as well: they go up before the commit
+            ledger.stage("attachment", _new_files(ledger, batch_id, located, fetch, expected), batch_id)
+
+    def add_invoices() -> None:
+        kept = located if failures is None else cm.successful_chunks(located, failures)
         invoices = (
-            located.drop("invoice_number").join(extracted.select(*KEY, "invoice.*"), KEY)
+            kept.drop("invoice_number").join(extracted.select(*KEY, "invoice.*"), KEY)
             .withColumns({
                 "attached_files": att.attached_files(F.col("filenames")),
                 "created_at": now,
@@ -229,13 +232,14 @@ def process_messages(
         # equal keys have equal numbers, so the numbers' buckets hold every conflict
         buckets = None
         if "invoice_number" in sizes.conflict_keys:
-            buckets = ledger.touched("invoice", located)
+            buckets = ledger.touched("invoice", kept)
         new = cm.insert_invoices(
             invoices, ledger.read("invoice", buckets=buckets),
             ["source_folder_id", "chunk_num", "uid"], sizes.conflict_keys, ledger.newest().top_id,
         )
         ledger.stage("invoice", new, batch_id)
 
+    def move_marks() -> None:
         marks = cm.merge_watermarks(state, cm.uid_bounds(committed))
         if extra_marks is not None:
             marks = marks.unionByName(extra_marks)
@@ -244,8 +248,19 @@ def process_messages(
             outcome.withColumn("span", intervals.span_of("uid")), "watermark", "processed")
         moved = ledger.moved_marks(
             marks.withColumn("processed_at", now), places["watermark"] if extra_marks is None else None)
-        ledger.stage("watermark", moved, batch_id)
-        ledger.stage("processed", ledger.more_processed(committed, places["processed"]), batch_id)
+        together(
+            ledger.spark,
+            lambda: ledger.stage("watermark", moved, batch_id),
+            lambda: ledger.stage(
+                "processed", ledger.more_processed(committed, places["processed"]), batch_id),
+        )
+
+    def commit() -> None:
+        with clock.timed("commit"):
+            together(ledger.spark, add_invoices, move_marks)
+
+    # none reads what another writes, and nobody sees any of it before the marker
+    together(ledger.spark, upload, commit)
     ledger.stage("chunk_metrics", clock.on_chunks(chunks), batch_id)
     ledger.commit(batch_id)
     ledger.release(batch_id)
@@ -258,7 +273,7 @@ def _lean(parsed: DataFrame) -> DataFrame:
 
 
 def _new_files(
-    ledger: Ledger, batch_id: BatchId, located: DataFrame, fetch: Fetch
+    ledger: Ledger, batch_id: BatchId, located: DataFrame, fetch: Fetch, expected: int | None = None
 ) -> DataFrame:
     """The files of invoices that the store does not hold, with their bytes.
 
@@ -274,7 +289,7 @@ def _new_files(
     missing = keys.join(stored, "file_key", "left_anti").groupBy(*KEY).agg(
         F.collect_list("file_key").alias("wanted"))
     whose = located.select(*KEY, *reconcile.NATURAL_KEY, "user_id").join(missing, KEY)
-    raw = parsing.dealt(readable_messages(fetch(whose)))
+    raw = parsing.dealt(readable_messages(fetch(whose)), expected)
     files = parsing.parse_files(raw.select(*KEY, *reconcile.NATURAL_KEY, "user_id", "wanted", "rfc822_data"))
     files = files.withColumn("attachments", att.first_files(F.col("attachments"))).withColumn(
         "attachments", F.filter("attachments", lambda f: F.array_contains("wanted", att.message_key(f["filename"]))))
@@ -332,6 +347,7 @@ def _run_folders(
         selection.select_batch(keys, state, sizes.batch_size, sizes.chunk_size, gaps),
         batch_id,
     )
+    expected = chosen.count()
     # messages of folders that nobody knows are reported as well
     unknown = keys.select(*KEY).join(
         folders.select(F.col("id").alias("source_folder_id")), "source_folder_id", "left_anti")
@@ -348,7 +364,8 @@ def _run_folders(
         cm.advance_empty_spans(state, seen, sizes.batch_size) if sizes.advance_empty else None
     )
     process_messages(
-        ledger, batch_id, chosen, fetch, state, context, answer, now, sizes, failures, extra, lost)
+        ledger, batch_id, chosen, fetch, state, context, answer, now, sizes, failures, extra, lost,
+        expected)
 
 
 def run_isolated(

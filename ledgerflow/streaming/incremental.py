@@ -51,10 +51,12 @@ def ingest_arrivals(
         selection.unread_arrivals(keys, before, ledger.intervals(keys), sizes.chunk_size),
         batch_id,
     )
+    expected = chosen.count()
     chosen, lost = located_and_lost(chosen, context, folders)
     process_messages(
         ledger, batch_id, chosen, lambda rows: selection.fetch_selected(arrivals, rows),
         ledger.state(), context, answer, now, sizes, lost=lost,
+        expected=expected,
     )
 
 

@@ -168,3 +168,19 @@ def test_few_bytes_of_mail_are_many_tasks(spark):
     sizes = [r["count"] for r in placed.groupBy("task").count().collect()]
     assert len(sizes) >= 3 * spark.sparkContext.defaultParallelism
     assert sum(sizes) == 500 and max(sizes) < 100
+
+
+def test_few_messages_are_dealt_over_few_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    messages = spark.range(10).select("id", F.lit(b"Subject: a\r\n\r\n").alias("rfc822_data"))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 3 * cores + 40)
+    try:
+        def tasks(expected):
+            return parsing.dealt(messages, expected).rdd.getNumPartitions()
+
+        assert tasks(10) == 3 * cores
+        assert tasks((3 * cores + 1) * parsing.MESSAGES_PER_TASK) == 3 * cores + 1
+        assert tasks(10**9) == tasks(None) == 3 * cores + 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
