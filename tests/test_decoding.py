@@ -198,3 +198,16 @@ def test_session_zone_does_not_move_dates(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert seconds == math.floor((datetime(2024, 2, 3) - datetime(1970, 1, 1)).total_seconds())
+
+
+def test_the_error_alone_needs_no_line_items(spark):
+    """Who counts errors has no item decoded; who asks for items has each number read in one step."""
+    frame = spark.createDataFrame([(1, '{"total_amount": "x"}'), (2, "{}")], "k int, response string")
+    decoded = dc.decode_invoice(frame)
+    errors = decoded.select("k", "extract_error")
+    assert "line_items" not in errors._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.k: r.extract_error for r in errors.collect()} == {1: dc.NO_EXTRACTION, 2: None}
+    items = decoded.select("invoice.line_items")._jdf.queryExecution().optimizedPlan().toString()
+    # the total, quantity, price and shadowed price: each read once, and a reading names its pattern twice
+    patterns = items.count("eE][+-]?")
+    assert 0 < patterns <= 2 * 4
