@@ -73,6 +73,23 @@ def order_of(keys: np.ndarray) -> np.ndarray:
     return order[np.argsort(high[order], kind="stable")] if high.any() else order
 
 
+def run_sums(values: np.ndarray, order: np.ndarray, heads: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of runs of the rows ``values[order]``; run ``k`` begins at ``heads[k]``.
+
+    Most runs are of one row, which is its own sum.
+    """
+    total = np.empty((len(heads), values.shape[1]), dtype=values.dtype)
+    single = times == 1
+    total[single] = values.take(order[heads[single]], axis=0)
+    several = np.flatnonzero(~single)
+    if len(several):
+        size = times[several]
+        until = np.cumsum(size)
+        at = np.arange(until[-1]) + np.repeat(heads[several] - (until - size), size)
+        total[several] = np.add.reduceat(values.take(order[at], axis=0), until - size, axis=0)
+    return total
+
+
 class Tokens:
     """All tokens of a slice of texts, each text's end token included.
 
@@ -130,12 +147,13 @@ class Model:
         return self.class_rows + (mixed & np.uint64(2 * self.class_rows - 1)).astype(np.int64)
 
     def softmax(self, rows: np.ndarray, start: np.ndarray) -> np.ndarray:
-        scores = start + self.weights[rows[:, 0]]
+        scores = self.weights.take(rows[:, 0], axis=0)
+        scores += start
         for k in range(1, rows.shape[1]):
-            scores += self.weights[rows[:, k]]
+            scores += self.weights.take(rows[:, k], axis=0)
         scores -= scores.max(axis=1, keepdims=True)
         np.exp(scores, out=scores)
-        scores /= scores.sum(axis=1, keepdims=True)
+        scores /= (scores @ np.ones(self.side, dtype=np.float32))[:, None]
         return scores
 
     def parts(self, features: np.ndarray, slots: np.ndarray):
@@ -167,13 +185,13 @@ class Model:
                 heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
                 touched = ranked[heads]
                 times = np.diff(np.append(heads, len(ranked)))
-                run = np.cumsum(slope[order // rows.shape[1]], axis=0)
-                total = np.diff(run[heads + times - 1], axis=0, prepend=0)
-                step = (total / times[:, None]).astype(np.float32)
-                squares[touched] += (step * step).mean(axis=1) * times
+                step = run_sums(slope, order // rows.shape[1], heads, times)
+                step /= times.astype(np.float32)[:, None]
+                squares[touched] += np.einsum("ij,ij->i", step, step) / self.side * times
                 # an AdaGrad step per row
                 rate = RATE * times / np.sqrt(times * (squares[touched] + 1e-6) * 20 + 1.0)
-                self.weights[touched] -= np.minimum(rate, 2.0)[:, None] * step
+                step *= np.minimum(rate, 2.0).astype(np.float32)[:, None]
+                self.weights[touched] = self.weights.take(touched, axis=0) - step
                 updates[touched] += times
 
 

@@ -707,3 +707,15 @@ def test_query_digests(spark, sf_dir):
             for d, n, h, i in brute_hits(list(texts.items()), items, 10)}
     found = QUERIES["op3_winnowing"](spark, sf_dir)
     assert by_id(found, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == want
+
+
+def test_sums_of_runs_are_those_of_the_rows():
+    rng = np.random.default_rng(3)
+    keys, values = np.sort(rng.integers(0, 40, 120)), rng.random((30, 5), dtype=np.float32)
+    order = rng.integers(0, 30, 120)
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    times = np.diff(np.append(heads, len(keys)))
+    right = [values[order[b : b + n]].astype(float).sum(axis=0) for b, n in zip(heads, times)]
+    assert np.allclose(maxent_lm.run_sums(values, order, heads, times), right, rtol=1e-5)
+    alone = maxent_lm.run_sums(values, order[:4], np.arange(4), np.ones(4, np.int64))
+    assert (alone == values[order[:4]]).all()
