@@ -222,12 +222,14 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
     rows = staged(sets.select("node", "shingles").mapInArrow(
         spread, "key long, node long, n_shingles long"), "near-shingles")
-    often = staged(rows.groupBy("key").agg(F.count("*").alias("sets")), "near-often")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("sets", "key"))
+    # shingles of one set alone come first in its order: they are counted, not ranked
+    often = staged(rows.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1"), "near-often")
+    own = Window.partitionBy("node")
     n = F.col("n_shingles")
+    rank = F.row_number().over(own.orderBy("sets", "key")) + n - F.count("*").over(own)
     kept = rows.join(often, "key").withColumn("rank", rank).filter(
         F.col("rank") <= n - F.ceil(n * percent / 100) + 1)
-    return kept.filter("sets > 1").select("key", "node", "n_shingles", "rank")
+    return kept.select("key", "node", "n_shingles", "rank")
 
 
 def enough_left(percent: int):

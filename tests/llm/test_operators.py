@@ -719,3 +719,21 @@ def test_sums_of_runs_are_those_of_the_rows():
     assert np.allclose(maxent_lm.run_sums(values, order, heads, times), right, rtol=1e-5)
     alone = maxent_lm.run_sums(values, order[:4], np.arange(4), np.ones(4, np.int64))
     assert (alone == values[order[:4]]).all()
+
+
+def test_shingles_of_one_set_alone_are_counted_and_not_ranked(spark, monkeypatch):
+    written = {}
+    staged = near_dedup.staged
+    monkeypatch.setattr(near_dedup, "staged", lambda f, name: written.setdefault(name, staged(f, name)))
+    rng = random.Random(4)
+    sets = {node: sorted(rng.sample(range(60), rng.randint(1, 30)) + [1000 + node]) for node in range(25)}
+    rows = [(node, np.array(s, dtype=np.uint64).tobytes()) for node, s in sets.items()]
+    got = near_dedup.prefixes(spark.createDataFrame(rows, "node long, shingles binary"), 80)
+    often = Counter(v for s in sets.values() for v in s)
+    right = set()
+    for node, s in sets.items():
+        ranked = sorted(s, key=lambda v: (often[v], v))
+        most = len(s) - math.ceil(len(s) * 80 / 100) + 1
+        right |= {(v, node, len(s), k) for k, v in enumerate(ranked, 1) if k <= most and often[v] > 1}
+    assert {tuple(r) for r in got.collect()} == right
+    assert written["near-often"].filter("sets < 2").isEmpty()
