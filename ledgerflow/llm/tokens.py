@@ -25,7 +25,7 @@ import numpy as np
 
 from ledgerflow.llm.common import worker_cache
 
-KEPT_PIECES = 400_000  # per generation; there are two
+KEPT_PIECES = 300_000  # per generation; there are two
 LONG_PIECE = 64  # longer pieces are not kept
 SLICE_CHARS = 2 << 20
 SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")

@@ -4,6 +4,10 @@ import os
 import subprocess
 import sys
 
+import pyarrow as pa
+
+from ledgerflow.session import configure
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 SCRIPT = """
@@ -21,3 +25,13 @@ def test_local_master_without_a_configured_folder(tmp_path):
     env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": ROOT}
     done = subprocess.run([sys.executable, "-c", SCRIPT], env=env, capture_output=True, text=True, timeout=200)
     assert "rows 3" in done.stdout, done.stderr[-2000:]
+
+
+def test_batches_for_python_are_bounded_by_their_bytes(spark):
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    texts = configure(spark).range(0, 4000, 1, 1).selectExpr("repeat('x', 8000) AS text")
+    sizes = [row.bytes for row in texts.mapInArrow(size, "bytes long").collect()]
+    assert sum(sizes) > 32_000_000 and max(sizes) < 10_000_000
