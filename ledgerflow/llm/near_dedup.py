@@ -269,7 +269,10 @@ def connected(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -
     risky = staged(large.join(staged(split, "near-split"), "band").select("node").distinct(), "near-risky")
     if risky.isEmpty():
         return label
-    return compared(prefixes(sets.join(risky, "node"), percent), label, nodes, sets, percent)
+    # a round shuffles what it compares with, so it is given these classes alone
+    nodes = staged(nodes.select("node", "n_shingles", "sketch").join(risky, "node"), "near-risky-nodes")
+    sets = staged(sets.join(risky, "node"), "near-risky-sets")
+    return compared(prefixes(sets, percent), label, nodes, sets, percent)
 
 
 def compared(rows: DataFrame, label: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

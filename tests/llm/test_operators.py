@@ -737,3 +737,30 @@ def test_shingles_of_one_set_alone_are_counted_and_not_ranked(spark, monkeypatch
         right |= {(v, node, len(s), k) for k, v in enumerate(ranked, 1) if k <= most and often[v] > 1}
     assert {tuple(r) for r in got.collect()} == right
     assert written["near-often"].filter("sets < 2").isEmpty()
+
+
+def test_rounds_of_comparing_are_given_the_classes_of_split_groups_alone(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 2)
+    monkeypatch.setattr(near_dedup, "LANES", 2)
+    given, compared = {}, near_dedup.compared
+
+    def seen(rows, label, nodes, sets, percent):
+        given.update(rows={r.node for r in rows.select("node").collect()},
+                     nodes=sorted(r.node for r in nodes.collect()), sets=sorted(r.node for r in sets.collect()))
+        return compared(rows, label, nodes, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "compared", seen)
+    rng = random.Random(4)
+    rows = []
+    for k in range(25):  # a family whose members are not all alike
+        own = [f"w{j}" for j in range(60)]
+        for _ in range(rng.randint(0, 4)):
+            own[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    for k in range(0, 40, 2):  # pairs of near copies, none of which is in a large group
+        own = [f"p{k}q{j}" for j in range(60)]
+        rows += [(100 + k, " ".join(own)), (101 + k, " ".join(own[:-1] + ["other"]))]
+    found = near_dedup.near_duplicates(frame(spark, rows), 4, 80).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == brute_groups(rows, 4, 80)
+    assert given["nodes"] == given["sets"]
+    assert given["rows"] <= set(given["nodes"]) and 0 < len(given["nodes"]) <= 25
