@@ -80,7 +80,8 @@ def places_of(batch: pa.RecordBatch, low: int, high: int, words: W.Words) -> np.
 def level(documents: DataFrame, window: int, length: int, before: int | None) -> DataFrame:
     """Per document and n-gram value that represents a window: the places it stands at.
 
-    ``before`` is the length of the level whose survivors column ``at`` names.
+    ``place`` is the first and ``more`` holds the others, if any: a word that comes again and
+    again gives a document one row, not one per place.  ``before`` is the length of the level whose survivors column ``at`` names.
     """
 
     def grams(batches):
@@ -99,14 +100,31 @@ def level(documents: DataFrame, window: int, length: int, before: int | None) ->
                 else:
                     places, values = chosen_grams(words, window, length, alive)
                 text = W.text_of(words)[places]
-                rows = pa.array(low + text)
+                order = np.lexsort((values, text))  # places of one value stay in their order
+                text, values = text[order], values[order]
+                places = (places[order] - words.first[text]).astype(np.int32)
+                first = np.ones(len(order), dtype=bool)
+                first[1:] = (text[1:] != text[:-1]) | (values[1:] != values[:-1])
+                heads = np.flatnonzero(first)
+                others = np.diff(np.append(heads, len(order))) - 1
+                more = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(others)]).astype(np.int32)),
+                    pa.array(places[~first]), mask=pa.array(others == 0))
+                rows = pa.array(low + text[heads])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(rows), batch.column("copy").take(rows),
-                     pa.array(values.view(np.int64)), pa.array((places - words.first[text]).astype(np.int32))],
-                    names=["doc_id", "copy", "gram", "place"])
+                     pa.array(values[heads].view(np.int64)), pa.array(places[heads]), more],
+                    names=["doc_id", "copy", "gram", "place", "more"])
 
     columns = ["doc_id", "copy", "text"] + ([] if before is None else ["at"])
-    return documents.select(*columns).mapInArrow(grams, "doc_id long, copy long, gram long, place int")
+    return documents.select(*columns).mapInArrow(
+        grams, "doc_id long, copy long, gram long, place int, more array<int>")
+
+
+def all_places(rows: DataFrame) -> DataFrame:
+    """(doc_id, copy, at): the places of all values of a document, in order; equal rows count once."""
+    own = F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<int>")))
+    return rows.groupBy(*KEY).agg(F.sort_array(F.flatten(F.collect_set(own))).alias("at"))
 
 
 def repeated(rows: DataFrame) -> DataFrame:
@@ -130,8 +148,7 @@ def earlier_windows(documents: DataFrame, window: int = WINDOW, first_length: in
         if before is None:
             rows = rows.join(copies, KEY, "left_anti")
         alive = rows.join(repeated(rows), "gram", "left_semi")
-        alive = staged(
-            alive.groupBy(*KEY).agg(F.sort_array(F.collect_list("place")).alias("at")), "substring-alive")
+        alive = staged(all_places(alive), "substring-alive")
         rows_of = source.join(alive, KEY)
         length, before = min(2 * length, window), length
         if alive.isEmpty():
@@ -140,7 +157,7 @@ def earlier_windows(documents: DataFrame, window: int = WINDOW, first_length: in
     if before is None:
         rows = rows.join(copies, KEY, "left_anti")
     later = rows.join(repeated(rows), "gram").filter("doc_id > first")
-    return later.groupBy(*KEY).agg(F.sort_array(F.collect_set("place")).alias("at"))
+    return all_places(later)
 
 
 def without_repeats(

@@ -458,6 +458,23 @@ def test_a_value_that_many_documents_share_keeps_each_of_their_rows_once(spark):
     assert 0 < survivors[1] == 4 * survivors[0]
 
 
+def test_a_word_said_again_and_again_is_one_row_of_a_document(spark):
+    texts = {d: "of " * (120 + d) + " ".join(f"w{d}x{k}" for k in range(60)) for d in range(12)}
+    texts[12] = texts[3]
+    rows = list(texts.items())
+    docs = substring_dedup.keyed(frame(spark, rows))
+    level = substring_dedup.level(docs, 50, 25, None).localCheckpoint()
+    assert level.groupBy("doc_id", "copy", "gram").count().filter("count > 1").isEmpty()
+    # the 95 or more places of the word are all there
+    most = level.filter("doc_id = 0").selectExpr("max(1 + coalesce(size(more), 0))").first()[0]
+    assert most >= 95
+    shared = level.join(substring_dedup.repeated(level), "gram", "left_semi").filter("doc_id not in (3, 12)")
+    assert shared.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 1
+    found = substring_dedup.without_repeats(frame(spark, rows + rows[:2]), 50).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in found) == sorted(
+        brute_kept(rows, 50) + [r for r in brute_kept(rows, 50) if r[0] < 2])
+
+
 # -- 8
 
 
