@@ -57,3 +57,47 @@ def test_far_apart_uids_share_keys_of_the_state_and_come_out_by_span(spark, drai
     written = spark.read.schema(ks.OUTPUT + ", epoch bigint").parquet(path)
     # an epoch writes the spans it has rows for
     assert rows(written.filter("epoch = 1").select("source_folder_id", "span", "fresh")) == [(1, 0, 1), (3, 1, 1)]
+
+
+def test_a_folder_of_far_apart_uids_is_few_entries_of_the_state(spark, drained, rows, tmp_path):
+    pairs = [(folder, 65_536 * place + folder) for folder in (1, 2) for place in range(200)]
+    path = drained(*pairs)
+    held = spark.read.format("statestore").load(str(tmp_path / "checkpoint"), stateVarName="runs").count()
+    assert held == 2
+    assert rows(ks.runs(spark, path)) == sorted([(f, u // 4096, u, u) for f, u in pairs], key=repr)
+
+
+def test_a_block_of_many_runs_is_cut_into_parts(spark, drained, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(ks, "MOST_RUNS", 8)
+    part = ks.SPAN * ks.PART
+    # the run from 65,530 lies in two spans, and later in two parts
+    first = [(1, uid) for uid in [*range(0, 20, 2), *range(part - 6, part + 6)]]
+    drained(*first, (2, 7))
+
+    def entries():
+        return spark.read.format("statestore").load(str(tmp_path / "checkpoint"), stateVarName="runs").count()
+
+    # one mark of the block, its two parts, and the block of the other folder
+    assert entries() == 4
+    path = drained((1, 1), (1, 2), (1, part), (1, part + 6), (1, 5 * part), (2, 8), (2, None))
+    assert entries() == 5
+    assert rows(ks.runs(spark, path)) == sorted([
+        (1, 0, 0, 2), *[(1, 0, uid, uid) for uid in range(4, 20, 2)], (1, 15, part - 6, part - 1),
+        (1, 16, part, part + 6), (1, 80, 5 * part, 5 * part), (2, 0, 7, 8)], key=repr)
+    written = spark.read.schema(ks.OUTPUT + ", epoch bigint").parquet(path)
+    assert rows(written.groupBy("source_folder_id", "epoch").sum("fresh")) == [
+        (1, 0, 22), (1, 1, 3), (2, 0, 1), (2, 1, 1)]
+    assert rows(written.filter("epoch = 1").select("source_folder_id", "span", "fresh")) == [
+        (1, 0, 1), (1, 16, 1), (1, 80, 1), (2, 0, 1)]
+
+
+@given(st.lists(st.lists(st.tuples(st.integers(-2, 2), st.integers(-40, 40)), min_size=1), min_size=1), st.integers(0, 9))
+def test_rows_of_a_group_come_once_and_in_order(frames, most):
+    import pandas as pd
+
+    old, ks.ROWS_HELD = ks.ROWS_HELD, most
+    try:
+        found = ks.in_order(pd.DataFrame(f, columns=["source_folder_id", "uid"]) for f in frames)
+    finally:
+        ks.ROWS_HELD = old
+    assert list(zip(*(column.tolist() for column in found))) == sorted({pair for f in frames for pair in f})
