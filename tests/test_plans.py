@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import attachments as att
 from ledgerflow.operators import commit as cm
 from ledgerflow.operators import selection as sel
-from ledgerflow.operators.joins import lookup_join
+from ledgerflow.operators.joins import lookup_join, salted_join
 from ledgerflow.plans import registry
 from ledgerflow.plans.fixtures import Inputs
+from ledgerflow.session import configure
 from ledgerflow.sources import objects as ob
 
 # queries that write on the way to their result
@@ -117,3 +118,11 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir, tmp_path):
     from ledgerflow.sources.tables import folder_by_id
 
     assert "EqualTo(id,23)" in plan(folder_by_id(spark.read.parquet(folders), 23))
+
+
+def test_copies_of_a_lookup_side_are_not_broadcast(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS k", "id * 2 AS v").write.parquet(str(tmp_path / "lookup"))
+    facts = spark.range(9000).selectExpr("id % 1200 AS k", "id AS uid")
+    joined = salted_join(facts, spark.read.parquet(str(tmp_path / "lookup")), ["k"], ["uid"])
+    assert "BroadcastExchange" not in plan(joined)
+    assert joined.count() == 7600 and joined.filter("v != k * 2").isEmpty()
