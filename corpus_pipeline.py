@@ -16,14 +16,14 @@ from ledgerflow.llm.near_dedup import near_duplicates
 from ledgerflow.llm.packing import packed
 from ledgerflow.llm.quality import quality_scores
 from ledgerflow.llm.substring_dedup import without_repeats
-from ledgerflow.session import configure
+from ledgerflow.session import TEXT_SETTINGS, configure
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose quality score reaches the threshold."""
-    configure(spark)
+    configure(spark, TEXT_SETTINGS)
     scores = quality_scores(docs, table(spark, sf_dir, "labels"), carry=COLUMNS[1:])
     return scores.filter("predicted = 1 and doc_id is not null").select(*COLUMNS)
 
@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of one id with different texts are decided each.
     """
-    configure(spark)
+    configure(spark, TEXT_SETTINGS)
     key = ["doc_id", "text_key"]
     docs = docs.select(*COLUMNS)
     found = staged(near_duplicates(docs, size=5, percent=80, keyed=True), "pipeline-near")
@@ -51,7 +51,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A text that loses words is left as its other words, joined by one space; a document
     that loses all of them goes.
     """
-    configure(spark)
+    configure(spark, TEXT_SETTINGS)
     kept = without_repeats(docs, carry=["text", "lang", "source", "n_chars"])
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
@@ -62,7 +62,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that share no window of words with the benchmark; each row is decided."""
-    configure(spark)
+    configure(spark, TEXT_SETTINGS)
     # a row goes by its id and text together, for an id may stand on rows of different texts
     docs = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row_key"))
     found = contaminated_words(docs.select(F.col("row_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
@@ -74,7 +74,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences of 2048 ids."""
     import public_tokenizers
 
-    configure(spark)
+    configure(spark, TEXT_SETTINGS)
     return packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 

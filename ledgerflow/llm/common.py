@@ -8,11 +8,11 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.session import configure, new_run_dir
+from ledgerflow.session import TEXT_SETTINGS, configure, new_run_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark, TEXT_SETTINGS).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(frame: DataFrame, name: str) -> DataFrame:

@@ -126,3 +126,15 @@ def test_copies_of_a_lookup_side_are_not_broadcast(spark, tmp_path):
     joined = salted_join(facts, spark.read.parquet(str(tmp_path / "lookup")), ["k"], ["uid"])
     assert "BroadcastExchange" not in plan(joined)
     assert joined.count() == 7600 and joined.filter("v != k * 2").isEmpty()
+
+
+def test_a_table_that_grows_when_it_is_read_is_not_broadcast_for_its_files(spark, tmp_path):
+    rows = spark.range(400_000).selectExpr("id AS k", "'INBOX' AS name", "'no response' AS error")
+    rows.coalesce(1).write.parquet(str(tmp_path / "lookup"))
+    # the files are far below the threshold, the rows are not
+    assert sum(f.stat().st_size for f in (tmp_path / "lookup").iterdir()) < 4_000_000
+    assert "BroadcastExchange" in plan(spark.range(10).join(spark.range(9).selectExpr("id"), "id"))
+    lookup = configure(spark).read.parquet(str(tmp_path / "lookup"))
+    joined = spark.range(100_000, 3_000_000).selectExpr("id AS k").join(lookup, "k")
+    assert "BroadcastExchange" not in plan(joined)
+    assert joined.count() == 300_000
